@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators import clusters, sampling, shares
+from ..operators import clusters, fitting, sampling, shares
 from ..plans import jobs, schemas as S
+from ..sources import files
 from .registry import query
 from .standins import FACTS_SQL, Tables, key_hash_sql
 
@@ -118,7 +119,7 @@ def m3_scale(t: Tables):
 @query("m4_assign")
 def m4_assign(t: Tables):
     """K-Means with K = 3 on all rows; cluster sizes."""
-    with clusters.persisted(scaled(t)) as train:
+    with fitting.persisted(scaled(t)) as train:
         model = clusters.fit_kmeans(train, 3, clusters.SEEDS[0])
     return clusters.assign(scaled(t), model, KEEP).groupBy("cluster").count()
 
@@ -137,27 +138,31 @@ def m5_silhouette(t: Tables):
     """Silhouette of the given labels in the plane of the first two dimensions."""
     plane = F.array(*[F.col("embedding")[i].cast("double") for i in range(2)])
     rows = t.read("embeddings").select(array_to_vector(plane).alias("features"), F.col("label").alias("cluster"))
-    with clusters.persisted(rows) as held:
+    with fitting.persisted(rows) as held:
         score = clusters.silhouette(held)
     return t.spark.createDataFrame([(score,)], "silhouette double")
 
 
 @query("m6_kmeans_sweep")
 def m6_kmeans_sweep(t: Tables):
-    with clusters.persisted(scaled(t)) as train:
+    rows = cluster_rows(t)
+    sample = sampling.training_sample(rows, "crime_id", S.TRAINING_FRACTION, S.SMALLEST_SAMPLE, S.SAMPLE_SEED)
+    scaled_sample = clusters.scale(sample, sample, S.CLUSTER_FEATURES)
+    with fitting.persisted(fitting.spread(scaled_sample)) as train:
         return clusters.kmeans_sweep(train, "district")
 
 
 @query("m7_best_k")
 def m7_best_k(t: Tables):
     """Profile of all rows under the K that a sweep chose."""
-    return jobs.cluster_facts(t.facts(), ks=(2, 3)).cluster_summary
+    return jobs.cluster_facts(t.facts(), files.scratch_dir(t.spark), ks=(2, 3)).cluster_summary
 
 
 @query("m8_detail_assignment")
 def m8_detail_assignment(t: Tables):
     """Assignments of all rows with K = 6."""
-    return jobs.cluster_facts(t.facts(), ks=(2,), seeds=clusters.SEEDS[:1]).detailed_clustered_records
+    folder = files.scratch_dir(t.spark)
+    return jobs.cluster_facts(t.facts(), folder, ks=(2,), seeds=clusters.SEEDS[:1]).detailed_clustered_records
 
 
 @query("a17_cluster_profile", f"WITH {PROFILE_SQL} SELECT * FROM profile", floats=PROFILE_FLOATS)

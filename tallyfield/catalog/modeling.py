@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, models, sampling
+from ..operators import evaluate, fitting, models, sampling
 from ..plans import schemas as S
 from .registry import query
 from .standins import MODEL_TABLE_SQL, SCORED_SQL, Tables, key_hash_sql
@@ -26,7 +26,8 @@ def split(t: Tables):
 def fitted(t: Tables, build):
     """Predictions of one model on the random holdout."""
     train, test = split(t)
-    return build.fit(models.class_weights(train)).transform(test)
+    with fitting.persisted(fitting.spread(models.class_weights(train))) as weighted:
+        return build.fit(weighted).transform(test)
 
 
 @query("c1_model_table", f"WITH {MODEL_TABLE_SQL} SELECT * FROM model_rows", floats=NUMBERS)
@@ -167,7 +168,8 @@ def c12_prediction_output(t: Tables):
 
 def importance(t: Tables):
     train, _ = split(t)
-    model = models.rf_pipeline(SPEC, True).fit(models.class_weights(train))
+    with fitting.persisted(fitting.spread(models.class_weights(train))) as weighted:
+        model = models.rf_pipeline(SPEC, True).fit(weighted)
     return models.feature_importance(model, SPEC, t.spark)
 
 

@@ -8,6 +8,7 @@ from ..functions.labels import map_codes
 from ..functions.parsing import parse_bool, parse_number, parse_timestamp
 from ..operators import contracts, quality
 from ..plans import jobs, schemas as S
+from ..sources import files
 from .registry import query
 from .standins import (
     EVENT_FACTS_SQL,
@@ -281,7 +282,8 @@ def a1_source_quality(t: Tables):
                 count(DISTINCT crime_id) AS distinct_crime_id_count FROM cleaned)""",
 )
 def a2_quality_row(t: Tables):
-    prepared = t.prepared()
+    """Both rows read the prepared table as staged by the preparation job."""
+    prepared = files.stage(t.prepared(), files.scratch_dir(t.spark), "prepared")
     cleaned = contracts.clean(prepared, S.INCIDENTS)
     return quality.quality_row(prepared, cleaned, S.SOURCE_DEFECTS, S.CLEAN_DEFECTS, "crime_id")
 

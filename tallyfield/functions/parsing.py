@@ -17,9 +17,9 @@ def parse_int(col: Column, type_name: str = "int") -> Column:
 
     ``'12'``, ``' 12 '``, ``'12.0'`` and ``'12.7'`` give 12; ``''`` and ``'abc'`` give NULL. The
     digits never pass through a double, so long ids keep every digit. Only text that fails the
-    plain cast meets the regular expression.
+    plain cast and has a point meets the regular expression.
     """
-    whole_part = F.regexp_replace(col, _DECIMAL_TAIL, "$10$2")
+    whole_part = F.when(col.contains("."), F.regexp_replace(col, _DECIMAL_TAIL, "$10$2"))
     return F.coalesce(col.try_cast(type_name), whole_part.try_cast(type_name))
 
 

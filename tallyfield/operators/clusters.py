@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from .contracts import drop_null, require_flags
+from .fitting import PARALLEL_FITS, concurrently
 from .scalars import with_scalar
 from .shares import dominant_share
 
@@ -24,16 +21,6 @@ DETAIL_K = 6
 SMALLEST_DISPERSION = 1e-6
 
 
-@contextmanager
-def persisted(df: DataFrame):
-    """Keep a frame that several jobs read, and release it whatever happens."""
-    held = df.persist(StorageLevel.DISK_ONLY)
-    try:
-        yield held
-    finally:
-        held.unpersist()
-
-
 def cluster_input(
     df: DataFrame, flag: str, features: Sequence[str], key: str, group: str
 ) -> DataFrame:
@@ -109,12 +96,11 @@ def kmeans_sweep(
     group: str,
     ks: Sequence[int] = CANDIDATES,
     seeds: Sequence[int] = SEEDS,
-    parallelism: int = 4,
+    parallelism: int = PARALLEL_FITS,
 ) -> DataFrame:
     """One row per (k, seed) fit on scaled training rows: silhouette, cost, sizes, dominant share.
 
-    ``train`` should be persisted. Each fit is a series of distributed jobs; up to ``parallelism``
-    fits are submitted at a time, so that the tail of one does not leave executors idle.
+    ``train`` should be persisted, since every fit reads it many times.
     """
     if not seeds:
         raise ValueError("Clustering requires at least one random seed.")
@@ -122,10 +108,9 @@ def kmeans_sweep(
     fits = [(k, seed) for k in ks if 1 < k < rows for seed in seeds]
     if not fits:
         raise ValueError("Clustering requires at least three valid records.")
-    run = inheritable_thread_target(train.sparkSession)(lambda fit: _score(train, *fit, group))
-    with ThreadPool(min(parallelism, len(fits))) as pool:
-        scores = pool.map(run, fits, chunksize=1)
-    return train.sparkSession.createDataFrame(
+    spark = train.sparkSession
+    scores = concurrently(spark, lambda fit: _score(train, *fit, group), fits, parallelism)
+    return spark.createDataFrame(
         scores,
         "seed long, k long, silhouette_score double, training_cost double, minimum_cluster_size long,"
         " maximum_cluster_size long, average_dominant_district_share double",

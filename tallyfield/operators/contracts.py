@@ -145,20 +145,27 @@ def quarantine(df: DataFrame, reasons: Mapping[str, str]) -> DataFrame:
     return df.filter(failed).withColumn("rejection_reason", rejection_reason(reasons))
 
 
-def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the smallest by ``order_by``, then by the remaining columns.
+def dedup(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
+    where: Column | None = None,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """One row per key: the smallest by ``order_by``, then by the remaining ``columns``.
 
     It is a plain minimum, so each map task sends one row per key however often a key occurs, and
-    the survivor does not depend on partitioning.
+    the survivor does not depend on partitioning. ``where`` rejects rows inside the aggregate: a
+    filter below it would make Spark compute the parsed columns it tests a second time.
     """
+    columns = list(columns or df.columns)
     first = [c for c in order_by if c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in first]
-    if not first and not rest:
-        return df.distinct()
-    columns = df.columns
-    smallest = F.min(F.struct(*[F.col(f"`{c}`") for c in [*first, *rest]])).alias("_smallest")
+    rest = [c for c in columns if c not in keys and c not in first]
+    row = F.struct(F.lit(True), *[F.col(f"`{c}`") for c in [*first, *rest]])
+    smallest = F.min(row if where is None else F.when(where, row)).alias("_smallest")
     unpacked = [f"`{c}`" if c in keys else F.col("_smallest").getField(c).alias(c) for c in columns]
-    return df.groupBy(*keys).agg(smallest).select(*unpacked)
+    grouped = df.groupBy(*keys).agg(smallest)
+    return (grouped if where is None else grouped.filter("_smallest IS NOT NULL")).select(*unpacked)
 
 
 def project_contract(df: DataFrame, columns: Sequence[str], texts: Mapping[str, str]) -> DataFrame:
@@ -202,8 +209,12 @@ def prepare(raw: DataFrame, contract: FactContract) -> DataFrame:
 
 def clean(prepared: DataFrame, contract: FactContract) -> DataFrame:
     """Reject by the mandatory flags, keep one row per key, project the contract."""
-    kept = project_contract(reject(prepared, contract.mandatory), contract.columns, contract.texts)
-    return dedup(kept, [contract.key], [contract.timestamp])
+    extra = [flag for flag in contract.mandatory if flag not in contract.columns]
+    projected = project_contract(prepared, [*contract.columns, *extra], contract.texts)
+    passed = F.col(contract.mandatory[0])
+    for flag in contract.mandatory[1:]:
+        passed = passed & F.col(flag)
+    return dedup(projected, [contract.key], [contract.timestamp], passed, contract.columns)
 
 
 def prepare_lookup(raw: DataFrame, contract: LookupContract) -> DataFrame:

@@ -11,9 +11,9 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.labels import positive_score, to_label
-from .clusters import persisted
 from .contracts import drop_null, require_flags
 from .evaluate import auc, binary_metrics
+from .fitting import concurrently, persisted, spread
 from .sampling import temporal_split
 
 # Model settings of the published study.
@@ -156,28 +156,43 @@ def selected_metrics(comparison: DataFrame) -> DataFrame:
     )
 
 
+def _fit_all(train: DataFrame, pipelines: dict[str, Pipeline]) -> dict[str, PipelineModel]:
+    with persisted(spread(class_weights(train))) as weighted:
+        fitted = concurrently(train.sparkSession, lambda p: p.fit(weighted), list(pipelines.values()))
+    return dict(zip(pipelines, fitted))
+
+
+def _compare(models: dict[str, PipelineModel], test: DataFrame, strategy: str, cutoff: int = 0) -> list[tuple]:
+    def row(name: str) -> tuple:
+        scored = models[name].transform(test).select("label", "prediction", "rawPrediction")
+        with persisted(scored) as held:
+            return comparison_row(held, name, strategy, cutoff)
+
+    return concurrently(test.sparkSession, row, list(models))
+
+
+def weighted_pipelines(spec: ModelSpec, bins: int) -> dict[str, Pipeline]:
+    """The three weighted classifiers by name."""
+    return {
+        "weighted_random_forest": rf_pipeline(spec, True, bins),
+        "weighted_logistic_regression": lr_pipeline(spec),
+        "weighted_gradient_boosted_trees": gbt_pipeline(spec, True, bins),
+    }
+
+
 def fit_models(train: DataFrame, spec: ModelSpec) -> dict[str, PipelineModel]:
     """The unweighted forest and the three weighted models on one training frame."""
     bins = bins_for(train, spec)
-    with persisted(class_weights(train)) as weighted:
-        return {
-            "unweighted_random_forest": rf_pipeline(spec, False, bins).fit(weighted),
-            "weighted_random_forest": rf_pipeline(spec, True, bins).fit(weighted),
-            "weighted_logistic_regression": lr_pipeline(spec).fit(weighted),
-            "weighted_gradient_boosted_trees": gbt_pipeline(spec, True, bins).fit(weighted),
-        }
+    unweighted = {"unweighted_random_forest": rf_pipeline(spec, False, bins)}
+    return _fit_all(train, unweighted | weighted_pipelines(spec, bins))
 
 
 def compare_models(models: dict[str, PipelineModel], test: DataFrame) -> list[tuple]:
     """Baseline and fitted models on the random holdout."""
     strategy = SELECTED[1]
-    rows = [
-        comparison_row(majority_baseline(test), "majority_class_baseline", strategy, ranked=False)
-    ]
-    for name, model in models.items():
-        with persisted(model.transform(test).select("label", "prediction", "rawPrediction")) as scored:
-            rows.append(comparison_row(scored, name, strategy))
-    return rows
+    baseline = comparison_row(majority_baseline(test), "majority_class_baseline", strategy, ranked=False)
+    with persisted(spread(test)) as held:
+        return [baseline, *_compare(models, held, strategy)]
 
 
 def compare_temporal(df: DataFrame, spec: ModelSpec) -> list[tuple]:
@@ -185,19 +200,9 @@ def compare_temporal(df: DataFrame, spec: ModelSpec) -> list[tuple]:
     train, test, cutoff = temporal_split(df, spec.year, CUTOFF_YEARS)
     if not (has_classes(train) and has_classes(test)):
         return []
-    bins = bins_for(train, spec)
-    pipelines = {
-        "weighted_random_forest": rf_pipeline(spec, True, bins),
-        "weighted_logistic_regression": lr_pipeline(spec),
-        "weighted_gradient_boosted_trees": gbt_pipeline(spec, True, bins),
-    }
-    rows = []
-    with persisted(class_weights(train)) as weighted:
-        for name, chosen in pipelines.items():
-            scored = chosen.fit(weighted).transform(test).select("label", "prediction", "rawPrediction")
-            with persisted(scored) as held:
-                rows.append(comparison_row(held, name, "temporal_holdout", cutoff))
-    return rows
+    models = _fit_all(train, weighted_pipelines(spec, bins_for(train, spec)))
+    with persisted(spread(test)) as held:
+        return _compare(models, held, "temporal_holdout", cutoff)
 
 
 def prediction_output(predictions: DataFrame, key: str, score: str) -> DataFrame:

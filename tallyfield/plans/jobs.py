@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.labels import priority_label
 from ..functions.parsing import parse_timestamp
-from ..operators import clusters, contracts, evaluate, explore, models, quality, sampling, series, shares
+from ..operators import clusters, contracts, evaluate, explore, fitting, models, quality, sampling, series, shares
 from ..sources import files
 from . import schemas as S
 
@@ -36,17 +36,16 @@ def prepare_incidents(
     """
     mode = "overwrite" if overwrite else "errorifexists"
     raw = files.read_raw_csv(spark, input_path)
-    prepared = contracts.prepare(raw, S.INCIDENTS)
-    prepared = files.stage(prepared, files.scratch_dir(spark), "prepared")
-    files.write_partitioned(
-        contracts.clean(prepared, S.INCIDENTS), output_path, ["year", "district"], mode
-    )
-    if quality_path:
-        cleaned = files.read_table(spark, output_path)
-        row = quality.quality_row(prepared, cleaned, S.SOURCE_DEFECTS, S.CLEAN_DEFECTS, "crime_id")
-        files.write_table(row, quality_path, mode)
-    if quarantine_path:
-        files.write_quarantine(prepared, S.INCIDENT_REASONS, quarantine_path, mode)
+    with files.scratch(spark) as folder:
+        prepared = files.stage(contracts.prepare(raw, S.INCIDENTS), folder, "prepared")
+        cleaned = contracts.clean(prepared, S.INCIDENTS)
+        files.write_partitioned(cleaned, output_path, ["year", "district"], mode)
+        if quality_path:
+            written = files.read_table(spark, output_path)
+            row = quality.quality_row(prepared, written, S.SOURCE_DEFECTS, S.CLEAN_DEFECTS, "crime_id")
+            files.write_table(row, quality_path, mode)
+        if quarantine_path:
+            files.write_quarantine(prepared, S.INCIDENT_REASONS, quarantine_path, mode)
     if dictionary_path:
         files.write_table(contracts.data_dictionary(spark, S.DICTIONARY), dictionary_path, mode)
 
@@ -197,25 +196,27 @@ class Clustering:
 
 def cluster_facts(
     facts: DataFrame,
+    folder: str,
     ks: Sequence[int] = clusters.CANDIDATES,
     seeds: Sequence[int] = clusters.SEEDS,
-    parallelism: int = 4,
 ) -> Clustering:
-    """Choose K on a sample from repeated fits, then assign and profile all valid rows."""
+    """Choose K on a sample from repeated fits, then assign and profile all valid rows.
+
+    The assignments are written to ``folder``, where the returned tables read them.
+    """
     if not seeds:
         raise ValueError("Clustering requires at least one random seed.")
-    spark = facts.sparkSession
     keep = ["crime_id", *S.CLUSTER_FEATURES, "district"]
     rows = clusters.cluster_input(
         facts, "has_valid_coordinates", S.CLUSTER_FEATURES, "crime_id", "district"
     )
     sample = sampling.training_sample(rows, "crime_id", S.TRAINING_FRACTION, S.SMALLEST_SAMPLE, S.SAMPLE_SEED)
-    with clusters.persisted(sample) as train:
+    with fitting.persisted(fitting.spread(sample)) as train:
         clusters.require_varying(train, "hour")
         scaler = clusters.fit_scaler(clusters.assemble(train, S.CLUSTER_FEATURES))
         scaled = scaler.transform(clusters.assemble(train, S.CLUSTER_FEATURES))
-        with clusters.persisted(scaled) as training:
-            stability = clusters.kmeans_sweep(training, "district", ks, seeds, parallelism)
+        with fitting.persisted(scaled) as training:
+            stability = clusters.kmeans_sweep(training, "district", ks, seeds)
             scores = clusters.stability_rollup(stability)
             best_k = int(clusters.best_by(scores, "silhouette_score", "k").first()["k"])
             best_model = clusters.fit_kmeans(training, best_k, seeds[0])
@@ -224,7 +225,6 @@ def cluster_facts(
                 best_model if best_k == detail_k else clusters.fit_kmeans(training, detail_k, seeds[0])
             )
     everything = scaler.transform(clusters.assemble(rows, S.CLUSTER_FEATURES))
-    folder = files.scratch_dir(spark)
     assigned = files.stage(clusters.assign(everything, best_model, keep), folder, "best")
     detailed = files.stage(clusters.assign(everything, detail_model, keep), folder, "detail")
     profile = clusters.cluster_profile(assigned, "cluster", "district")
@@ -242,24 +242,25 @@ def cluster_facts(
 
 def cluster_job(spark: SparkSession, facts_path: str, output_dir: str) -> int:
     """Write the clustering tables and bounded samples of the assignments; returns the chosen K."""
-    result = cluster_facts(files.read_table(spark, facts_path))
     order = ["cluster", F.desc("incident_count"), "district"]
-    tables = {
-        "silhouette_scores": result.scores,
-        "stability_scores": result.stability_scores,
-        "cluster_summary": result.cluster_summary,
-        "district_alignment": result.district_alignment.orderBy(*order),
-        "district_alignment_k6": result.district_alignment_k6.orderBy(*order),
-    }
-    for name, table in tables.items():
-        files.write_table(table, f"{output_dir}/{name}")
-    samples = {
-        "clustered_records": result.clustered_records,
-        "clustered_records_k6": result.detailed_clustered_records,
-    }
-    for name, records in samples.items():
-        path = f"{output_dir}/{name}"
-        files.write_sample(records, path, S.OUTPUT_FRACTION, S.OUTPUT_CAP, "crime_id", S.SAMPLE_SEED)
+    with files.scratch(spark) as folder:
+        result = cluster_facts(files.read_table(spark, facts_path), folder)
+        tables = {
+            "silhouette_scores": result.scores,
+            "stability_scores": result.stability_scores,
+            "cluster_summary": result.cluster_summary,
+            "district_alignment": result.district_alignment.orderBy(*order),
+            "district_alignment_k6": result.district_alignment_k6.orderBy(*order),
+        }
+        for name, table in tables.items():
+            files.write_table(table, f"{output_dir}/{name}")
+        samples = {
+            "clustered_records": result.clustered_records,
+            "clustered_records_k6": result.detailed_clustered_records,
+        }
+        for name, records in samples.items():
+            path = f"{output_dir}/{name}"
+            files.write_sample(records, path, S.OUTPUT_FRACTION, S.OUTPUT_CAP, "crime_id", S.SAMPLE_SEED)
     return result.best_k
 
 
@@ -280,10 +281,12 @@ class Modeling:
     feature_importance: DataFrame
 
 
-def model_facts(facts: DataFrame) -> Modeling:
-    """Fit and compare the models on a random and a temporal holdout."""
+def model_facts(facts: DataFrame, folder: str) -> Modeling:
+    """Fit and compare the models on a random and a temporal holdout.
+
+    The model table and the predictions are written to ``folder``, where the returned tables read them.
+    """
     spark, spec = facts.sparkSession, S.MODEL
-    folder = files.scratch_dir(spark)
     table = files.stage(models.model_table(facts, spec), folder, "model_table")
     models.require_classes(table, "Arrest prediction")
     train, test = sampling.hash_split(table, spec.key, S.TRAIN_FRACTION, S.SAMPLE_SEED)
@@ -333,9 +336,10 @@ MODEL_TABLES = (
 
 def model_job(spark: SparkSession, facts_path: str, output_dir: str) -> None:
     """Write the prediction tables and the fitted models."""
-    result = model_facts(files.read_table(spark, facts_path))
-    for name in MODEL_TABLES:
-        files.write_table(getattr(result, name), f"{output_dir}/{name}")
+    with files.scratch(spark) as folder:
+        result = model_facts(files.read_table(spark, facts_path), folder)
+        for name in MODEL_TABLES:
+            files.write_table(getattr(result, name), f"{output_dir}/{name}")
     files.save_model(result.model, f"{output_dir}/random_forest_model")
     for name, model in result.comparison_models.items():
         files.save_model(model, f"{output_dir}/{name}_model")

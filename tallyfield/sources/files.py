@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -100,6 +101,17 @@ def scratch_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="tallyfield-")
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """A scratch folder that is removed at the end of the block, with the tables staged in it."""
+    folder = scratch_dir(spark)
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write a frame that several jobs need once, and read it back: lost executors cost no recomputation."""
     path = f"{folder}/{name}"
