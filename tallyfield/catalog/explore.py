@@ -236,6 +236,15 @@ def a12_weekday_weekend(t: Tables):
     return explore.weekday_weekend(t.event_facts(), TS, COUNT)
 
 
+@query(
+    "a12_weekday_totals",
+    f"""WITH {FACTS_SQL} SELECT CASE WHEN day_of_week IN (1, 7) THEN 'weekend' ELSE 'weekday' END AS day_type,
+        hour, count(*) AS crime_count FROM facts WHERE incident_timestamp IS NOT NULL GROUP BY 1, 2""",
+)
+def a12_weekday_totals(t: Tables):
+    return explore.weekday_totals(explore.temporal_patterns(t.facts(), TS, COUNT), COUNT)
+
+
 @query(
     "a13_correlations",
     f"""WITH {DAILY_WEATHER_SQL} SELECT

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .contracts import drop_null, require_flags
 from .fitting import PARALLEL_FITS, concurrently
-from .scalars import with_scalar
+from .scalars import over_all, with_scalar
 from .shares import dominant_share
 
 # Sweep of the published study.
@@ -168,7 +168,7 @@ def cluster_profile(df: DataFrame, by: str, group: str) -> DataFrame:
 
 def flag_hotspots(profile: DataFrame, group: str) -> DataFrame:
     """Flag clusters at or above the mean concentration, and those that span several groups."""
-    mean = profile.agg(F.avg("activity_concentration_index")).scalar()
+    mean = over_all(F.avg("activity_concentration_index"))
     return profile.withColumns(
         {
             "is_high_activity_zone": F.col("activity_concentration_index") >= mean,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.labels import day_type, season
 from .contracts import require_flags
+from .scalars import over_all
 from .series import densify, enrich, rolling_mean, spine, within_period
 
 
@@ -35,16 +36,14 @@ def effect_sizes(impact: DataFrame, name: str, baseline: str, mean: str) -> Data
     Percent is NULL when the baseline mean is 0; without a baseline row there is no result row.
     """
     tag = baseline.replace(" ", "_")
-    base = impact.filter(F.col(name) == baseline).select(mean).scalar()
-    difference = F.col(mean) - F.col(f"{tag}_{mean}")
+    base = f"{tag}_{mean}"
+    absolute = f"absolute_difference_from_{tag}"
+    share = F.try_divide(F.col(absolute), F.col(base)) * 100
     return (
-        impact.withColumn(f"{tag}_{mean}", base)
-        .filter(F.col(f"{tag}_{mean}").isNotNull())
-        .withColumn(f"absolute_difference_from_{tag}", difference)
-        .withColumn(
-            f"percent_difference_from_{tag}",
-            F.try_divide(F.col(f"absolute_difference_from_{tag}"), F.col(f"{tag}_{mean}")) * 100,
-        )
+        impact.withColumn(base, over_all(F.max(F.when(F.col(name) == baseline, F.col(mean)))))
+        .filter(F.col(base).isNotNull())
+        .withColumn(absolute, F.col(mean) - F.col(base))
+        .withColumn(f"percent_difference_from_{tag}", share)
     )
 
 
@@ -66,14 +65,30 @@ def weekday_weekend(df: DataFrame, ts: str, count: str) -> DataFrame:
     )
 
 
+def weekday_totals(patterns: DataFrame, count: str) -> DataFrame:
+    """The same table from the temporal table, without reading the facts again."""
+    return patterns.groupBy(day_type(F.col("day_of_week")).alias("day_type"), "hour").agg(
+        F.sum(count).alias(count)
+    )
+
+
 def hour_totals(patterns: DataFrame, count: str) -> DataFrame:
     """Total per hour of day from the temporal table."""
     return patterns.groupBy("hour").agg(F.sum(count).alias(count))
 
 
 def correlations(df: DataFrame, target: str, names: Mapping[str, str]) -> DataFrame:
-    """Pearson correlation of the target with each column, from ``{output: column}``."""
-    return df.agg(*[F.corr(target, column).alias(output) for output, column in names.items()])
+    """Pearson correlation of the target with each column, from ``{output: column}``.
+
+    A constant column gives NULL; the built-in ``corr`` divides by zero there under ANSI mode.
+    """
+
+    def pearson(name: str) -> Column:
+        x, y = F.col(target), F.col(name)
+        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        return F.try_divide(F.covar_pop(x, y), spread)
+
+    return df.agg(*[pearson(column).alias(output) for output, column in names.items()])
 
 
 def area_rolling(
@@ -116,7 +131,7 @@ def area_summary(
     """
     kept = require_flags(df, [flag]).filter(F.col("year").between(*years))
     per_area = (
-        within_period(kept, ts, period_row)
+        within_period(kept, ts, period_row, "year")
         .groupBy(key)
         .agg(F.count("*").alias(count), F.avg(F.col(rate_of).cast("double")).alias(f"{rate_of}_rate"))
     )
@@ -137,11 +152,11 @@ def spatial_profile(
 ) -> DataFrame:
     """Count, share of all located incidents, centroid and attributes per area in the period.
 
-    The share counts areas without a lookup row too; its total comes from the per-area counts, not
-    from a second pass over the facts.
+    The share counts areas without a lookup row too. Its total comes from the per-area counts, of
+    which there are no more than the area flag allows.
     """
     per_area = (
-        within_period(require_flags(df, flags), ts, period_row)
+        within_period(require_flags(df, flags), ts, period_row, "year")
         .groupBy(key)
         .agg(
             F.count("*").alias(count),
@@ -149,10 +164,9 @@ def spatial_profile(
             F.avg("longitude").alias("centroid_longitude"),
         )
     )
-    total = per_area.agg(F.sum(count)).scalar()
     share = count.replace("count", "share")
     name, score = attributes
-    shared = per_area.withColumn(share, F.col(count) / total)
+    shared = per_area.withColumn(share, F.col(count) / over_all(F.sum(count)))
     return enrich(shared, lookup.select(key, name, score), key).select(
         key, name, count, share, "centroid_latitude", "centroid_longitude", score
     )

@@ -133,15 +133,19 @@ def period(df: DataFrame, day: str) -> DataFrame:
     return df.agg(F.min(day).alias("period_start"), F.max(day).alias("period_end"))
 
 
-def within_period(df: DataFrame, ts: str, period_row: DataFrame) -> DataFrame:
+def within_period(df: DataFrame, ts: str, period_row: DataFrame, year: str | None = None) -> DataFrame:
     """Rows whose date lies in the period, both ends included.
 
-    The bounds are scalar subqueries on the timestamp itself, so no join and no driver action is
-    needed, and the comparison is one that a Parquet scan can use.
+    The bounds are scalar subqueries, so no join and no driver action is needed. ``year`` names a
+    column with the year of ``ts``; a table partitioned by it is then read for these years only.
     """
     kind = df.schema[ts].dataType
     start = period_row.select(F.col("period_start").cast(kind)).scalar()
     end = period_row.select(F.date_add("period_end", 1).cast(kind)).scalar()
+    if year is not None:
+        first = period_row.select(F.year("period_start")).scalar()
+        last = period_row.select(F.year("period_end")).scalar()
+        df = df.filter((F.col(year) >= first) & (F.col(year) <= last))
     return df.filter((F.col(ts) >= start) & (F.col(ts) < end))
 
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .scalars import grouped_total
+
 MAX_RANGES = 200
 
 
@@ -18,8 +20,7 @@ def share_of(df: DataFrame, part: str, value: str, name: str, digits: int | None
 def distribution(df: DataFrame, col: str, name: str) -> DataFrame:
     """Count per value and its share of all rows, to 4 digits; the total is summed from the counts."""
     counts = df.groupBy(col).count()
-    total = counts.agg(F.sum("count")).scalar()
-    return counts.withColumn(name, F.round(F.col("count") / total, 4))
+    return counts.withColumn(name, F.round(F.col("count") / grouped_total(counts, "count"), 4))
 
 
 def alignment(df: DataFrame, by: str, group: str, count: str, keep_null: bool) -> DataFrame:

@@ -95,9 +95,9 @@ def daily_weather(facts: DataFrame, hourly: DataFrame) -> DataFrame:
 
 
 def explore_tables(
-    facts: DataFrame, daily: DataFrame, lookup: DataFrame
+    facts: DataFrame, daily: DataFrame, patterns: DataFrame, lookup: DataFrame
 ) -> dict[str, tuple[DataFrame, Sequence]]:
-    """The result tables from facts, daily weather and lookup, each with its row order."""
+    """The result tables from facts, daily weather, temporal patterns and lookup, each with its row order."""
     impact = explore.condition_impact(daily, condition(), "crime_count", "weather_condition")
     bounds = series.period(daily, "weather_date")
     ts = "incident_timestamp"
@@ -111,12 +111,8 @@ def explore_tables(
             explore.effect_sizes(impact, "weather_condition", S.NO_EVENT, "average_daily_crime_count"),
             ["weather_condition"],
         ),
-        "temporal_patterns": (
-            explore.temporal_patterns(facts, ts, "crime_count"),
-            ["year", "month", "day_of_week", "hour"],
-        ),
         "weekday_weekend_patterns": (
-            explore.weekday_weekend(facts, ts, "crime_count"),
+            explore.weekday_totals(patterns, "crime_count"),
             ["day_type", "hour"],
         ),
         "weather_correlations": (explore.correlations(daily, "crime_count", S.CORRELATIONS), []),
@@ -169,14 +165,21 @@ def explore_tables(
 def explore_job(
     spark: SparkSession, facts_path: str, weather_path: str, census_path: str, output_dir: str
 ) -> None:
-    """Write the exploration tables; the daily table is written first and read back by the others."""
+    """Write the exploration tables; the daily and the temporal table feed the others once written."""
     facts = files.read_table(spark, facts_path)
     hourly = files.read_table(spark, weather_path)
     lookup = files.read_table(spark, census_path)
-    daily_path = f"{output_dir}/daily_crime_weather"
-    files.write_table(daily_weather(facts, hourly).orderBy("weather_date"), daily_path)
-    daily = files.read_table(spark, daily_path)
-    for name, (table, order) in explore_tables(facts, daily, lookup).items():
+    first = {
+        "daily_crime_weather": (daily_weather(facts, hourly), ["weather_date"]),
+        "temporal_patterns": (
+            explore.temporal_patterns(facts, "incident_timestamp", "crime_count"),
+            ["year", "month", "day_of_week", "hour"],
+        ),
+    }
+    for name, (table, order) in first.items():
+        files.write_table(table.orderBy(*order), f"{output_dir}/{name}")
+    daily, patterns = (files.read_table(spark, f"{output_dir}/{name}") for name in first)
+    for name, (table, order) in explore_tables(facts, daily, patterns, lookup).items():
         files.write_table(table.orderBy(*order) if order else table, f"{output_dir}/{name}")
 
 
