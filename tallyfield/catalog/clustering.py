@@ -11,7 +11,6 @@ from ..sources import files
 from .registry import query
 from .standins import FACTS_SQL, Tables, key_hash_sql
 
-KEEP = ["crime_id", *S.CLUSTER_FEATURES, "district"]
 INPUT_SQL = f"""{FACTS_SQL},
 input AS (SELECT crime_id, latitude, longitude, hour, district FROM facts
           WHERE has_valid_coordinates AND hour IS NOT NULL)"""
@@ -121,7 +120,7 @@ def m4_assign(t: Tables):
     """K-Means with K = 3 on all rows; cluster sizes."""
     with fitting.persisted(scaled(t)) as train:
         model = clusters.fit_kmeans(train, 3, clusters.SEEDS[0])
-    return clusters.assign(scaled(t), model, KEEP).groupBy("cluster").count()
+    return clusters.assign(scaled(t), model, "cluster").groupBy("cluster").count()
 
 
 @query(

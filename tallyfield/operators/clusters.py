@@ -141,9 +141,9 @@ def best_by(df: DataFrame, score: str, tie: str) -> DataFrame:
     return df.orderBy(F.desc(score), F.asc(tie)).limit(1)
 
 
-def assign(df: DataFrame, model: KMeansModel, keep: Sequence[str]) -> DataFrame:
-    """Cluster of every scaled row."""
-    return model.transform(df).select(*keep, "cluster")
+def assign(df: DataFrame, model: KMeansModel, output: str) -> DataFrame:
+    """Add the cluster of every scaled row."""
+    return model.copy({model.predictionCol: output}).transform(df)
 
 
 def cluster_profile(df: DataFrame, by: str, group: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.labels import rejection_reason
 from ..functions.parsing import parse_bool, parse_double, parse_int, parse_timestamp
+from .scalars import MAX_BROADCAST_ROWS, at_least
 
 _PARSERS = {
     "int": lambda col: parse_int(col, "int"),
@@ -168,6 +169,33 @@ def dedup(
     return (grouped if where is None else grouped.filter("_smallest IS NOT NULL")).select(*unpacked)
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str], where: Column) -> DataFrame:
+    """Keys that several accepted rows share."""
+    counts = df.filter(where).groupBy(*keys).agg(F.count("*").alias("_rows"))
+    return counts.filter(F.col("_rows") > 1).select(*keys)
+
+
+def dedup_known(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    where: Column,
+    columns: Sequence[str],
+    repeated: DataFrame,
+) -> DataFrame:
+    """The same rows as ``dedup``, for a written table whose repeated keys are known.
+
+    Rows with a key of their own need no shuffle at all; only the repeated ones are aggregated. That
+    holds while the repeated keys are few enough to broadcast, which is counted first.
+    """
+    if at_least(repeated, MAX_BROADCAST_ROWS + 1):
+        return dedup(df, keys, order_by, where, columns)
+    few = F.broadcast(repeated)
+    single = df.filter(where).join(few, list(keys), "left_anti").select(*columns)
+    several = df.filter(where).join(few, list(keys), "left_semi")
+    return single.unionByName(dedup(several, keys, order_by, None, columns))
+
+
 def project_contract(df: DataFrame, columns: Sequence[str], texts: Mapping[str, str]) -> DataFrame:
     """Fixed output columns in order; ``texts`` are trimmed, or NULL strings when their source is absent."""
 
@@ -207,16 +235,35 @@ def prepare(raw: DataFrame, contract: FactContract) -> DataFrame:
     return add_flags(add_calendar(typed, contract.timestamp), contract.flags)
 
 
-def clean(prepared: DataFrame, contract: FactContract) -> DataFrame:
-    """Reject by the mandatory flags, keep one row per key, project the contract."""
+def _accepted(prepared: DataFrame, contract: FactContract) -> tuple[DataFrame, Column]:
+    """Contract columns and mandatory flags, and the condition that all of these flags hold."""
     extra = [flag for flag in contract.mandatory if flag not in contract.columns]
-    projected = project_contract(prepared, [*contract.columns, *extra], contract.texts)
     passed = F.col(contract.mandatory[0])
     for flag in contract.mandatory[1:]:
         passed = passed & F.col(flag)
+    return project_contract(prepared, [*contract.columns, *extra], contract.texts), passed
+
+
+def clean(prepared: DataFrame, contract: FactContract) -> DataFrame:
+    """Reject by the mandatory flags, keep one row per key, project the contract."""
+    projected, passed = _accepted(prepared, contract)
     return dedup(projected, [contract.key], [contract.timestamp], passed, contract.columns)
 
 
+def contract_repeats(prepared: DataFrame, contract: FactContract) -> DataFrame:
+    """Repeated keys among the accepted rows."""
+    projected, passed = _accepted(prepared, contract)
+    return repeated_keys(projected, [contract.key], passed)
+
+
+def clean_written(prepared: DataFrame, contract: FactContract, repeated: DataFrame) -> DataFrame:
+    """``clean`` for a written prepared table, with its written repeated keys."""
+    projected, passed = _accepted(prepared, contract)
+    return dedup_known(
+        projected, [contract.key], [contract.timestamp], passed, contract.columns, repeated
+    )
+
+
 def prepare_lookup(raw: DataFrame, contract: LookupContract) -> DataFrame:
     """Typed lookup with one row per key in range; total rows and NULL keys are removed."""
     named = require_columns(normalize_columns(raw, contract.aliases), contract.columns, contract.name)

@@ -11,7 +11,10 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
+from .scalars import at_least
+
 PARALLEL_FITS = 8
+ROWS_PER_CORE = 1_000
 
 Item = TypeVar("Item")
 Result = TypeVar("Result")
@@ -28,9 +31,14 @@ def persisted(df: DataFrame):
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of rows that many passes will read; frames with enough partitions stay."""
+    """Give every core a share of rows that many passes will read.
+
+    Frames with enough partitions stay as they are, and so do those too small to be worth a task per core.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores or not at_least(df, cores * ROWS_PER_CORE):
+        return df
+    return df.repartition(cores)
 
 
 def concurrently(

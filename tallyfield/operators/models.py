@@ -26,6 +26,7 @@ SMALLEST_BINS = 64
 CUTOFF_YEARS = 3
 SELECTED = ("weighted_random_forest", "seeded_random_holdout")
 
+# Columns of the comparison table.
 COMPARISON_SCHEMA = (
     "model_name string, validation_strategy string, temporal_cutoff_year long, true_positive long,"
     " false_positive long, false_negative long, true_negative long, precision double, recall double,"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_ROWS = 10_000
 
 
 def scalar_row(one_row: DataFrame) -> Column:

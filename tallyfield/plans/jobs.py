@@ -32,13 +32,14 @@ def prepare_incidents(
     """Raw CSV to clean partitioned facts, quality row, quarantine and data dictionary.
 
     The text is parsed once: the prepared rows are staged as Parquet, and every output reads its
-    columns from there.
+    columns from there. Only rows with a repeated key are shuffled to find the one that stays.
     """
     mode = "overwrite" if overwrite else "errorifexists"
     raw = files.read_raw_csv(spark, input_path)
     with files.scratch(spark) as folder:
         prepared = files.stage(contracts.prepare(raw, S.INCIDENTS), folder, "prepared")
-        cleaned = contracts.clean(prepared, S.INCIDENTS)
+        repeats = files.stage(contracts.contract_repeats(prepared, S.INCIDENTS), folder, "repeats")
+        cleaned = contracts.clean_written(prepared, S.INCIDENTS, repeats)
         files.write_partitioned(cleaned, output_path, ["year", "district"], mode)
         if quality_path:
             written = files.read_table(spark, output_path)
@@ -228,8 +229,10 @@ def cluster_facts(
                 best_model if best_k == detail_k else clusters.fit_kmeans(training, detail_k, seeds[0])
             )
     everything = scaler.transform(clusters.assemble(rows, S.CLUSTER_FEATURES))
-    assigned = files.stage(clusters.assign(everything, best_model, keep), folder, "best")
-    detailed = files.stage(clusters.assign(everything, detail_model, keep), folder, "detail")
+    both = clusters.assign(clusters.assign(everything, best_model, "cluster"), detail_model, "detail")
+    staged = files.stage(both.select(*keep, "cluster", "detail"), folder, "assigned")
+    assigned = staged.drop("detail")
+    detailed = staged.drop("cluster").withColumnRenamed("detail", "cluster")
     profile = clusters.cluster_profile(assigned, "cluster", "district")
     return Clustering(
         best_k,
@@ -324,6 +327,7 @@ def model_facts(facts: DataFrame, folder: str) -> Modeling:
     )
 
 
+# Names of the written prediction tables.
 MODEL_TABLES = (
     "predictions",
     "confusion_matrix",
@@ -352,6 +356,7 @@ def evidence_tables(
     processed_dir: str, explore_dir: str, cluster_dir: str, model_dir: str
 ) -> dict[str, dict[str, tuple[str, Sequence]]]:
     """Small result tables per stage, each with its path and row order."""
+    # Names of the exported tables.
     by_condition, by_k = ["weather_condition"], ["k"]
     by_share = ["cluster", F.desc("incident_count"), "district"]
     prepared = {

@@ -96,3 +96,15 @@ def test_dedup_prefers_the_stated_order(spark):
 def test_dedup_on_all_columns_is_distinct(spark):
     rows = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert sorted(r.k for r in contracts.dedup(rows, ["k"]).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_dedup_of_known_repeats_equals_dedup(spark, tables, monkeypatch, limit):
+    monkeypatch.setattr(contracts, "MAX_BROADCAST_ROWS", limit)
+    prepared = tables.prepared()
+    repeats = contracts.contract_repeats(prepared, S.INCIDENTS)
+    assert repeats.count() > 0
+    known = contracts.clean_written(prepared, S.INCIDENTS, repeats)
+    plain = contracts.clean(prepared, S.INCIDENTS)
+    assert known.columns == plain.columns and known.count() == plain.count()
+    assert known.exceptAll(plain).count() == 0
