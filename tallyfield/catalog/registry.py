@@ -10,6 +10,10 @@ from pyspark.sql.types import DateType, DoubleType, TimestampNTZType, TimestampT
 
 from .standins import Tables
 
+# Sums of doubles depend on their order in the last digit. Both engines add this before they round, so
+# that a value halfway between two roundings (an average of cents over 32 days, say) falls on one side.
+TIE_SHIFT = 3e-8
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -20,7 +24,7 @@ def comparable(df: DataFrame) -> DataFrame:
     def shown(name, kind):
         col = F.col(f"`{name}`")
         if isinstance(kind, DoubleType):
-            return F.round(col, 6).alias(name)
+            return F.round(col + F.lit(TIE_SHIFT), 6).alias(name)
         if isinstance(kind, DateType):
             return col.cast("string").alias(name)
         if isinstance(kind, (TimestampType, TimestampNTZType)):
@@ -40,7 +44,7 @@ def query(
     ints: Sequence[str] = (),
 ):
     """Register a function of ``Tables``; the column lists shape the SQL output like ``comparable``."""
-    shapes = [f"round({c}, 6) AS {c}" for c in floats]
+    shapes = [f"round({c} + {TIE_SHIFT}::DOUBLE, 6) AS {c}" for c in floats]
     shapes += [f"CAST({c} AS VARCHAR) AS {c}" for c in dates]
     shapes += [f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in times]
     shapes += [f"CAST({c} AS BIGINT) AS {c}" for c in longs]

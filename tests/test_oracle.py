@@ -8,12 +8,23 @@ from check_oracle import compare, connect
 from conftest import SF_DIR
 
 
+# Whole fits and jobs without a SQL twin; test_models.py and test_jobs.py check what they give.
+COVERED_ELSEWHERE = {
+    "b4_cluster",
+    "b5_predict",
+    "c9_compare_models",
+    "c10_compare_temporal",
+    "m7_best_k",
+    "m8_detail_assignment",
+}
+
+
 @pytest.fixture(scope="module")
 def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(set(queries()) - COVERED_ELSEWHERE))
 def test_query(spark, duck, name):
     result = compare(spark, duck, SF_DIR, name)
     assert result.startswith("ok"), result
