@@ -18,6 +18,7 @@ from .standins import (
     HOURLY_WEATHER_SQL,
     IMPACT_SQL,
     LOOKUP_SQL,
+    SERIES_YEARS,
     Tables,
 )
 
@@ -42,9 +43,10 @@ PATTERNS_SQL = f"""{EVENT_FACTS_SQL}, patterns AS (
     SELECT year, month, day_of_week, hour, count(*) AS crime_count FROM facts
     WHERE incident_timestamp IS NOT NULL GROUP BY ALL)"""
 PERIOD_SQL = f"""{DAILY_SQL}, {LOOKUP_SQL},
+    series_days AS (SELECT * FROM daily WHERE year(weather_date) BETWEEN {SERIES_YEARS[0]} AND {SERIES_YEARS[1]}),
     located AS (SELECT * FROM facts WHERE has_valid_community_area
-        AND incident_timestamp::DATE BETWEEN (SELECT min(weather_date) FROM daily)
-                                         AND (SELECT max(weather_date) FROM daily))"""
+        AND incident_timestamp::DATE BETWEEN (SELECT min(weather_date) FROM series_days)
+                                         AND (SELECT max(weather_date) FROM series_days))"""
 
 
 def impact(t: Tables):
@@ -84,7 +86,7 @@ def p12_day_type(t: Tables):
 )
 def f6_within_period(t: Tables):
     kept = t.facts().filter("has_valid_community_area")
-    return series.within_period(kept, TS, series.period(t.daily(), "weather_date")).select(
+    return series.within_period(kept, TS, series.period(t.series_days(), "weather_date")).select(
         "crime_id", TS, "community_area"
     )
 
@@ -263,7 +265,7 @@ def a13_correlations(t: Tables):
     floats=["hardship_index", "arrest_rate"],
 )
 def a14_area_summary(t: Tables):
-    bounds = series.period(t.daily(), "weather_date")
+    bounds = series.period(t.series_days(), "weather_date")
     return explore.area_summary(
         t.facts(), t.lookup(), bounds, "community_area", "has_valid_community_area", TS, YEARS, "arrest", AREA, COUNT
     )
@@ -279,7 +281,7 @@ def a14_area_summary(t: Tables):
     floats=["crime_share", "centroid_latitude", "centroid_longitude", "hardship_index"],
 )
 def a15_spatial_profile(t: Tables):
-    bounds = series.period(t.daily(), "weather_date")
+    bounds = series.period(t.series_days(), "weather_date")
     flags = ["has_valid_community_area", "has_valid_coordinates"]
     return explore.spatial_profile(
         t.facts(), t.lookup(), bounds, "community_area", flags, TS, ("community_name", "hardship_index"), COUNT

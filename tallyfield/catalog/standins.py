@@ -73,8 +73,9 @@ class Tables:
         )
 
     def daily(self) -> DataFrame:
-        """Daily counts of ``facts`` in the series years, with weather flags hashed from the date."""
-        day = self.facts().groupBy(F.to_date("incident_timestamp").alias("weather_date"))
+        """Daily counts of ``facts``, with weather flags hashed from the date."""
+        timed = self.facts().filter("incident_timestamp IS NOT NULL")
+        day = timed.groupBy(F.to_date("incident_timestamp").alias("weather_date"))
         counts = day.agg(F.count("*").alias("crime_count"))
         code = F.expr("conv(substring(md5(string(weather_date)), 1, 8), 16, 10) % 100").cast("int")
         bands = {
@@ -85,18 +86,27 @@ class Tables:
             "has_reported_weather_event": (0, 50),
         }
         flags = {name: code.between(low, high - 1).cast("int") for name, (low, high) in bands.items()}
-        return counts.filter(F.year("weather_date").between(*SERIES_YEARS)).withColumns(flags)
+        return counts.withColumns(flags)
+
+    def series_days(self) -> DataFrame:
+        """Days of a series that covers only some years of the incidents."""
+        return self.daily().filter(F.year("weather_date").between(*SERIES_YEARS))
 
     def raw_lookup(self) -> DataFrame:
-        """All-text area table from ``nation``, with a copy of each row and a total row."""
-        nation = self.read("nation")
-        rows = nation.selectExpr("string(n_nationkey) AS k", "n_name AS n", "string(n_regionkey) AS r")
-        copies = rows.selectExpr("concat(' ', k) AS k", "concat(n, '-COPY') AS n", "r")
+        """All-text area table from ``nation`` and the number of its customers, with a copy of each
+        row and a total row."""
+        customers = self.read("customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).count()
+        nation = self.read("nation").join(customers, "n_nationkey", "left").fillna(0, ["count"])
+        rows = nation.selectExpr(
+            "string(n_nationkey) AS k", "n_name AS n", "string(n_regionkey) AS r", "string(`count`) AS c"
+        )
+        copies = rows.selectExpr("concat(' ', k) AS k", "concat(n, '-COPY') AS n", "r", "c")
         total = nation.selectExpr(
-            "string(NULL) AS k", "'TOTAL' AS n", "string(sum(n_regionkey)) AS r"
+            "string(NULL) AS k", "'TOTAL' AS n", "string(sum(n_regionkey)) AS r", "string(sum(`count`)) AS c"
         )
         measures = ["concat(r, '.5') AS PERCENT_OF_HOUSING_CROWDED"]
-        measures += [f"r AS {name}" for name in S.AREA_MEASURES[1:-1]]
+        measures += [f"r AS {name}" for name in S.AREA_MEASURES[1:-2]]
+        measures += ["c AS PER_CAPITA_INCOME"]
         return rows.unionByName(copies).unionByName(total).selectExpr(
             "k AS `Community Area Number`",
             "concat(n, ' ') AS `COMMUNITY AREA NAME`",
@@ -236,13 +246,13 @@ DAILY_SQL = f"""{FACTS_SQL},
 counted AS (
   SELECT incident_timestamp::DATE AS weather_date, count(*) AS crime_count,
          ('0x' || substr(md5(strftime(incident_timestamp::DATE, '%Y-%m-%d')), 1, 8))::BIGINT % 100 AS code
-  FROM facts GROUP BY incident_timestamp::DATE),
+  FROM facts WHERE incident_timestamp IS NOT NULL GROUP BY incident_timestamp::DATE),
 daily AS (
   SELECT weather_date, crime_count, (code < 8)::INTEGER AS has_thunderstorm,
          (code >= 8 AND code < 20)::INTEGER AS has_snow, (code >= 20 AND code < 40)::INTEGER AS has_rain,
          (code >= 20 AND code < 45)::INTEGER AS has_precipitation,
          (code < 50)::INTEGER AS has_reported_weather_event
-  FROM counted WHERE year(weather_date) BETWEEN {SERIES_YEARS[0]} AND {SERIES_YEARS[1]})
+  FROM counted)
 """
 
 LOOKUP_SQL = """
@@ -253,7 +263,7 @@ lookup AS (
          n_regionkey::DOUBLE AS percent_aged_16_unemployed,
          n_regionkey::DOUBLE AS percent_aged_25_without_high_school_diploma,
          n_regionkey::DOUBLE AS percent_aged_under_18_or_over_64,
-         n_regionkey::DOUBLE AS per_capita_income,
+         (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey)::DOUBLE AS per_capita_income,
          CASE WHEN n_nationkey = 7 THEN NULL
               ELSE (n_regionkey::VARCHAR || n_nationkey::VARCHAR)::DOUBLE END AS hardship_index
   FROM nation WHERE n_nationkey BETWEEN 1 AND 77)

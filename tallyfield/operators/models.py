@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -157,8 +157,13 @@ def selected_metrics(comparison: DataFrame) -> DataFrame:
     )
 
 
-def _fit_all(train: DataFrame, pipelines: dict[str, Pipeline]) -> dict[str, PipelineModel]:
-    with persisted(spread(class_weights(train))) as weighted:
+def _fit_all(
+    train: DataFrame, spec: ModelSpec, build: Callable[[int], dict[str, Pipeline]]
+) -> dict[str, PipelineModel]:
+    """Fit the pipelines that ``build`` makes for a number of bins, on rows that are read from the source once."""
+    with persisted(spread(train)) as rows:
+        weighted = class_weights(rows)
+        pipelines = build(bins_for(rows, spec))
         fitted = concurrently(train.sparkSession, lambda p: p.fit(weighted), list(pipelines.values()))
     return dict(zip(pipelines, fitted))
 
@@ -183,9 +188,11 @@ def weighted_pipelines(spec: ModelSpec, bins: int) -> dict[str, Pipeline]:
 
 def fit_models(train: DataFrame, spec: ModelSpec) -> dict[str, PipelineModel]:
     """The unweighted forest and the three weighted models on one training frame."""
-    bins = bins_for(train, spec)
-    unweighted = {"unweighted_random_forest": rf_pipeline(spec, False, bins)}
-    return _fit_all(train, unweighted | weighted_pipelines(spec, bins))
+
+    def build(bins: int) -> dict[str, Pipeline]:
+        return {"unweighted_random_forest": rf_pipeline(spec, False, bins)} | weighted_pipelines(spec, bins)
+
+    return _fit_all(train, spec, build)
 
 
 def compare_models(models: dict[str, PipelineModel], test: DataFrame) -> list[tuple]:
@@ -201,7 +208,7 @@ def compare_temporal(df: DataFrame, spec: ModelSpec) -> list[tuple]:
     train, test, cutoff = temporal_split(df, spec.year, CUTOFF_YEARS)
     if not (has_classes(train) and has_classes(test)):
         return []
-    models = _fit_all(train, weighted_pipelines(spec, bins_for(train, spec)))
+    models = _fit_all(train, spec, lambda bins: weighted_pipelines(spec, bins))
     with persisted(spread(test)) as held:
         return _compare(models, held, "temporal_holdout", cutoff)
 

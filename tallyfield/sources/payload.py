@@ -9,12 +9,21 @@ from pyspark.sql.types import ArrayType, DataType, StringType, StructField, Stru
 
 
 def read_payloads(
-    spark: SparkSession, path: str, root: str, time_col: str, value_cols: Mapping[str, DataType]
+    spark: SparkSession,
+    path: str,
+    root: str,
+    time_col: str,
+    value_cols: Mapping[str, DataType],
+    multi_line: bool = False,
 ) -> DataFrame:
-    """One row per JSON document, with a stated schema, so that no pass infers one."""
+    """One row per JSON document, with a stated schema, so that no pass infers one.
+
+    A file holds one document per line, or with ``multi_line`` a single document.
+    """
     fields = [StructField(time_col, ArrayType(StringType()))]
     fields += [StructField(name, ArrayType(kind)) for name, kind in value_cols.items()]
-    return spark.read.schema(StructType([StructField(root, StructType(fields))])).json(path)
+    schema = StructType([StructField(root, StructType(fields))])
+    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
 def explode_aligned(

@@ -43,7 +43,7 @@ def test_range_on_year_prunes_and_flags_are_pushed(facts, capsys):
 
 
 def test_period_prunes_partitions_by_year(facts, tables, capsys):
-    bounds = series.period(tables.daily(), "weather_date")
+    bounds = series.period(tables.series_days(), "weather_date")
     text = explained(series.within_period(facts, "incident_timestamp", bounds, "year").select("crime_id"), capsys)
     filters = [line for line in text.split("\n") if "PartitionFilters" in line]
     assert any("year" in line and "Subquery" in line for line in filters)
@@ -87,7 +87,7 @@ def test_python_workers_are_not_used(spark):
 
 
 def test_area_summary_aggregates_before_the_join(facts, tables):
-    bounds = series.period(tables.daily(), "weather_date")
+    bounds = series.period(tables.series_days(), "weather_date")
     df = explore.area_summary(facts, tables.lookup(), bounds, "community_area", "has_valid_community_area",
                               "incident_timestamp", (1997, 1998), "arrest", ["community_name"], "crime_count")
     text = df._jdf.queryExecution().optimizedPlan().toString()
