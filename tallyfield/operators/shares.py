@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .scalars import grouped_total
 
-MAX_RANGES = 200
+MAX_RANGES = 1_000
 
 
 def share_of(df: DataFrame, part: str, value: str, name: str, digits: int | None = None) -> DataFrame:
@@ -42,25 +44,37 @@ def top_n(df: DataFrame, value: str, tie: str, n: int) -> DataFrame:
     return df.orderBy(F.desc(value), F.asc(tie)).limit(n)
 
 
+def _ranged(steps: DataFrame, order: str, ranges: int) -> DataFrame:
+    """Add ``_range``: the quantile range of a numeric column, rising with it; -1 for NULL.
+
+    The quantiles are computed before the plan is built, so that every part of it sees the same ranges.
+    """
+    marks = [i / ranges for i in range(1, ranges)]
+    value = F.col(order).cast("double")
+    cuts = steps.agg(F.percentile_approx(value, marks).alias("cuts")).first()["cuts"] if marks else None
+    inner = sorted({cut for cut in cuts or () if math.isfinite(cut)})
+    if not inner:
+        return steps.withColumn("_range", F.lit(0))
+    bucketizer = Bucketizer(
+        splits=[-math.inf, *inner, math.inf], inputCol="_value", outputCol="_bucket", handleInvalid="keep"
+    )
+    numbered = bucketizer.transform(steps.withColumn("_value", value))
+    # Never NULL, or the join on it would filter one of its two inputs, and they would not be shared.
+    number = F.coalesce(F.when(F.col(order).isNotNull(), F.col("_bucket").cast("int")), F.lit(-1))
+    return numbered.withColumn("_range", number).drop("_value", "_bucket")
+
+
 def prefix_sum(df: DataFrame, order: str, cols: Sequence[str], ranges: int | None = None) -> DataFrame:
-    """Sums per distinct ``order`` value, their running sums in descending order, and the totals.
+    """Sums per distinct value of a numeric column, their running sums in descending order, and the totals.
 
     One window over all rows would be one task. Here the distinct values are cut into ranges at
     approximate quantiles, each range has its own window, and the totals of the ranges above it (at
-    most ``MAX_RANGES`` rows) are added. The cuts are fixed before the plan is built, so that every
-    part of it sees the same ranges. NULL values come last. Adds ``running_<col>`` and ``total_<col>``.
+    most ``MAX_RANGES`` rows) are added. NULL comes last. Adds ``running_<col>`` and ``total_<col>``.
     """
     steps = df.groupBy(order).agg(*[F.sum(c).alias(c) for c in cols])
     if ranges is None:
         ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(1, min(ranges, MAX_RANGES))
-    marks = [i / ranges for i in range(1, ranges)]
-    cuts = steps.agg(F.percentile_approx(order, marks).alias("cuts")).first()["cuts"] if marks else None
-    number = F.lit(0)
-    if cuts:
-        above = F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts))]), lambda cut: cut < F.col(order))
-        number = F.when(F.col(order).isNull(), F.lit(-1)).otherwise(F.size(above))
-    ranged = steps.withColumn("_range", number)
+    ranged = _ranged(steps, order, max(1, min(ranges, MAX_RANGES)))
 
     totals = ranged.groupBy("_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in cols])
     every = Window.partitionBy(F.lit(0))

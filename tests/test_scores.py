@@ -1,5 +1,7 @@
 """Evaluation, running sums, samples, splits, and their independence of partitioning."""
 
+import math
+
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -62,7 +64,7 @@ def running(spark, rows, ranges):
 
 @pytest.mark.parametrize("ranges", [1, 2, 7, 50])
 def test_prefix_sum_equals_one_window(spark, ranges):
-    values = [(float(i * 37 % 101) / 7, i % 5) for i in range(400)] + [(None, 3)]
+    values = [(float(i * 37 % 101) / 7, i % 5) for i in range(400)] + [(None, 3), (math.inf, 2), (-math.inf, 1)]
     rows = spark.createDataFrame(values, "o double, n int").repartition(5)
     sums = {}
     for o, n in values:
