@@ -8,14 +8,17 @@ from check_oracle import compare, connect
 from conftest import SF_DIR
 
 
-# Whole fits and jobs without a SQL twin; test_models.py and test_jobs.py check what they give.
+# Whole fits and jobs; test_models.py and test_jobs.py check what they give, check_oracle.py runs these too.
 COVERED_ELSEWHERE = {
+    "b3_explore",
     "b4_cluster",
     "b5_predict",
+    "b6_export",
     "c9_compare_models",
     "c10_compare_temporal",
     "m7_best_k",
     "m8_detail_assignment",
+    "r9_rates_by_model",
 }
 
 

@@ -103,9 +103,9 @@ def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
     before = {key: spark.conf.get(key) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
-    rows = spark.range(0, 200000, 1, 16).select(
-        "id", F.md5(F.col("id").cast("string")).alias("text"), F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 4).alias("k")
-    )
+    key = F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 4)
+    text = F.md5(F.col("id").cast("string"))
+    rows = spark.range(0, 200000, 1, 16).select("id", text.alias("text"), key.alias("k"))
     path = str(tmp_path / "hot")
     files.write_partitioned(rows, path, ["k"])
     for key, value in before.items():

@@ -78,7 +78,8 @@ def test_prefix_sum_equals_one_window(spark, ranges):
 
 
 def test_prefix_sum_of_one_hot_value(spark):
-    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 0.5).otherwise(F.col("id") / 3000).alias("o"), F.lit(1).alias("n"))
+    order = F.when(F.col("id") % 3 > 0, 0.5).otherwise(F.col("id") / 3000)
+    rows = spark.range(3000).select(order.alias("o"), F.lit(1).alias("n"))
     got = running(spark, rows, 8)
     assert got[-1][2] == 3000 and [g[2] for g in got] == sorted(g[2] for g in got)
 
