@@ -10,6 +10,7 @@ are written with Spark's text writer, one file a task, and read back by declared
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -167,7 +168,7 @@ def warc_record(row: tuple) -> bytes:
 
 
 def write_warc(records: DataFrame, path: str, least_bytes: int = 0) -> None:
-    """Write converted records as WARC files, each payload of ``least_bytes`` or more once.
+    """Write converted records as compressed WARC files, each payload of ``least_bytes`` or more once.
 
     The record with the largest key (as a number) holds the payload, the others refer to it. Only one row a payload is
     joined to the records, so a payload that many records share is not gathered anywhere.
@@ -193,7 +194,7 @@ def write_warc(records: DataFrame, path: str, least_bytes: int = 0) -> None:
             yield (warc_record(row),)
 
     lines = map_rows(joined.select(*fields), "value binary", rows, 64).select(F.col("value").cast("string"))
-    lines.write.option("lineSep", RECORD_END.decode()).text(path)
+    lines.write.option("lineSep", RECORD_END.decode()).option("compression", "gzip").text(path)
 
 
 def read_warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -212,7 +213,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     def rows(given: Iterator[tuple]) -> Iterator[tuple]:
         for (data,) in given:
-            for header, block in read_warc_records(bytes(data)):
+            for header, block in read_warc_records(gzip.decompress(data)):
                 head, _, payload = block.partition(b"\r\n\r\n")
                 known = _fields(head).get(KEY_HEADER.lower()) or None
                 kind = header["warc-type"]
