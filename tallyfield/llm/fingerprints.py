@@ -16,7 +16,7 @@ SHINGLE = 5
 BINS = 128
 DIGITS = "0123456789abcdef"
 #: Rows in one range of neighbours.
-RANGE_ROWS = 16_384
+RANGE_ROWS = 2_048
 
 
 def let(value: Column, use) -> Column:
