@@ -14,10 +14,8 @@ from tallyfield.llm.queries import tokenizer_path
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores at its threshold or above; their labels' rows teach it."""
-    model = quality.fit_classifier(
-        quality.text_indicators(docs), quality.learnable(documents(spark, sf_dir, "labels"))
-    )
-    return docs.where(quality.quality_scorer(model, spark)(F.col("text")) >= quality.THRESHOLD)
+    model = quality.fit_classifier(docs, quality.learnable(documents(spark, sf_dir, "labels")))
+    return docs.where(quality.quality_score(model, spark)(F.col("text")) >= quality.THRESHOLD)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 A text is the set of its n-grams over two views: words in lower case, and word shapes (letter case, digits and marks,
 runs folded, with a mark where a word repeats the one before). Each indicator is scaled by the log ratio of its
-smoothed shares of the two classes, counted over all labelled texts. A linear model is fitted on the scaled indicators
-by dual coordinate descent on the hinge loss, and its margin is turned into a probability on rows set apart.
+smoothed shares of the two classes. A linear model is fitted on the scaled indicators by dual coordinate descent on the
+hinge loss, and its margin is turned into a probability on rows set apart. Training takes a bounded sample of labelled
+documents; scoring is one pass over all texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -15,14 +16,15 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType
 
 from .common import MEMO, id_remainder, map_rows, mixed
 
 #: Indicators are hashed into so many buckets, so weights have a fixed size.
 BUCKETS = 1 << 18
-#: Expected number of labelled rows that the linear model is fitted on; counts use all of them.
-FIT_ROWS = 12_000
+#: Expected number of labelled documents that the model is fitted on, at most.
+FIT_ROWS = 16_000
 SHAPE_ORDERS = (1, 2, 3)
 WORD_ORDERS = (1,)
 THRESHOLD = 0.7
@@ -134,63 +136,71 @@ def sigmoid_fit(margins: np.ndarray, good: np.ndarray) -> tuple[float, float]:
     return max(float(beta[0]), 1e-3), float(beta[1])
 
 
-def text_indicators(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col`` and the ``buckets`` of each text."""
-    kind = docs.schema[id_col].dataType.simpleString()
+def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> list:
+    """(good labels, bad labels, key hash, indicators) of about ``rows`` labelled documents, chosen by a hash of the id.
 
-    def rows(given: Iterator[tuple]) -> Iterator[tuple]:
-        for key, text in given:
-            yield key, indicators(text)
+    Labels are summed by id and texts of one id are one row, so a repeated id does not enlarge the sample.
+    """
+    label = F.col(label_col).cast("int")
+    known = labels.where(F.col(id_col).isNotNull() & label.isin(0, 1)).groupBy(F.col(id_col).alias("key"))
+    known = known.agg(F.sum(label).alias("good"), F.sum(1 - label).alias("bad"))
+    steps = 1 << 20
+    share = min(steps, steps * rows // max(1, known.count()))
+    known = known.where(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(steps)) < share)
+    known = known.withColumn("order", F.xxhash64("key", F.lit(9)))
+
+    def lists(given: Iterator[tuple]) -> Iterator[tuple]:
+        for key, good, bad, order, text in given:
+            yield key, good, bad, order, indicators(text).tobytes()
 
-    return map_rows(docs.select(F.col(id_col), F.col(text_col)), f"`{id_col}` {kind}, buckets array<int>", rows, 1024)
+    kind = docs.schema[id_col].dataType.simpleString()
+    texts = docs.select(F.col(id_col).cast(kind).alias("k"), F.col(text_col).alias("text"))
+    texts = texts.join(F.broadcast(known), F.col("k") == F.col("key"))  # about `rows` ids
+    found = map_rows(
+        texts.select("k", "good", "bad", "order", "text"),
+        f"key {kind}, good long, bad long, order long, buckets binary",
+        lists,
+        256,
+    )
+    one = found.groupBy("key", "good", "bad", "order").agg(F.min("buckets").alias("buckets"))
+    return [tuple(r) for r in one.select("good", "bad", "order", "buckets").orderBy("order", "key").collect()]
 
 
 def fit_classifier(
-    features: DataFrame,
+    docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
+    text_col: str = "text",
     label_col: str = "quality",
     fit_rows: int = FIT_ROWS,
     smooth: float = 1.0,
     cost: float = 1.0,
 ) -> Classifier:
-    """Class counts over all labelled rows; the linear model on about ``fit_rows`` of them, chosen by a hash of the id.
+    """Fit on about ``fit_rows`` labelled documents, chosen by a hash of the id: the bound of the training sample.
 
-    Rows with a null label or id teach nothing; a document with several labels counts with each. With one class only
-    every score is that class's share, 1 or 0; without labels it is 0.5.
+    Rows with a null label or id teach nothing; a document with labels of both classes counts with both. With one class
+    only every score is that class's share, 1 or 0; without labels it is 0.5.
     """
-    known = labels.select(F.col(id_col).alias("key"), F.col(label_col).cast("int").alias("label")).where(
-        F.col("label").isin(0, 1)
-    )
-    rows = features.select(F.col(id_col).alias("key"), "buckets").join(known, "key")
-    counted = rows.select("label", F.explode(F.concat("buckets", F.array(F.lit(-1)))).alias("bucket"))
-    counted = counted.groupBy("bucket").agg(
-        F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad")
-    )  # at most BUCKETS + 1 rows
-    counts = np.zeros((BUCKETS, 2))
-    total = np.zeros(2)
-    for bucket, good, bad in counted.collect():
-        if bucket < 0:
-            total[:] = good, bad
-        else:
-            counts[bucket] = good, bad
-    if not total.all():
+    rows = [
+        (side, order, np.frombuffer(buckets, np.int32).astype(np.int64))
+        for good, bad, order, buckets in _sample(docs, labels, id_col, text_col, label_col, fit_rows)
+        for side in [True] * bool(good) + [False] * bool(bad)
+    ]
+    good = np.array([r[0] for r in rows], bool)
+    if good.all() or not good.any():
         flat = np.zeros(BUCKETS)
-        share = 500.0 if total[0] else -500.0 if total[1] else 0.0
-        return Classifier(flat, flat, 0.0, 1.0, share)
+        return Classifier(flat, flat, 0.0, 1.0, 0.0 if not rows else 500.0 if good[0] else -500.0)
+    data = [r[2] for r in rows]
+    counts = np.zeros((BUCKETS, 2))
+    for row, side in zip(data, good):
+        counts[row, 0 if side else 1] += 1
     shares = (counts + smooth) / (counts + smooth).sum(axis=0)
     ratios = np.log(shares[:, 0] / shares[:, 1])
-    slices = max(1, int(total.sum() // fit_rows))
-    sample = rows.where(F.pmod(F.xxhash64(F.col("key"), F.lit(7)), F.lit(slices)) == 0)
-    sample = sample.select("label", "buckets", F.pmod(F.xxhash64(F.col("key"), F.lit(9)), F.lit(4)).alias("part"))
-    sample = sample.orderBy(F.xxhash64("buckets"), "label", "part").collect()  # about fit_rows rows
-    good = np.array([r["label"] == 1 for r in sample], bool)
-    data = [np.array(r["buckets"], np.int64) for r in sample]
-    apart = np.array([r["part"] == 0 for r in sample], bool)
+    apart = np.array([r[1] % 4 == 0 for r in rows], bool)
     if len(set(good[apart])) < 2 or len(set(good[~apart])) < 2:
-        apart = np.zeros(len(sample), bool)
+        apart = np.zeros(len(rows), bool)
     signs = np.where(good, 1.0, -1.0)
-    costs = cost * np.where(good, 1.0, max(1.0, good.sum() / max(1, (~good).sum()) / 2))
+    costs = cost * np.where(good, 1.0, max(1.0, good.sum() / (~good).sum() / 2))
     use = np.flatnonzero(~apart)
     weights, bias = dual_coordinate_descent([data[i] for i in use], signs[use], ratios, costs[use])
     model = Classifier(weights * ratios, ratios, bias, 1.0, 0.0)
@@ -199,25 +209,11 @@ def fit_classifier(
     return model._replace(slope=slope, shift=shift)
 
 
-def score_indicators(features: DataFrame, model: Classifier, threshold: float = THRESHOLD) -> DataFrame:
-    """All columns of ``features`` but the buckets, with ``score`` and ``predicted`` (1 from ``threshold`` on)."""
-    held = features.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers, twice
-
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = held.value
-        for batch in batches:
-            yield pd.Series([own.score(np.asarray(b, np.int64)) for b in batch], dtype=float)
-
-    out = features.withColumn("score", scored(F.col("buckets"))).drop("buckets")
-    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+def quality_score(model: Classifier, spark: SparkSession):
+    """The score of a text column: one pass where the rows lie. Null texts are scored like empty ones."""
+    held = spark.sparkContext.broadcast(model)  # two arrays of BUCKETS numbers
 
-
-def quality_scorer(model: Classifier, spark):
-    """The score of a text column."""
-    held = spark.sparkContext.broadcast(model)
-
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = held.value
         for batch in batches:
@@ -226,6 +222,14 @@ def quality_scorer(model: Classifier, spark):
     return scored
 
 
+def score_texts(
+    docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """``id_col``, ``score`` and ``predicted`` (1 from ``threshold`` on) of every row; other columns are not read."""
+    scored = docs.select(F.col(id_col), quality_score(model, docs.sparkSession)(F.col(text_col)).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
 def learnable(docs: DataFrame, id_col: str = "doc_id", modulus: int = 4, held: int = 2) -> DataFrame:
     """Rows that labels may be learned from."""
     return docs.where(id_remainder(F.col(id_col), modulus) != held)

@@ -40,13 +40,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_quality_classifier")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with scratch(spark) as folder:
-        features = packing.stage(quality.text_indicators(documents(spark, sf_dir)), folder, "features")
-        labels = quality.learnable(documents(spark, sf_dir, "labels"))
-        model = quality.fit_classifier(features, labels)
-        scored = quality.score_indicators(features, model)
-        held = id_remainder(F.col("doc_id"), 4) == 2
-        return keep(scored.select("doc_id", held.alias("held_out"), "score", "predicted"))
+    docs = documents(spark, sf_dir)
+    model = quality.fit_classifier(docs, quality.learnable(documents(spark, sf_dir, "labels")))
+    held = id_remainder(F.col("doc_id"), 4) == 2
+    return quality.score_texts(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
 @query(
