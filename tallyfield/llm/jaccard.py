@@ -1,10 +1,10 @@
 """Join of documents by the Jaccard similarity of their word shingles, through a token-group matrix.
 
-Similar sets are partitioned into groups of bounded size, by the smallest shingle that they share with others. The
-matrix says which groups hold which shingles: each group's union. A set can only reach the threshold with a member of a
-group whose union holds enough of its shingles, so it visits the groups that hold one of its rarest shingles, its
-overlap with the union is bounded, and only qualifying groups are opened and compared member by member. Each pair of
-groups is visited from one side.
+Similar sets are partitioned into groups of bounded number and like sizes, by the smallest shingle that they share with
+others. The matrix says which groups hold which shingles: each group's union. A set can only reach the threshold with a
+member of a group whose union holds enough of its shingles. So it visits the groups that hold enough of its rarest
+shingles, its overlap with the whole union is bounded, and only qualifying groups are opened and compared member by
+member. Each pair of groups is visited from one side.
 
 Shingles are ordered by their frequency in a hashed sample of the documents, then by hash. Any one order gives all
 links, so the sample only decides how few candidates there are. Equal sets are one node throughout.
@@ -12,6 +12,7 @@ links, so the sample only decides how few candidates there are. Equal sets are o
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -29,6 +30,8 @@ ORDER_SAMPLE = 16
 #: A shingle is frequent if it has this share of the sample, or four rows: so there are at most 1 / share.
 FREQUENT_SHARE = 2e-6
 MEMBERS = 64
+#: Sizes of the sets in a group differ by this factor at most.
+SIZE_BAND = 1.05
 VISITORS = 256
 #: Ids that are sent to every executor at most; beyond it the tables are shuffled.
 BROADCAST_ROWS = 1_000_000
@@ -151,14 +154,30 @@ def _compare(rows: list[tuple], percent: int) -> Iterator[tuple[int, int, int]]:
             yield ids[i], lowest[find(i)], links[i]
 
 
+def _least_common(size: F.Column, other: F.Column, percent: int) -> F.Column:
+    """Rare shingles that two similar sets of these sizes have in common.
+
+    Of ``size - least_overlap + 1`` shingles in one order, sets with an overlap of ``o`` share at least as many as the
+    shorter of these lists is longer than the shingles that its set does not share.
+    """
+    overlap = F.ceil((size + other) * percent / F.lit(100 + percent))
+    return overlap + 1 - F.ceil(F.greatest(size, other) * percent / F.lit(100))
+
+
 def _visits(shared: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Sets and the groups, behind their own, that hold one of their rare shingles and sizes near theirs."""
+    """Sets and the groups, their own or behind it, whose rare shingles cover enough of theirs for a similar member."""
     placed = shared.join(members.select("set_id", F.col("group").alias("home")), "set_id")
     matrix = placed.groupBy("shingle", F.col("home").alias("group")).agg(
-        F.min("size").alias("low"), F.max("size").alias("high")
+        F.count("*").alias("holders"), F.min("size").alias("low"), F.max("size").alias("high")
     )
+    ahead = (F.col("group") > F.col("home")) | ((F.col("group") == F.col("home")) & (F.col("holders") > 1))
     near = (100 * F.col("high") >= percent * F.col("size")) & (100 * F.col("size") >= percent * F.col("low"))
-    return placed.join(matrix, "shingle").where((F.col("group") > F.col("home")) & near).select("set_id", "group").distinct()
+    met = placed.join(matrix, "shingle").where(ahead & near).groupBy("set_id", "size", "home", "group")
+    met = met.agg(F.count("*").alias("common"), F.min("low").alias("low"), F.max("high").alias("high"))
+    low = F.greatest(F.col("low"), F.ceil(F.col("size") * percent / F.lit(100)))
+    high = F.least(F.col("high"), F.floor(F.col("size") * 100 / F.lit(percent)))
+    least = F.least(*[_least_common(F.col("size"), other, percent) for other in (low, high)]) - 1  # rounding
+    return met.where(F.col("common") >= least).select("set_id", "group", (F.col("group") == F.col("home")).alias("own"))
 
 
 def similar_sets(
@@ -174,16 +193,29 @@ def similar_sets(
     frequent = frequent_shingles(docs, id_col, text_col, words, ORDER_SAMPLE)
     signed = stage(signatures(docs, frequent, id_col, text_col, words, percent), folder, "signatures")
     first = signed.where("size > 0").groupBy("set_id").agg(F.min("key").alias("key"))
-    rare = signed.join(first, ["set_id", "key"]).select("set_id", "key", "size", F.explode("rare").alias("shingle"))
+    rare = signed.join(first, ["set_id", "key"]).select("set_id", "size", F.explode("rare").alias("shingle"))
     often = rare.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
     shared = stage(rare.join(often, "shingle"), folder, "shared").distinct()
-    home = shared.groupBy("set_id", "key").agg(F.min("shingle").alias("home"), F.max("size").alias("size"))
-    full = home.groupBy("home").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).cast("long").alias("parts"))
+    home = shared.groupBy("set_id").agg(F.min("shingle").alias("home"), F.max("size").alias("size"))
+    home = home.withColumn("band", F.floor(F.log("size") / math.log(SIZE_BAND)).cast("int"))
+    full = home.groupBy("home", "band").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).cast("long").alias("parts"))
     part = F.pmod(F.xxhash64("set_id"), F.col("parts"))
-    members = stage(
-        home.join(full, "home").select("set_id", "key", F.xxhash64("home", part).alias("group")), folder, "members"
+    members = home.join(full, ["home", "band"]).select("set_id", F.xxhash64("home", "band", part).alias("group"))
+    members = stage(members, folder, "members")
+    visits = stage(_visits(shared, members, percent), folder, "visits")
+
+    rooms = F.ceil(F.col("guests") / F.lit(VISITORS)).cast("long")
+    guests = visits.where("not own").groupBy("group").agg(F.count("*").alias("guests")).withColumn("rooms", rooms)
+    coming = visits.where("not own").join(guests, "group").select(
+        "set_id", "group", F.pmod(F.xxhash64("set_id", F.lit(3)), F.col("rooms")).alias("room"), F.lit(2).alias("role")
     )
-    visits = stage(_visits(shared.select("set_id", "shingle", "size"), members, percent), folder, "visits")
+    seats = visits.where("own").select("set_id", "group", F.lit(1).cast("long").alias("rooms"))
+    seats = seats.unionByName(members.join(guests, "group").select("set_id", "group", "rooms"))
+    seats = seats.groupBy("set_id", "group").agg(F.max("rooms").alias("rooms"))
+    hosts = seats.select(
+        "set_id", "group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rooms") - 1)).alias("room")
+    ).withColumn("role", F.when(F.col("room") == 0, 0).otherwise(1))
+    places = stage(hosts.unionByName(coming), folder, "places")
 
     def sets(given: Iterator[tuple]) -> Iterator[tuple]:
         for set_key, text in given:
@@ -191,30 +223,17 @@ def similar_sets(
             if set_id(shingles) == set_key:
                 yield set_key, shingles.tobytes()
 
-    wanted = members.select("set_id", F.col("key").alias("wanted"))
-    if members.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(wanted, F.col("k") == F.col("wanted"))
+    wanted = stage(places.select("set_id").distinct().join(first, "set_id"), folder, "wanted")
+    named = wanted.select("set_id", F.col("key").alias("wanted"))
+    if wanted.count() <= BROADCAST_ROWS:
+        named = F.broadcast(named)
+    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(named, F.col("k") == F.col("wanted"))
     known = map_rows(texts.select("set_id", "t"), "set_id long, shingles binary", sets, 256)
-    known = stage(known, folder, "sets").dropDuplicates(["set_id"])
-
-    guests = visits.groupBy("group").agg(F.count("*").alias("n"))
-    rooms = F.ceil(F.col("n") / F.lit(VISITORS)).cast("long")
-    seats = members.join(guests, "group", "left").select(
-        "set_id", "group", F.coalesce(rooms, F.lit(1)).alias("rooms")
-    )
-    hosts = seats.select(
-        "set_id", "group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rooms") - 1)).alias("room")
-    ).withColumn("role", F.when(F.col("room") == 0, 0).otherwise(1))
-    coming = visits.join(guests.withColumn("rooms", rooms), "group").select(
-        "set_id", "group", F.pmod(F.xxhash64("set_id", F.lit(3)), F.col("rooms")).alias("room"), F.lit(2).alias("role")
-    )
-    met = hosts.unionByName(coming).join(known, "set_id")
-    met = met.repartition("group", "room").sortWithinPartitions("group", "room", "role", "set_id")
+    met = places.join(known, "set_id").repartition("group", "room").sortWithinPartitions("group", "room", "role", "set_id")
 
     def compare(given: Iterator[tuple]) -> Iterator[tuple]:
         for _, rows in groupby(given, key=lambda r: r[:2]):
-            rows = [r[2:] for r in rows]
+            rows = [next(same)[2:] for _, same in groupby(rows, key=lambda r: r[2:4])]  # repeated rows once
             if len(rows) > 1:
                 yield from _compare(rows, percent)
 
