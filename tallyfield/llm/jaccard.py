@@ -33,8 +33,8 @@ MEMBERS = 64
 #: Sizes of the sets in a group differ by this factor at most.
 SIZE_BAND = 1.05
 VISITORS = 256
-#: Ids that are sent to every executor at most; beyond it the tables are shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Sets whose places are sent to every executor at most; beyond it the texts are shuffled.
+BROADCAST_ROWS = 200_000
 
 _WORDS = WordHashes()
 
@@ -192,10 +192,11 @@ def similar_sets(
     components (``node``, ``root``)."""
     frequent = frequent_shingles(docs, id_col, text_col, words, ORDER_SAMPLE)
     signed = stage(signatures(docs, frequent, id_col, text_col, words, percent), folder, "signatures")
+    # repeated rows stay in: they only make some shingles look shared
     first = signed.where("size > 0").groupBy("set_id").agg(F.min("key").alias("key"))
     rare = signed.join(first, ["set_id", "key"]).select("set_id", "size", F.explode("rare").alias("shingle"))
     often = rare.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
-    shared = stage(rare.join(often, "shingle"), folder, "shared").distinct()
+    shared = stage(rare.join(often, "shingle"), folder, "shared")
     home = shared.groupBy("set_id").agg(F.min("shingle").alias("home"), F.max("size").alias("size"))
     home = home.withColumn("band", F.floor(F.log("size") / math.log(SIZE_BAND)).cast("int"))
     full = home.groupBy("home", "band").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).cast("long").alias("parts"))
@@ -218,18 +219,22 @@ def similar_sets(
     places = stage(hosts.unionByName(coming), folder, "places")
 
     def sets(given: Iterator[tuple]) -> Iterator[tuple]:
-        for set_key, text in given:
+        for set_key, seats_of, text in given:
             shingles = shingle_set(text, words)
             if set_id(shingles) == set_key:
-                yield set_key, shingles.tobytes()
+                for seat in seats_of:
+                    yield seat["group"], seat["room"], seat["role"], set_key, shingles.tobytes()
 
-    wanted = stage(places.select("set_id").distinct().join(first, "set_id"), folder, "wanted")
-    named = wanted.select("set_id", F.col("key").alias("wanted"))
+    wanted = places.groupBy("set_id").agg(F.collect_list(F.struct("group", "room", "role")).alias("seats"))
+    wanted = stage(wanted.join(first, "set_id"), folder, "wanted")
+    named = wanted.select("set_id", "seats", F.col("key").alias("wanted"))
     if wanted.count() <= BROADCAST_ROWS:
         named = F.broadcast(named)
     texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(named, F.col("k") == F.col("wanted"))
-    known = map_rows(texts.select("set_id", "t"), "set_id long, shingles binary", sets, 256)
-    met = places.join(known, "set_id").repartition("group", "room").sortWithinPartitions("group", "room", "role", "set_id")
+    met = map_rows(
+        texts.select("set_id", "seats", "t"), "group long, room long, role int, set_id long, shingles binary", sets, 256
+    )
+    met = met.repartition("group", "room").sortWithinPartitions("group", "room", "role", "set_id")
 
     def compare(given: Iterator[tuple]) -> Iterator[tuple]:
         for _, rows in groupby(given, key=lambda r: r[:2]):
@@ -237,10 +242,7 @@ def similar_sets(
             if len(rows) > 1:
                 yield from _compare(rows, percent)
 
-    links = map_rows(
-        met.select("group", "room", "role", "set_id", "shingles"), "set_id long, root long, links long", compare
-    )
-    links = stage(links, folder, "links")
+    links = stage(map_rows(met, "set_id long, root long, links long", compare), folder, "links")
     return signed.select("key", "set_id", "size"), links, components(links, folder, "set_id", "root")
 
 
