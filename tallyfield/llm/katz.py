@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import map_rows, mixed, stage
 
-BLOCK_TOKENS = 1 << 22
+BLOCK_TOKENS = 1 << 21
 #: Entries that a partition of the word and pair tables holds on average.
 WORDS_EACH, PAIRS_EACH = 1 << 19, 1 << 21
 #: Counts up to this one are discounted.
