@@ -3,9 +3,10 @@
 A repeat is a string of ``span`` bytes that starts at two or more places of the corpus. Each start belongs to the
 smallest hash of a short byte gram in its string, so equal strings have one anchor, and starts with one anchor form
 segments of a text. Only segments whose anchor occurs twice can hold repeats. They are partitioned by anchor, and each
-partition keeps an index family: a batch of new segments gets a suffix array (over the starts, ``span`` bytes deep, as
-the rank of each start), is merge-scanned with every level that shares anchors with it for equal strings, and becomes
-a level; levels of one size merge. Equal segments are indexed once, with their number.
+partition keeps an index family: a batch of new segments is put in suffix order (its starts, ``span`` bytes deep), is
+merge-scanned for equal strings with the segments of every level that share its anchors, in parts of bounded size, and
+becomes a level; levels of one size merge. A scan ranks only segments in which a hash of the span occurs twice.
+Equal segments are indexed once, with their number.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ PIECE, SEGMENT = 1 << 20, 2048
 #: An anchor with more places than this is split by a second anchor.
 HOT_PLACES = 4096
 #: Bytes of segments in a partition on average, and in a batch.
-PARTITION_BYTES, BATCH_BYTES = 1 << 23, 1 << 21
+PARTITION_BYTES, BATCH_BYTES = 1 << 23, 1 << 20
 
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -40,6 +41,15 @@ def gram_hashes(data: np.ndarray, seed: int = 0) -> np.ndarray:
     return mixed(hashes)
 
 
+def span_hashes(data: np.ndarray, span: int) -> np.ndarray:
+    """Hashes of all runs of ``span`` bytes."""
+    hashes, done = data.astype(np.uint64) + np.uint64(1), 1
+    while 2 * done <= span:
+        hashes = mixed(hashes[:-done] * _FACTORS[0] + hashes[done:])
+        done *= 2
+    return hashes[: len(hashes) - (span - done)] * _FACTORS[1] + hashes[span - done :]
+
+
 def window_minima(hashes: np.ndarray, width: int) -> np.ndarray:
     """The smallest of each ``width`` neighbours."""
     done = 1
@@ -117,14 +127,13 @@ def span_ranks(text: np.ndarray, starts: np.ndarray, span: int) -> np.ndarray:
 
 
 class Level:
-    """The suffix array of some segments, as ranks of their starts within each anchor, and which starts repeat."""
+    """Segments with their anchors, and which of their starts repeat."""
 
     def __init__(self, ids: list[bytes], anchors: np.ndarray, bodies: list[bytes], whole: np.ndarray, span: int):
         self.ids, self.anchors, self.bodies, self.span, self.size = ids, anchors, bodies, span, 1
         self.starts = np.array([len(b) - span + 1 for b in bodies], np.int64)
         self.ends = np.cumsum(self.starts)
         self.repeats = np.repeat(whole, self.starts)
-        self.ranks = np.zeros(int(self.ends[-1]) if len(bodies) else 0, np.int64)
 
     def places(self, segments: np.ndarray) -> np.ndarray:
         """Places of the starts of some segments."""
@@ -132,37 +141,64 @@ class Level:
         ends = np.cumsum(counts)
         return np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.ends[segments] - ends, counts)
 
+    def parts(self, segments: np.ndarray, size: int) -> Iterator[np.ndarray]:
+        """Some segments in parts of about ``size`` bytes."""
+        sizes = np.cumsum(self.starts[segments] + self.span)
+        for part in np.split(segments, np.searchsorted(sizes, np.arange(size, sizes[-1] if len(sizes) else 0, size))):
+            if len(part):
+                yield part
 
-def scan(levels: list[Level], chosen: list[np.ndarray], span: int) -> None:
-    """Rank the chosen segments of some levels together and mark starts whose string occurs twice."""
+
+def _starts(levels: list[Level], chosen: list[np.ndarray], span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The text of segments, their starts in it, starts of each, and the anchor number of each start."""
     bodies = [level.bodies[i] for level, segments in zip(levels, chosen) for i in segments.tolist()]
-    if not bodies:
-        return
     text = np.frombuffer(b"".join(bodies), np.uint8)
     sizes = np.array([len(b) for b in bodies], np.int64)
     counts = sizes - span + 1
     ends = np.cumsum(counts)
-    within = np.arange(ends[-1]) - np.repeat(ends - counts, counts)
-    starts = np.repeat(np.cumsum(sizes) - sizes, counts) + within
+    starts = np.arange(ends[-1]) + np.repeat(np.cumsum(sizes) - sizes - ends + counts, counts)
     anchors = np.concatenate([level.anchors[segments] for level, segments in zip(levels, chosen)])
-    of = np.unique(anchors, return_inverse=True)[1]
-    ranks = _dense(np.repeat(of, counts), span_ranks(text, starts, span))
+    return text, starts, counts, np.repeat(np.unique(anchors, return_inverse=True)[1], counts)
+
+
+def _may_repeat(text: np.ndarray, starts: np.ndarray, anchors: np.ndarray, span: int) -> np.ndarray:
+    """Starts whose string has the hash of another one's: all repeats are among them."""
+    hashes = mixed(span_hashes(text, span)[starts] + mixed(anchors.astype(np.uint64)))
+    order = np.sort(hashes)
+    twice = np.unique(order[1:][order[1:] == order[:-1]])
+    if not len(twice):
+        return np.zeros(len(starts), bool)
+    return twice[np.minimum(np.searchsorted(twice, hashes), len(twice) - 1)] == hashes
+
+
+def scan(levels: list[Level], chosen: list[np.ndarray], span: int) -> None:
+    """Put the starts of some segments of some levels in suffix order, and mark those whose string occurs twice.
+
+    Segments in which no start can repeat are left out of the suffix array.
+    """
+    if not sum(map(len, chosen)):
+        return
+    text, starts, counts, anchors = _starts(levels, chosen, span)
+    may = np.logical_or.reduceat(_may_repeat(text, starts, anchors, span), np.cumsum(counts) - counts)
+    edges = np.cumsum([0, *map(len, chosen)])
+    chosen = [segments[may[a:b]] for segments, a, b in zip(chosen, edges, edges[1:])]
+    if not may.any():
+        return
+    text, starts, counts, anchors = _starts(levels, chosen, span)
+    ranks = _dense(anchors, span_ranks(text, starts, span))
     twice = np.bincount(ranks)[ranks] > 1
     at = 0
     for level, segments in zip(levels, chosen):
         places = level.places(segments)
-        level.ranks[places] = ranks[at : at + len(places)]
         level.repeats[places] |= twice[at : at + len(places)]
         at += len(places)
 
 
 def merge(a: Level, b: Level) -> Level:
-    """One level over two; shared anchors are ranked together, the others keep their ranks."""
-    both = Level(
-        a.ids + b.ids, np.concatenate((a.anchors, b.anchors)), a.bodies + b.bodies, np.zeros(len(a.ids) + len(b.ids), bool), a.span
-    )
+    """One level over two that have been scanned with each other."""
+    ids = a.ids + b.ids
+    both = Level(ids, np.concatenate((a.anchors, b.anchors)), a.bodies + b.bodies, np.zeros(len(ids), bool), a.span)
     both.repeats = np.concatenate((a.repeats, b.repeats))
-    both.ranks = np.concatenate((a.ranks, b.ranks))
     both.size = a.size + b.size
     return both
 
@@ -180,9 +216,9 @@ class IndexFamily:
         scan([new], [np.arange(len(ids))], self.span)
         for level in self.levels:
             shared = np.intersect1d(level.anchors, new.anchors)
-            if len(shared):
-                chosen = [np.flatnonzero(np.isin(x.anchors, shared)) for x in (level, new)]
-                scan([level, new], chosen, self.span)
+            mine = np.flatnonzero(np.isin(new.anchors, shared))
+            for part in level.parts(np.flatnonzero(np.isin(level.anchors, shared)), BATCH_BYTES):
+                scan([level, new], [part, mine[np.isin(new.anchors[mine], level.anchors[part])]], self.span)
         self.levels.append(new)
         while len(self.levels) > 1 and self.levels[-1].size == self.levels[-2].size:
             last = self.levels.pop()
