@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import MEMO, map_rows, stage
-from .tokens import ODD_SPACE, SPACE
+from .tokens import ODD_SPACE, PLAIN_WORD, SPACE, lowers_plain_words
 
 WINDOW = 2048
 #: Rows for which one block of ranks is counted.
@@ -32,14 +32,31 @@ class TokenIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.runs: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.plain = lowers_plain_words(self.tokenizer)
+
+    def part(self, text: str) -> bytes:
+        """Ids of a piece that is encoded for itself."""
+        found = self.parts.get(text)
+        if found is None:
+            if len(self.parts) >= MEMO:
+                self.parts.clear()
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            found = self.parts[text] = np.array(ids, "<u4").tobytes()
+        return found
 
     def run(self, text: str) -> bytes:
+        """Ids of symbols without white space; letters and the marks behind them are pieces of their own."""
         found = self.runs.get(text)
         if found is None:
             if len(self.runs) >= MEMO:
                 self.runs.clear()
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            found = self.runs[text] = np.array(ids, "<u4").tobytes()
+            plain = PLAIN_WORD.fullmatch(text) if self.plain else None
+            if plain:
+                found = self.part(plain[1].lower()) + (self.part(plain[2]) if plain[2] else b"")
+            else:
+                found = self.part(text)
+            self.runs[text] = found
         return found
 
     def of(self, text: str) -> bytes:

@@ -148,6 +148,19 @@ class ChunkMap(NamedTuple):
     tail: str
 
 
+PLAIN_LETTERS = [chr(c) for c in (*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100))]
+
+
+def lowers_plain_words(tokenizer) -> bool:
+    """Whether a tokenizer puts Latin-1 letters in lower case and parts them from marks."""
+    if not tokenizer.normalizer:
+        return False
+    upper = [c.upper() if len(c.upper()) == 1 and c.upper() <= "\xff" else c for c in PLAIN_LETTERS]
+    lower = [tokenizer.normalizer.normalize_str(u + "!") for u in upper]
+    pieces = tokenizer.pre_tokenizer.pre_tokenize_str
+    return all(low == c + "!" and len(pieces(low)) == 2 for c, low in zip(PLAIN_LETTERS, lower))
+
+
 @lru_cache(maxsize=4)
 def token_counter(path: str) -> TokenCounter:
     """The counter of a file; a Python worker keeps it from task to task."""
@@ -166,10 +179,8 @@ class TokenCounter:
         special = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.transducer = Transducer(path)
-        letters = [chr(c) for c in (*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100))]
-        self.alphabet = {ord(c): self.pieces(c)[0][0] for c in letters}
-        probe = [(c, self.normalize(c.upper() + "!")) for c in letters if len(c.upper()) == 1 and c.upper() <= "\xff"]
-        self.lowers = all(low == c + "!" and len(self.pieces(low)) == 2 for c, low in probe)
+        self.alphabet = {ord(c): self.pieces(c)[0][0] for c in PLAIN_LETTERS}
+        self.lowers = lowers_plain_words(tokenizer)
         self.words: dict[str, int] = {}
         self.counts: dict[str, int] = {}
 
