@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import MEMO, map_rows, stage
-from .tokens import ODD_SPACE, PLAIN_WORD, SPACE, lowers_plain_words
+from .tokens import ODD_SPACE, PLAIN_LETTERS, PLAIN_WORD, SPACE, lowers_plain_words
 
 WINDOW = 2048
 #: Rows for which one block of ranks is counted.
@@ -34,14 +34,20 @@ class TokenIds:
         self.runs: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.plain = lowers_plain_words(self.tokenizer)
+        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str if self.plain else None
+        self.alphabet = {ord(c): pieces(c)[0][0] for c in PLAIN_LETTERS} if self.plain else {}
+        self.model = self.tokenizer.model
 
-    def part(self, text: str) -> bytes:
-        """Ids of a piece that is encoded for itself."""
+    def part(self, text: str, plain: bool = False) -> bytes:
+        """Ids of a piece that is encoded for itself; plain letters and marks go straight to the library's model."""
         found = self.parts.get(text)
         if found is None:
             if len(self.parts) >= MEMO:
                 self.parts.clear()
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            if plain:
+                ids = [token.id for token in self.model.tokenize(text.translate(self.alphabet))]
+            else:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             found = self.parts[text] = np.array(ids, "<u4").tobytes()
         return found
 
@@ -53,7 +59,7 @@ class TokenIds:
                 self.runs.clear()
             plain = PLAIN_WORD.fullmatch(text) if self.plain else None
             if plain:
-                found = self.part(plain[1].lower()) + (self.part(plain[2]) if plain[2] else b"")
+                found = self.part(plain[1].lower(), True) + (self.part(plain[2], True) if plain[2] else b"")
             else:
                 found = self.part(text)
             self.runs[text] = found
