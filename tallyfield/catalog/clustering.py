@@ -115,18 +115,24 @@ def m3_scale(t: Tables):
     return clusters.scale(train, rows, S.CLUSTER_FEATURES).select("crime_id", *named)
 
 
-@query("m4_assign")
+@query("m4_assign", f"WITH {INPUT_SQL} SELECT crime_id, true AS nearest FROM input")
 def m4_assign(t: Tables):
-    """K-Means with K = 3 on all rows; cluster sizes."""
-    with fitting.persisted(scaled(t)) as train:
+    """K-Means with K = 3 on all rows: whether no other centre is nearer than the row's own."""
+    with fitting.persisted(fitting.spread(scaled(t), "crime_id")) as train:
         model = clusters.fit_kmeans(train, 3, clusters.SEEDS[0])
-    return clusters.assign(scaled(t), model, "cluster").groupBy("cluster").count()
+    values = vector_to_array("features")
+    distances = [
+        sum((values[i] - F.lit(float(x))) ** 2 for i, x in enumerate(centre)) for centre in model.clusterCenters()
+    ]
+    own = F.array(*distances)[F.col("cluster")]
+    assigned_rows = clusters.assign(scaled(t), model, "cluster")
+    return assigned_rows.select("crime_id", (own <= F.least(*distances) + 1e-9).alias("nearest"))
 
 
 @query(
     "m5_silhouette",
-    """WITH v AS (SELECT vec_id, label, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b FROM embeddings),
-       d AS (SELECT x.vec_id, x.label, y.label AS other, sum((x.a - y.a) ** 2 + (x.b - y.b) ** 2) AS total,
+    """WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+       d AS (SELECT x.vec_id, x.label, y.label AS other, sum(list_distance(x.e, y.e) ** 2) AS total,
                     count(*) AS n FROM v x, v y GROUP BY ALL),
        s AS (SELECT vec_id, max(total / (n - 1)) FILTER (label = other) AS inside,
                     min(total / n) FILTER (label <> other) AS outside FROM d GROUP BY vec_id)
@@ -134,34 +140,53 @@ def m4_assign(t: Tables):
     floats=["silhouette"],
 )
 def m5_silhouette(t: Tables):
-    """Silhouette of the given labels in the plane of the first two dimensions."""
-    plane = F.array(*[F.col("embedding")[i].cast("double") for i in range(2)])
-    rows = t.read("embeddings").select(array_to_vector(plane).alias("features"), F.col("label").alias("cluster"))
+    """Silhouette of the given labels in all dimensions."""
+    vector = array_to_vector(F.col("embedding").cast("array<double>"))
+    rows = t.read("embeddings").select(vector.alias("features"), F.col("label").alias("cluster"))
     with fitting.persisted(rows) as held:
         score = clusters.silhouette(held)
     return t.spark.createDataFrame([(score,)], "silhouette double")
 
 
-@query("m6_kmeans_sweep")
+@query(
+    "m6_kmeans_sweep",
+    f"""WITH {INPUT_SQL}
+        SELECT k::BIGINT AS k, seed::BIGINT AS seed, (SELECT count(*) FROM input) AS records, true AS sound
+        FROM (SELECT unnest({list(clusters.CANDIDATES)}) AS k), (SELECT unnest({list(clusters.SEEDS)}) AS seed)""",
+)
 def m6_kmeans_sweep(t: Tables):
-    rows = cluster_rows(t)
-    sample = sampling.training_sample(rows, "crime_id", S.TRAINING_FRACTION, S.SMALLEST_SAMPLE, S.SAMPLE_SEED)
-    scaled_sample = clusters.scale(sample, sample, S.CLUSTER_FEATURES)
-    with fitting.persisted(fitting.spread(scaled_sample)) as train:
-        return clusters.kmeans_sweep(train, "district")
+    """Fits on all valid rows, and whether their sizes and scores can be those of K clusters of them."""
+    with fitting.persisted(fitting.spread(scaled(t), "crime_id")) as train:
+        records = F.lit(train.count()).cast("long")
+        scores = clusters.kmeans_sweep(train, "district")
+    least, most, k = F.col("minimum_cluster_size"), F.col("maximum_cluster_size"), F.col("k")
+    sizes = (least >= 1) & (least * k <= records) & (most * k >= records) & (most <= records - (k - 1))
+    share = F.col("average_dominant_district_share")
+    sound = sizes & F.col("silhouette_score").between(-1, 1) & (F.col("training_cost") > 0) & share.between(0, 1)
+    return scores.select("k", "seed", records.alias("records"), sound.alias("sound"))
 
 
-@query("m7_best_k")
+@query(
+    "m7_best_k",
+    f"WITH {INPUT_SQL} SELECT count(*) AS records, true AS whole, true AS highest FROM input",
+)
 def m7_best_k(t: Tables):
-    """Profile of all rows under the K that a sweep chose."""
-    return jobs.cluster_facts(t.facts(), files.scratch_dir(t.spark), ks=(2, 3)).cluster_summary
+    """Rows profiled under the chosen K; whether there are K clusters, and no K scored higher."""
+    result = jobs.cluster_facts(t.facts(), files.scratch_dir(t.spark))
+    chosen = result.scores.filter(F.col("k") == result.best_k).first()["silhouette_score"]
+    higher = result.scores.filter(F.col("silhouette_score") > chosen).count()
+    return result.cluster_summary.agg(
+        F.sum("incident_count").alias("records"),
+        (F.count("*") == result.best_k).alias("whole"),
+        F.lit(higher == 0).alias("highest"),
+    )
 
 
-@query("m8_detail_assignment")
+@query("m8_detail_assignment", f"WITH {INPUT_SQL} SELECT crime_id, true AS detailed FROM input")
 def m8_detail_assignment(t: Tables):
-    """Assignments of all rows with K = 6."""
-    folder = files.scratch_dir(t.spark)
-    return jobs.cluster_facts(t.facts(), folder, ks=(2,), seeds=clusters.SEEDS[:1]).detailed_clustered_records
+    """All valid rows with one of the K = 6 clusters."""
+    records = jobs.cluster_facts(t.facts(), files.scratch_dir(t.spark)).detailed_clustered_records
+    return records.select("crime_id", F.col("cluster").between(0, clusters.DETAIL_K - 1).alias("detailed"))
 
 
 @query("a17_cluster_profile", f"WITH {PROFILE_SQL} SELECT * FROM profile", floats=PROFILE_FLOATS)

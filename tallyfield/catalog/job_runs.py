@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..plans import jobs, schemas as S
 from ..sources import files
+from .clustering import INPUT_SQL
+from .modeling import COMPARED_SQL, recomputed
 from .registry import query
 from .standins import HOURLY_WEATHER_SQL, LOOKUP_SQL, PREPARED_SQL, Tables
 
@@ -106,20 +110,41 @@ def b3_explore(t: Tables):
     return files.read_table(t.spark, f"{folder}/explored/weather_impact")
 
 
-@query("b4_cluster")
+@query(
+    "b4_cluster",
+    f"""WITH {INPUT_SQL}, counts AS (SELECT count(*) AS records, count(district) AS known FROM input)
+        SELECT unnest(['clustered_records', 'clustered_records_k6', 'cluster_summary', 'district_alignment']) AS name,
+               records FROM counts
+        UNION ALL SELECT 'district_alignment_k6', known FROM counts
+        UNION ALL SELECT 'silhouette_scores', 5 UNION ALL SELECT 'stability_scores', 15""",
+)
 def b4_cluster(t: Tables):
+    """Every written table with the incidents it holds, or its rows where they are no incidents."""
     folder = files.scratch_dir(t.spark)
     files.write_table(t.facts(), f"{folder}/facts")
     jobs.cluster_job(t.spark, f"{folder}/facts", f"{folder}/clustered")
-    return files.read_table(t.spark, f"{folder}/clustered/silhouette_scores")
-
-
-@query("b5_predict")
+    held = {
+        "clustered_records": F.count("*"),
+        "clustered_records_k6": F.count("*"),
+        "cluster_summary": F.sum("incident_count"),
+        "district_alignment": F.sum("incident_count"),
+        "district_alignment_k6": F.sum("incident_count"),
+        "silhouette_scores": F.count("*"),
+        "stability_scores": F.count("*"),
+    }
+    rows = [
+        files.read_table(t.spark, f"{folder}/clustered/{name}").agg(value.alias("records")).withColumn("name", F.lit(name))
+        for name, value in held.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query("b5_predict", f"WITH {COMPARED_SQL} SELECT * FROM holdout UNION ALL SELECT * FROM temporal")
 def b5_predict(t: Tables):
     folder = files.scratch_dir(t.spark)
     files.write_table(t.facts(), f"{folder}/facts")
     jobs.model_job(t.spark, f"{folder}/facts", f"{folder}/predicted")
-    return files.read_table(t.spark, f"{folder}/predicted/model_comparison")
+    return recomputed(files.read_table(t.spark, f"{folder}/predicted/model_comparison"))
 
 
 @query("b6_export", f"WITH {LOOKUP_SQL} SELECT * FROM lookup", floats=S.AREA_MEASURES)

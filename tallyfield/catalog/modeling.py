@@ -7,6 +7,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, fitting, models, sampling
+from ..operators.scalars import over_all
 from ..plans import schemas as S
 from .registry import query
 from .standins import MODEL_TABLE_SQL, SCORED_SQL, Tables, key_hash_sql
@@ -14,6 +15,28 @@ from .standins import MODEL_TABLE_SQL, SCORED_SQL, Tables, key_hash_sql
 SPEC = S.MODEL
 NUMBERS = ["latitude", "longitude"]
 TRAIN_BOUND = round(S.TRAIN_FRACTION * (1 << 32))
+TEST_SQL = f"""{MODEL_TABLE_SQL},
+test AS (SELECT * FROM model_rows WHERE {key_hash_sql('crime_id')} >= {TRAIN_BOUND})"""
+HOLDOUT_MODELS = [
+    "majority_class_baseline",
+    "unweighted_random_forest",
+    "weighted_random_forest",
+    "weighted_logistic_regression",
+    "weighted_gradient_boosted_trees",
+]
+# What SQL can know of a comparison: its rows, and the labels that each was made on.
+COMPARED_SQL = f"""{TEST_SQL},
+holdout AS (
+  SELECT unnest({HOLDOUT_MODELS}) AS model_name, 'seeded_random_holdout' AS validation_strategy,
+         0::BIGINT AS temporal_cutoff_year, count(*) FILTER (label = 1) AS positives,
+         count(*) FILTER (label = 0) AS negatives, true AS rates_follow FROM test),
+late AS (SELECT *, (SELECT max(year) - 3 FROM model_rows) AS cutoff FROM model_rows),
+temporal AS (
+  SELECT unnest({HOLDOUT_MODELS[2:]}) AS model_name, 'temporal_holdout' AS validation_strategy,
+         cutoff::BIGINT AS temporal_cutoff_year, count(*) FILTER (year >= cutoff AND label = 1) AS positives,
+         count(*) FILTER (year >= cutoff AND label = 0) AS negatives, true AS rates_follow
+  FROM late GROUP BY cutoff
+  HAVING positives > 0 AND negatives > 0 AND count(DISTINCT label) FILTER (year < cutoff) = 2)"""
 INDEX_SQL = f"""{MODEL_TABLE_SQL},
 ranked AS (SELECT primary_type, row_number() OVER (ORDER BY count(*) DESC, primary_type) - 1 AS i
            FROM model_rows GROUP BY primary_type)"""
@@ -26,10 +49,50 @@ def split(t: Tables):
 def fitted(t: Tables, build):
     """Predictions of one model on the random holdout."""
     train, test = split(t)
-    with fitting.persisted(fitting.spread(models.class_weights(train))) as weighted:
+    with fitting.persisted(fitting.spread(models.class_weights(train), SPEC.key)) as weighted:
         return build.fit(weighted).transform(test)
 
 
+def checked(predictions):
+    """Key and label, and whether the probabilities sum to 1 and the prediction is the likelier class."""
+    p = vector_to_array("probability")
+    sums = (F.abs(p[0] + p[1] - 1) < 1e-9) & p[1].between(0, 1)
+    likelier = F.col("prediction") == (p[1] > p[0]).cast("double")
+    return predictions.select(SPEC.key, "label", (sums & likelier).alias("agrees"))
+
+
+CHECKED_SQL = f"WITH {TEST_SQL} SELECT crime_id, label, true AS agrees FROM test"
+
+
+def recomputed(comparison):
+    """Model, split and label counts of each row, and whether its rates follow from its counts."""
+    tp, fp, fn, tn = (
+        F.col(c) for c in ("true_positive", "false_positive", "false_negative", "true_negative")
+    )
+
+    def ratio(part, whole):
+        return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+
+    rates = {
+        "precision": ratio(tp, tp + fp),
+        "recall": ratio(tp, tp + fn),
+        "specificity": ratio(tn, tn + fp),
+        "f1_score": ratio(2 * tp, 2 * tp + fp + fn),
+        "balanced_accuracy": (ratio(tp, tp + fn) + ratio(tn, tn + fp)) / 2,
+    }
+    follow = F.col("area_under_roc").between(0, 1) & F.col("area_under_pr").between(0, 1)
+    for name, value in rates.items():
+        follow = follow & (F.abs(F.col(name) - value) < 1e-9)
+    return comparison.select(
+        "model_name",
+        "validation_strategy",
+        "temporal_cutoff_year",
+        (tp + fn).alias("positives"),
+        (fp + tn).alias("negatives"),
+        follow.alias("rates_follow"),
+    )
+
+
 @query("c1_model_table", f"WITH {MODEL_TABLE_SQL} SELECT * FROM model_rows", floats=NUMBERS)
 def c1_model_table(t: Tables):
     return t.model_table()
@@ -84,24 +147,29 @@ def c4_category_one_hot(t: Tables):
     )
 
 
-@query("c5_random_forest")
+@query("c5_random_forest", CHECKED_SQL)
 def c5_random_forest(t: Tables):
-    return models.prediction_output(fitted(t, models.rf_pipeline(SPEC, True)), SPEC.key, "arrest_probability")
+    return checked(fitted(t, models.rf_pipeline(SPEC, True)))
 
 
-@query("c5_random_forest_unweighted")
+@query(
+    "c5_random_forest_unweighted",
+    f"WITH {TEST_SQL} SELECT label, count(*) AS records FROM test GROUP BY label",
+)
 def c5_random_forest_unweighted(t: Tables):
-    return evaluate.confusion(fitted(t, models.rf_pipeline(SPEC, False)))
+    """Rows per label in the confusion table of the unweighted forest."""
+    table = evaluate.confusion(fitted(t, models.rf_pipeline(SPEC, False)))
+    return table.groupBy("label").agg(F.sum("count").alias("records"))
 
 
-@query("c6_boosted_trees")
+@query("c6_boosted_trees", CHECKED_SQL)
 def c6_boosted_trees(t: Tables):
-    return models.prediction_output(fitted(t, models.gbt_pipeline(SPEC)), SPEC.key, "arrest_probability")
+    return checked(fitted(t, models.gbt_pipeline(SPEC)))
 
 
-@query("c7_logistic_regression")
+@query("c7_logistic_regression", CHECKED_SQL)
 def c7_logistic_regression(t: Tables):
-    return models.prediction_output(fitted(t, models.lr_pipeline(SPEC)), SPEC.key, "arrest_probability")
+    return checked(fitted(t, models.lr_pipeline(SPEC)))
 
 
 @query(
@@ -122,36 +190,37 @@ def c8_majority_baseline(t: Tables):
     return models.comparison_table(t.spark, [row])
 
 
-@query("c9_compare_models")
-def c9_compare_models(t: Tables):
+def holdout_rows(t: Tables):
+    """Baseline and all models on the random holdout."""
     train, test = split(t)
-    return models.comparison_table(t.spark, models.compare_models(models.fit_models(train, SPEC), test))
+    return models.comparison_table(t.spark, models.compare_models(models.fit_models(train, SPEC), test, SPEC))
+
 
+@query("c9_compare_models", f"WITH {COMPARED_SQL} SELECT * FROM holdout")
+def c9_compare_models(t: Tables):
+    return recomputed(holdout_rows(t))
 
-@query("c10_compare_temporal")
+
+@query("c10_compare_temporal", f"WITH {COMPARED_SQL} SELECT * FROM temporal")
 def c10_compare_temporal(t: Tables):
-    return models.comparison_table(t.spark, models.compare_temporal(t.model_table(), SPEC))
+    return recomputed(models.comparison_table(t.spark, models.compare_temporal(t.model_table(), SPEC)))
 
 
-@query("c11_selected_metrics")
+@query(
+    "c11_selected_metrics",
+    f"WITH {COMPARED_SQL} SELECT * FROM holdout WHERE model_name = '{models.SELECTED[0]}'",
+)
 def c11_selected_metrics(t: Tables):
     """Comparison row of the selected model, from its own fit."""
     row = models.comparison_row(fitted(t, models.rf_pipeline(SPEC, True)), *models.SELECTED)
-    return models.selected_metrics(models.comparison_table(t.spark, [row]))
+    return recomputed(models.selected_metrics(models.comparison_table(t.spark, [row])))
 
 
-@query("r9_rates_by_model")
+@query("r9_rates_by_model", f"WITH {COMPARED_SQL} SELECT model_name, rates_follow FROM holdout")
 def r9_rates_by_model(t: Tables):
-    """Rates of two models on the random holdout."""
-    rows = [
-        models.comparison_row(fitted(t, models.rf_pipeline(SPEC, True)), *models.SELECTED),
-        models.comparison_row(
-            fitted(t, models.lr_pipeline(SPEC)), "weighted_logistic_regression", models.SELECTED[1]
-        ),
-    ]
-    table = models.comparison_table(t.spark, rows)
-    holdout = table.filter(F.col("validation_strategy") == models.SELECTED[1])
-    return holdout.select("model_name", "precision", "recall", "f1_score").orderBy("f1_score")
+    """All models on the random holdout, by rising F1."""
+    holdout = holdout_rows(t).filter(F.col("validation_strategy") == models.SELECTED[1])
+    return recomputed(holdout.orderBy("f1_score")).select("model_name", "rates_follow")
 
 
 @query(
@@ -168,16 +237,26 @@ def c12_prediction_output(t: Tables):
 
 def importance(t: Tables):
     train, _ = split(t)
-    with fitting.persisted(fitting.spread(models.class_weights(train))) as weighted:
+    with fitting.persisted(fitting.spread(models.class_weights(train), SPEC.key)) as weighted:
         model = models.rf_pipeline(SPEC, True).fit(weighted)
     return models.feature_importance(model, SPEC, t.spark)
 
 
-@query("c13_feature_importance")
+IMPORTANCE_SQL = f"""WITH {MODEL_TABLE_SQL} SELECT unnest({[*SPEC.numbers, SPEC.category]}) AS feature,
+    true AS sums_to_one FROM (SELECT 1 FROM model_rows LIMIT 1)"""
+
+
+def sums_to_one(table):
+    """Features of an importance table, and whether their shares sum to 1."""
+    total = over_all(F.sum("importance"))
+    return table.select("feature", (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
+
+
+@query("c13_feature_importance", IMPORTANCE_SQL)
 def c13_feature_importance(t: Tables):
-    return importance(t).orderBy(F.desc("importance"))
+    return sums_to_one(importance(t).orderBy(F.desc("importance")))
 
 
-@query("r7_importance_ascending")
+@query("r7_importance_ascending", IMPORTANCE_SQL)
 def r7_importance_ascending(t: Tables):
-    return importance(t).orderBy("importance")
+    return sums_to_one(importance(t).orderBy("importance"))

@@ -81,22 +81,33 @@ def e1_binary_metrics(t: Tables):
     return evaluate.binary_metrics(t.scored())
 
 
-@query(
-    "e2_areas",
-    f"""WITH {STEPS_SQL}, points AS (
+AREAS_SQL = """points AS (
           SELECT score, running_negative / total_negative AS x, running_positive / total_positive AS y,
                  running_positive / (running_positive + running_negative) AS p FROM running),
         pairs AS (
           SELECT x - coalesce(lag(x) OVER w, 0) AS dx, (y + coalesce(lag(y) OVER w, 0)) / 2 AS my,
                  y - coalesce(lag(y) OVER w, 0) AS dy, (p + coalesce(lag(p) OVER w, p)) / 2 AS mp
           FROM points WINDOW w AS (ORDER BY score DESC))
-        SELECT sum(dx * my) AS area_under_roc, sum(dy * mp) AS area_under_pr FROM pairs""",
+        SELECT sum(dx * my) AS area_under_roc, sum(dy * mp) AS area_under_pr FROM pairs"""
+PRICED_SQL = """
+scored AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, l_extendedprice AS score FROM lineitem)
+"""
+
+
+@query("e2_areas", f"WITH {STEPS_SQL}, {AREAS_SQL}", floats=["area_under_roc", "area_under_pr"])
+def e2_areas(t: Tables):
+    return evaluate.areas(t.scored(), "score")
+
+
+@query(
+    "e2_areas_many_scores",
+    f"WITH {STEPS_SQL.replace(SCORED_SQL, PRICED_SQL)}, {AREAS_SQL}",
     floats=["area_under_roc", "area_under_pr"],
 )
-def e2_areas(t: Tables):
-    scored = t.scored().withColumn("rawPrediction", F.col("score"))
-    roc, pr = evaluate.auc(scored)
-    return t.spark.createDataFrame([(roc, pr)], "area_under_roc double, area_under_pr double")
+def e2_areas_many_scores(t: Tables):
+    """Nearly as many distinct scores as rows."""
+    label = (F.col("l_returnflag") == "R").cast("double").alias("label")
+    return evaluate.areas(t.read("lineitem").select(label, "l_extendedprice"), "l_extendedprice")
 
 
 @query(
@@ -201,9 +212,9 @@ def o6_training_sample(t: Tables):
     floats=["value"],
 )
 def o5_training_floor(t: Tables):
-    """The sample is below the floor, so that all rows are used."""
+    """All rows, once it is sure that they reach the floor."""
     rows = t.read("events").select("event_id", "value")
-    return sampling.training_sample(rows, "event_id", 0.0, S.SMALLEST_SAMPLE, S.SAMPLE_SEED)
+    return sampling.training_sample(rows, "event_id", 1.0, S.SMALLEST_SAMPLE, S.SAMPLE_SEED)
 
 
 @query(

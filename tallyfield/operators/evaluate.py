@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .shares import prefix_sum
@@ -63,11 +62,33 @@ def binary_metrics(df: DataFrame) -> DataFrame:
     )
 
 
-def auc(df: DataFrame, raw: str = "rawPrediction") -> tuple[float, float]:
-    """Areas under the ROC and the precision-recall curve."""
-    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol=raw)
-    return tuple(
-        float(evaluator.setMetricName(name).evaluate(df)) for name in ("areaUnderROC", "areaUnderPR")
+def _steps(df: DataFrame, score: str) -> DataFrame:
+    """Positive and negative rows per distinct score, with running sums in descending order."""
+    labelled = df.select(
+        score,
+        (F.col("label") == 1).cast("long").alias("positive"),
+        (F.col("label") == 0).cast("long").alias("negative"),
+    )
+    return prefix_sum(labelled, score, ["positive", "negative"])
+
+
+def areas(df: DataFrame, score: str) -> DataFrame:
+    """Exact areas under the ROC and the precision-recall curve, in one row; NULL without the labels they need.
+
+    The trapezoids follow from the running counts per distinct score, so the curve is never thinned,
+    however many scores there are.
+    """
+    positive, negative, hits, misses = (
+        F.col(c).cast("double") for c in ("positive", "negative", "running_positive", "running_negative")
+    )
+    precision = F.try_divide(hits, hits + misses)
+    before = F.try_divide(hits - positive, hits + misses - positive - negative)
+    positives, negatives = (F.max(c).cast("double") for c in ("total_positive", "total_negative"))
+    return _steps(df, score).agg(
+        F.try_divide(F.sum(negative * (hits - positive / 2)), positives * negatives).alias("area_under_roc"),
+        F.try_divide(
+            F.sum(positive * (precision + F.coalesce(before, precision)) / 2), positives
+        ).alias("area_under_pr"),
     )
 
 
@@ -105,13 +126,7 @@ def threshold_metrics(df: DataFrame, score: str, thresholds: Sequence[float] = T
 
 def roc_curve(df: DataFrame, score: str) -> DataFrame:
     """Running true and false positive rate per distinct score, descending, with both end points."""
-    labelled = df.select(
-        score,
-        (F.col("label") == 1).cast("long").alias("positive"),
-        (F.col("label") == 0).cast("long").alias("negative"),
-    )
-    running = prefix_sum(labelled, score, ["positive", "negative"])
-    points = running.select(
+    points = _steps(df, score).select(
         F.try_divide(F.col("running_negative"), F.col("total_negative")).alias("false_positive_rate"),
         F.try_divide(F.col("running_positive"), F.col("total_positive")).alias("true_positive_rate"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.labels import day_type, season
 from .contracts import require_flags
-from .scalars import over_all
+from .scalars import grouped_total, over_all
 from .series import densify, enrich, rolling_mean, spine, within_period
 
 
@@ -152,8 +152,8 @@ def spatial_profile(
 ) -> DataFrame:
     """Count, share of all located incidents, centroid and attributes per area in the period.
 
-    The share counts areas without a lookup row too. Its total comes from the per-area counts, of
-    which there are no more than the area flag allows.
+    The share counts areas without a lookup row too. Its total is summed from the per-area counts in
+    parts, so no task sees all areas.
     """
     per_area = (
         within_period(require_flags(df, flags), ts, period_row, "year")
@@ -166,7 +166,7 @@ def spatial_profile(
     )
     share = count.replace("count", "share")
     name, score = attributes
-    shared = per_area.withColumn(share, F.col(count) / over_all(F.sum(count)))
+    shared = per_area.withColumn(share, F.col(count) / grouped_total(per_area, count))
     return enrich(shared, lookup.select(key, name, score), key).select(
         key, name, count, share, "centroid_latitude", "centroid_longitude", score
     )

@@ -11,10 +11,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
-from .scalars import at_least
-
 PARALLEL_FITS = 8
-ROWS_PER_CORE = 1_000
+FIT_PARTITIONS = 16
 
 Item = TypeVar("Item")
 Result = TypeVar("Result")
@@ -30,15 +28,14 @@ def persisted(df: DataFrame):
         held.unpersist()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of rows that many passes will read.
+def spread(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Deal rows that many passes will read by the hash of their key, in key order.
 
-    Frames with enough partitions stay as they are, and so do those too small to be worth a task per core.
+    A fit draws its start and its bootstrap per partition, so it depends on where rows lie. With a
+    stated number of partitions it is the same on any cluster and however its input was split; a
+    caller with more rows than 16 tasks can hold states a larger number.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or not at_least(df, cores * ROWS_PER_CORE):
-        return df
-    return df.repartition(cores)
+    return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def concurrently(

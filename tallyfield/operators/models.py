@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.labels import positive_score, to_label
 from .contracts import drop_null, require_flags
-from .evaluate import auc, binary_metrics
+from .evaluate import areas, binary_metrics
 from .fitting import concurrently, persisted, spread
 from .sampling import temporal_split
 
@@ -22,7 +22,7 @@ TREES = 20
 BOOSTING_ROUNDS = 20
 LOGISTIC_ROUNDS = 50
 LOGISTIC_L2 = 0.01
-SMALLEST_BINS = 64
+BINS = 64
 CUTOFF_YEARS = 3
 SELECTED = ("weighted_random_forest", "seeded_random_holdout")
 
@@ -106,18 +106,20 @@ def _weighted(classifier, weighted: bool):
     return classifier.setWeightCol("class_weight") if weighted else classifier
 
 
-def bins_for(df: DataFrame, spec: ModelSpec) -> int:
-    """Tree bins that hold every category and the one for unseen ones."""
-    return max(SMALLEST_BINS, df.select(spec.category).distinct().count() + 1)
+def require_bins(df: DataFrame, spec: ModelSpec, bins: int) -> DataFrame:
+    """Return ``df``, or fail when its categories and the index of unseen ones need more tree bins."""
+    if df.select(spec.category).distinct().limit(bins).count() >= bins:
+        raise ValueError(f"{spec.category} has at least {bins} categories, too many for bins={bins}.")
+    return df
 
 
-def rf_pipeline(spec: ModelSpec, weighted: bool, bins: int = SMALLEST_BINS) -> Pipeline:
+def rf_pipeline(spec: ModelSpec, weighted: bool, bins: int = BINS) -> Pipeline:
     """Random forest on numbers and the category index."""
     forest = RandomForestClassifier(numTrees=TREES, maxBins=bins, seed=SEED)
     return Pipeline(stages=[category_index(spec), _features(spec, "index"), _weighted(forest, weighted)])
 
 
-def gbt_pipeline(spec: ModelSpec, weighted: bool = True, bins: int = SMALLEST_BINS) -> Pipeline:
+def gbt_pipeline(spec: ModelSpec, weighted: bool = True, bins: int = BINS) -> Pipeline:
     """Gradient-boosted trees on the same features."""
     boosted = GBTClassifier(maxIter=BOOSTING_ROUNDS, maxBins=bins, seed=SEED)
     return Pipeline(stages=[category_index(spec), _features(spec, "index"), _weighted(boosted, weighted)])
@@ -140,8 +142,12 @@ def comparison_row(
 ) -> tuple:
     """One row of the comparison table; without a ranking, the areas are 0.5 and the positive share."""
     metrics = binary_metrics(predictions).first()
-    areas = auc(predictions) if ranked else (0.5, metrics["positive_share"])
-    return (model_name, strategy, cutoff, *metrics[:-1], *areas)
+    if ranked:
+        ranks = predictions.select("label", positive_score(F.col("rawPrediction")).alias("rank"))
+        under = tuple(areas(ranks, "rank").first())
+    else:
+        under = (0.5, metrics["positive_share"])
+    return (model_name, strategy, cutoff, *metrics[:-1], *under)
 
 
 def comparison_table(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
@@ -158,12 +164,11 @@ def selected_metrics(comparison: DataFrame) -> DataFrame:
 
 
 def _fit_all(
-    train: DataFrame, spec: ModelSpec, build: Callable[[int], dict[str, Pipeline]]
+    train: DataFrame, spec: ModelSpec, pipelines: dict[str, Pipeline], bins: int
 ) -> dict[str, PipelineModel]:
-    """Fit the pipelines that ``build`` makes for a number of bins, on rows that are read from the source once."""
-    with persisted(spread(train)) as rows:
-        weighted = class_weights(rows)
-        pipelines = build(bins_for(rows, spec))
+    """Fit pipelines on rows that are read from the source once."""
+    with persisted(spread(train, spec.key)) as rows:
+        weighted = class_weights(require_bins(rows, spec, bins))
         fitted = concurrently(train.sparkSession, lambda p: p.fit(weighted), list(pipelines.values()))
     return dict(zip(pipelines, fitted))
 
@@ -186,30 +191,27 @@ def weighted_pipelines(spec: ModelSpec, bins: int) -> dict[str, Pipeline]:
     }
 
 
-def fit_models(train: DataFrame, spec: ModelSpec) -> dict[str, PipelineModel]:
+def fit_models(train: DataFrame, spec: ModelSpec, bins: int = BINS) -> dict[str, PipelineModel]:
     """The unweighted forest and the three weighted models on one training frame."""
-
-    def build(bins: int) -> dict[str, Pipeline]:
-        return {"unweighted_random_forest": rf_pipeline(spec, False, bins)} | weighted_pipelines(spec, bins)
-
-    return _fit_all(train, spec, build)
+    unweighted = {"unweighted_random_forest": rf_pipeline(spec, False, bins)}
+    return _fit_all(train, spec, unweighted | weighted_pipelines(spec, bins), bins)
 
 
-def compare_models(models: dict[str, PipelineModel], test: DataFrame) -> list[tuple]:
+def compare_models(models: dict[str, PipelineModel], test: DataFrame, spec: ModelSpec) -> list[tuple]:
     """Baseline and fitted models on the random holdout."""
     strategy = SELECTED[1]
-    baseline = comparison_row(majority_baseline(test), "majority_class_baseline", strategy, ranked=False)
-    with persisted(spread(test)) as held:
+    with persisted(spread(test, spec.key)) as held:
+        baseline = comparison_row(majority_baseline(held), "majority_class_baseline", strategy, ranked=False)
         return [baseline, *_compare(models, held, strategy)]
 
 
-def compare_temporal(df: DataFrame, spec: ModelSpec) -> list[tuple]:
+def compare_temporal(df: DataFrame, spec: ModelSpec, bins: int = BINS) -> list[tuple]:
     """The three weighted models on the last years; nothing when a part lacks a class."""
     train, test, cutoff = temporal_split(df, spec.year, CUTOFF_YEARS)
     if not (has_classes(train) and has_classes(test)):
         return []
-    models = _fit_all(train, spec, lambda bins: weighted_pipelines(spec, bins))
-    with persisted(spread(test)) as held:
+    models = _fit_all(train, spec, weighted_pipelines(spec, bins), bins)
+    with persisted(spread(test, spec.key)) as held:
         return _compare(models, held, "temporal_holdout", cutoff)
 
 

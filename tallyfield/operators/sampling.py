@@ -16,9 +16,11 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFram
 
 
 def training_sample(df: DataFrame, key: str, fraction: float, floor: int, seed: int) -> DataFrame:
-    """A key-hash sample, or all rows when the sample has fewer than ``floor``."""
+    """A key-hash sample; fewer than ``floor`` rows are an error, never a reason to use others."""
     sample = hash_sample(df, key, fraction, seed)
-    return sample if at_least(sample, floor) else df
+    if not at_least(sample, floor):
+        raise ValueError(f"A sample of fraction={fraction} has fewer rows than floor={floor}.")
+    return sample
 
 
 def bounded_sample(df: DataFrame, key: str, fraction: float, cap: int, seed: int) -> DataFrame:

@@ -1,4 +1,4 @@
-"""One-row frames as scalar subqueries, and size-checked broadcasts."""
+"""One-row frames as scalar subqueries, and bounded counts."""
 
 from __future__ import annotations
 
@@ -40,8 +40,3 @@ def grouped_total(grouped: DataFrame, value: str) -> Column:
 def at_least(df: DataFrame, n: int) -> bool:
     """Whether a frame has ``n`` rows or more; reading stops there."""
     return df.limit(n).count() >= n
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a frame only after a bounded count shows it is small; else leave the join to Spark."""
-    return df if at_least(df, max_rows + 1) else F.broadcast(df)

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.labels import map_codes
 from ..functions.parsing import parse_int, parse_number, parse_timestamp
 from .contracts import normalize_columns, require_columns
-from .scalars import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -168,8 +167,11 @@ def densify(counts: DataFrame, spine_df: DataFrame, keys: Sequence[str], count:
 
 
 def enrich(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
-    """Inner equi-join to a lookup, broadcast once its size has been checked; rows without a match go."""
-    return df.join(broadcast_if_small(lookup), key, "inner")
+    """Inner equi-join to a lookup; rows without a match go.
+
+    No hint: Spark broadcasts the lookup if its bytes allow, at planning or once it has been computed.
+    """
+    return df.join(lookup, key, "inner")
 
 
 def rolling_mean(df: DataFrame, part: str, order: str, value: str, n: int, name: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.labels import priority_label
 from ..functions.parsing import parse_timestamp
 from ..operators import clusters, contracts, evaluate, explore, fitting, models, quality, sampling, series, shares
+from ..operators.scalars import at_least
 from ..sources import files
 from . import schemas as S
 
@@ -203,10 +204,12 @@ def cluster_facts(
     folder: str,
     ks: Sequence[int] = clusters.CANDIDATES,
     seeds: Sequence[int] = clusters.SEEDS,
+    fraction: float | None = None,
 ) -> Clustering:
-    """Choose K on a sample from repeated fits, then assign and profile all valid rows.
+    """Choose K from repeated fits, then assign and profile all valid rows.
 
-    The assignments are written to ``folder``, where the returned tables read them.
+    The fits use all valid rows, or a key-hash sample if the caller states its ``fraction``. The
+    assignments are written to ``folder``, where the returned tables read them.
     """
     if not seeds:
         raise ValueError("Clustering requires at least one random seed.")
@@ -214,8 +217,10 @@ def cluster_facts(
     rows = clusters.cluster_input(
         facts, "has_valid_coordinates", S.CLUSTER_FEATURES, "crime_id", "district"
     )
-    sample = sampling.training_sample(rows, "crime_id", S.TRAINING_FRACTION, S.SMALLEST_SAMPLE, S.SAMPLE_SEED)
-    with fitting.persisted(fitting.spread(sample)) as train:
+    sample = rows
+    if fraction is not None:
+        sample = sampling.training_sample(rows, "crime_id", fraction, S.SMALLEST_SAMPLE, S.SAMPLE_SEED)
+    with fitting.persisted(fitting.spread(sample, "crime_id")) as train:
         clusters.require_varying(train, "hour")
         scaler = clusters.fit_scaler(clusters.assemble(train, S.CLUSTER_FEATURES))
         scaled = scaler.transform(clusters.assemble(train, S.CLUSTER_FEATURES))
@@ -225,6 +230,8 @@ def cluster_facts(
             best_k = int(clusters.best_by(scores, "silhouette_score", "k").first()["k"])
             best_model = clusters.fit_kmeans(training, best_k, seeds[0])
             detail_k = clusters.DETAIL_K
+            if not at_least(training, detail_k + 1):
+                raise ValueError(f"The detailed clustering needs more than {detail_k} valid rows.")
             detail_model = (
                 best_model if best_k == detail_k else clusters.fit_kmeans(training, detail_k, seeds[0])
             )
@@ -246,27 +253,34 @@ def cluster_facts(
     )
 
 
-def cluster_job(spark: SparkSession, facts_path: str, output_dir: str) -> int:
-    """Write the clustering tables and bounded samples of the assignments; returns the chosen K."""
+def cluster_job(
+    spark: SparkSession,
+    facts_path: str,
+    output_dir: str,
+    fraction: float | None = None,
+    map_sample: tuple[float, int] | None = None,
+) -> int:
+    """Write the clustering tables with both assignments of all valid rows; returns the chosen K.
+
+    ``map_sample`` is the fraction and the most rows of a further table of points to draw.
+    """
     order = ["cluster", F.desc("incident_count"), "district"]
     with files.scratch(spark) as folder:
-        result = cluster_facts(files.read_table(spark, facts_path), folder)
+        result = cluster_facts(files.read_table(spark, facts_path), folder, fraction=fraction)
         tables = {
             "silhouette_scores": result.scores,
             "stability_scores": result.stability_scores,
             "cluster_summary": result.cluster_summary,
+            "clustered_records": result.clustered_records,
+            "clustered_records_k6": result.detailed_clustered_records,
             "district_alignment": result.district_alignment.orderBy(*order),
             "district_alignment_k6": result.district_alignment_k6.orderBy(*order),
         }
         for name, table in tables.items():
             files.write_table(table, f"{output_dir}/{name}")
-        samples = {
-            "clustered_records": result.clustered_records,
-            "clustered_records_k6": result.detailed_clustered_records,
-        }
-        for name, records in samples.items():
-            path = f"{output_dir}/{name}"
-            files.write_sample(records, path, S.OUTPUT_FRACTION, S.OUTPUT_CAP, "crime_id", S.SAMPLE_SEED)
+        if map_sample is not None:
+            points = result.clustered_records
+            files.write_sample(points, f"{output_dir}/map_points", *map_sample, "crime_id", S.SAMPLE_SEED)
     return result.best_k
 
 
@@ -287,7 +301,7 @@ class Modeling:
     feature_importance: DataFrame
 
 
-def model_facts(facts: DataFrame, folder: str) -> Modeling:
+def model_facts(facts: DataFrame, folder: str, bins: int = models.BINS) -> Modeling:
     """Fit and compare the models on a random and a temporal holdout.
 
     The model table and the predictions are written to ``folder``, where the returned tables read them.
@@ -298,9 +312,9 @@ def model_facts(facts: DataFrame, folder: str) -> Modeling:
     train, test = sampling.hash_split(table, spec.key, S.TRAIN_FRACTION, S.SAMPLE_SEED)
     models.require_classes(train, "The training split")
     models.require_classes(test, "The test split")
-    fitted = models.fit_models(train, spec)
+    fitted = models.fit_models(train, spec, bins)
     comparison = models.comparison_table(
-        spark, [*models.compare_models(fitted, test), *models.compare_temporal(table, spec)]
+        spark, [*models.compare_models(fitted, test, spec), *models.compare_temporal(table, spec, bins)]
     )
     chosen = fitted[models.SELECTED[0]]
     score = "arrest_probability"

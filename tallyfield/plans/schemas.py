@@ -248,7 +248,6 @@ CORRELATIONS = {
 CENSUS_YEARS = (2008, 2012)
 ROLLING_DAYS = 7
 CLUSTER_FEATURES = ("latitude", "longitude", "hour")
-TRAINING_FRACTION = 0.002
 SMALLEST_SAMPLE = 100
 SAMPLE_SEED = 42
 OUTPUT_FRACTION = 0.02

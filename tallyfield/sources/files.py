@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from contextlib import contextmanager
@@ -48,16 +47,17 @@ def write_quarantine(
     write_table(quarantine(prepared, reasons), path, mode)
 
 
-def export_csv(df: DataFrame, path: str, order_by: Sequence[str], mode: str = "overwrite") -> None:
-    """Readable CSV with header in row order: one file for a small table.
+def export_csv(
+    df: DataFrame, path: str, order_by: Sequence[str], mode: str = "overwrite", single_file: bool = True
+) -> None:
+    """Readable CSV with header in row order.
 
-    A table above ``ONE_FILE_ROWS`` rows is sorted over many tasks instead, and its files are in
-    order by name.
+    One file is for tables a person opens: above ``ONE_FILE_ROWS`` rows it is refused. Without
+    ``single_file`` the rows are sorted over many tasks, and the files are in order by name.
     """
-    if at_least(df, ONE_FILE_ROWS + 1):
-        ordered = df.orderBy(*order_by)
-    else:
-        ordered = df.repartition(1).sortWithinPartitions(*order_by)
+    if single_file and at_least(df, ONE_FILE_ROWS + 1):
+        raise ValueError(f"{path}: more than {ONE_FILE_ROWS} rows; pass single_file=False.")
+    ordered = df.repartition(1).sortWithinPartitions(*order_by) if single_file else df.orderBy(*order_by)
     ordered.write.mode(mode).option("header", True).csv(path)
 
 
@@ -88,17 +88,23 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh path for tables that later jobs read back.
+    """A fresh folder for tables that later jobs read back; what is left of it goes when the application ends.
 
-    It lies in the shared folder that ``spark.checkpoint.dir`` names. Only a local session without
-    that setting gets a temporary folder of the machine.
+    It lies in the shared folder that ``spark.checkpoint.dir`` names, else in the warehouse folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return f"{shared.rstrip('/')}/tallyfield-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
-    return tempfile.mkdtemp(prefix="tallyfield-")
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{shared.rstrip('/')}/tallyfield-{uuid.uuid4().hex}"
+    path, system = _located(spark, folder)
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return folder
+
+
+def _located(spark: SparkSession, folder: str):
+    """A path and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 @contextmanager
@@ -108,8 +114,8 @@ def scratch(spark: SparkSession):
     try:
         yield folder
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        path, system = _located(spark, folder)
+        system.delete(path, True)
 
 
 def stage(df: DataFrame, folder: str, name: str) -> DataFrame:

@@ -112,7 +112,8 @@ def test_cluster_tables(spark, folders):
     main = read(spark, folders, "clustered/district_alignment")
     assert main.filter("district IS NULL").count() > 0
     assert read(spark, folders, "clustered/district_alignment_k6").filter("district IS NULL").count() == 0
-    assert read(spark, folders, "clustered/clustered_records").count() < facts.count() / 10
+    for name in ("clustered_records", "clustered_records_k6"):
+        assert read(spark, folders, f"clustered/{name}").count() == facts.count()
 
 
 def test_prediction_tables(spark, folders):

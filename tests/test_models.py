@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfield.operators import clusters, models
+from tallyfield.operators import clusters, fitting, models
 from tallyfield.plans import jobs, schemas as S
 from tallyfield.sources import files
 
@@ -91,8 +91,28 @@ def test_more_categories_than_bins(spark):
         "primary_type", F.when(F.col("arrest"), "A").otherwise(F.concat(F.lit("T"), F.col("crime_id") % 90))
     )
     table = models.model_table(rows, S.MODEL)
-    assert models.bins_for(table, S.MODEL) > 64
-    models.rf_pipeline(S.MODEL, True, models.bins_for(table, S.MODEL)).fit(models.class_weights(table))
+    with pytest.raises(ValueError, match="bins=64"):
+        models.fit_models(table, S.MODEL)
+    assert models.require_bins(table, S.MODEL, 128) is table
+    models.rf_pipeline(S.MODEL, True, 128).fit(models.class_weights(table))
+
+
+def test_fits_do_not_depend_on_input_partitions(spark):
+    facts = facts_with_signal(spark, 600)
+    table = models.model_table(facts, S.MODEL).withColumn("label", (F.hash("crime_id") % 2 == 0).cast("double"))
+    rows = clusters.assemble(table, S.CLUSTER_FEATURES, "features")
+    forests, costs = set(), set()
+    for n in (1, 13):
+        spread = fitting.spread(models.class_weights(table.repartition(n)), "crime_id")
+        scored = models.rf_pipeline(S.MODEL, True).fit(spread).transform(table)
+        forests.add(tuple(r.prediction for r in scored.orderBy("crime_id").collect()))
+        costs.add(round(clusters.fit_kmeans(fitting.spread(rows.repartition(n), "crime_id"), 4, 42).summary.trainingCost, 6))
+    assert len(forests) == 1 and len(costs) == 1
+
+
+def test_detailed_clustering_needs_enough_rows(spark, tmp_path):
+    with pytest.raises(ValueError, match="more than 6"):
+        jobs.cluster_facts(facts_with_signal(spark, 6), str(tmp_path), ks=(2,), seeds=(42,))
 
 
 def test_prediction_finds_the_signal(spark, tmp_path):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfield.catalog import QUERIES
-from tallyfield.operators import explore, scalars, series, shares
+from tallyfield.operators import explore, series, shares
 from tallyfield.sources import files
 
 from conftest import SF_DIR
@@ -49,16 +49,21 @@ def test_period_prunes_partitions_by_year(facts, tables, capsys):
     assert any("year" in line and "Subquery" in line for line in filters)
 
 
-def test_lookup_join_is_broadcast_after_its_size_was_checked(facts, tables, capsys):
+def test_small_lookup_join_is_broadcast(facts, tables, capsys):
     joined = series.enrich(facts.select("community_area"), tables.lookup(), "community_area")
     assert "BroadcastHashJoin" in explained(joined, capsys)
 
 
-def test_large_lookup_gets_no_hint(spark):
-    large = spark.range(50)
-    hinted = scalars.broadcast_if_small(large, 50)
-    plain = scalars.broadcast_if_small(large, 49)
-    assert "ResolvedHint" in plan(hinted) and "ResolvedHint" not in plan(plain)
+def test_building_a_lookup_join_starts_no_job(spark):
+    context = spark.sparkContext
+    context.setJobGroup("lookup", "build only")
+    joined = series.enrich(spark.range(50), spark.range(20), "id")
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert not context.statusTracker().getJobIdsForGroup("lookup") and "ResolvedHint" not in plan(joined)
+
+
+def test_spatial_shares_need_no_window(spark):
+    assert "Window" not in plan(QUERIES["a15_spatial_profile"](spark, SF_DIR))
 
 
 @pytest.mark.parametrize("name", ["w1_rolling_mean", "a14_area_summary", "a10_effect_sizes", "e3_threshold_metrics",

@@ -1,5 +1,6 @@
 """Evaluation, running sums, samples, splits, and their independence of partitioning."""
 
+import bisect
 import math
 
 import pytest
@@ -99,6 +100,28 @@ def test_bounded_sample_of_one_hot_key(spark):
     assert sampling.bounded_sample(rows, "k", 1.0, 40, 42).count() == 40
 
 
+def test_sample_below_its_floor_is_an_error(spark):
+    with pytest.raises(ValueError, match="floor=10"):
+        sampling.training_sample(spark.range(100).withColumnRenamed("id", "k"), "k", 0.0, 10, 42)
+
+
+def test_areas_are_exact_for_many_scores(spark):
+    rows = [(i * 7919 % 5003 / 5003, float((i * i + i // 7) % 3 == 0)) for i in range(5003)]
+    ones = [s for s, label in rows if label]
+    zeros = sorted(s for s, label in rows if not label)
+    roc = sum(bisect.bisect_left(zeros, s) for s in ones) / len(ones) / len(zeros)
+    hits, pr, before = 0, 0.0, None
+    for seen, (_, label) in enumerate(sorted(rows, reverse=True), 1):
+        hits += label
+        precision = hits / seen
+        pr += label * (precision + (precision if before is None else before)) / 2 / len(ones)
+        before = precision
+    got = evaluate.areas(spark.createDataFrame(rows, "score double, label double"), "score").first()
+    assert got.area_under_roc == pytest.approx(roc, abs=1e-12) and got.area_under_pr == pytest.approx(pr, abs=1e-12)
+    none = evaluate.areas(spark.createDataFrame([], "score double, label double"), "score").first()
+    assert tuple(none) == (None, None)
+
+
 def test_split_is_disjoint_and_whole(spark):
     rows = spark.range(2000).withColumnRenamed("id", "k")
     train, test = sampling.hash_split(rows, "k", 0.8, 42)

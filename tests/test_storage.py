@@ -68,7 +68,9 @@ def test_large_csv_is_sorted_over_several_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "ONE_FILE_ROWS", 50)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     path = str(tmp_path / "csv")
-    files.export_csv(spark.range(1000).repartition(4), path, ["id"])
+    with pytest.raises(ValueError, match="single_file"):
+        files.export_csv(spark.range(51), path, ["id"])
+    files.export_csv(spark.range(1000).repartition(4), path, ["id"], single_file=False)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     parts = sorted(glob.glob(f"{path}/*.csv"))
     values = [int(line) for part in parts for line in open(part).read().split() if line != "id"]
