@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from ..sources.files import scratch, scratch_dir, stage
 
-__all__ = ["WordHashes", "documents", "id_remainder", "keep", "map_rows", "ngram_hashes", "scratch", "stage"]
+__all__ = ["WordHashes", "documents", "id_remainder", "keep", "map_rows", "ngram_hashes", "remember_only", "scratch", "stage"]
 
 #: Entries that a task remembers of a vocabulary before it starts anew: bounds memory, changes no result.
 MEMO = 1 << 19
@@ -60,6 +60,21 @@ def keep(df: DataFrame) -> DataFrame:
     return stage(df, scratch_dir(df.sparkSession), "result")
 
 
+#: The memo that this Python worker filled last.
+_LAST: list = []
+
+
+def remember_only(memo) -> None:
+    """Empty the memo of another operator before this one grows.
+
+    Spark hands Python workers on from stage to stage, so memos of several operators would add up in one process.
+    """
+    if not _LAST or _LAST[0] is not memo:
+        for other in _LAST:
+            other.clear()
+        _LAST[:] = [memo]
+
+
 class WordHashes(dict):
     """64-bit hashes of words (bytes), remembered up to a bound."""
 

@@ -20,7 +20,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WordHashes, map_rows, ngram_hashes, stage
+from .common import WordHashes, map_rows, ngram_hashes, remember_only, stage
 from .components import components
 
 SHINGLE = 5
@@ -41,6 +41,7 @@ _WORDS = WordHashes()
 
 def shingle_set(text: str | None, words: int = SHINGLE) -> np.ndarray:
     """Distinct hashes of all runs of ``words`` words, in order."""
+    remember_only(_WORDS)
     return np.unique(ngram_hashes(_WORDS.of(text), words))
 
 

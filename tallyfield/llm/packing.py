@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import MEMO, map_rows, stage
+from .common import MEMO, map_rows, remember_only, stage
 from .tokens import ODD_SPACE, PLAIN_LETTERS, PLAIN_WORD, SPACE, lowers_plain_words
 
 WINDOW = 2048
@@ -65,6 +65,11 @@ class TokenIds:
             self.runs[text] = found
         return found
 
+    def clear(self) -> None:
+        """Forget all runs and pieces."""
+        self.runs.clear()
+        self.parts.clear()
+
     def of(self, text: str) -> bytes:
         """White space separates runs that are encoded independently (see ``tokens``)."""
         words = [w for w in SPACE.split(text) if w] if ODD_SPACE.search(text) else text.split()
@@ -102,6 +107,7 @@ def token_pieces(
 
     def rows(given: Iterator[tuple]) -> Iterator[tuple]:
         encoder = token_ids(tokenizer)
+        remember_only(encoder)
         for key, text in given:
             ids = encoder.of(text or "") + tail
             for start, length in cut(len(ids) // 4, window):

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import MEMO, id_remainder, map_rows, mixed
+from .common import MEMO, id_remainder, map_rows, mixed, remember_only
 
 #: Indicators are hashed into so many buckets, so weights have a fixed size.
 BUCKETS = 1 << 18
@@ -57,6 +57,7 @@ def indicators(text: str | None, shape_orders=SHAPE_ORDERS, word_orders=WORD_ORD
     words = (text or "").split()
     if not words:
         return np.empty(0, np.int32)
+    remember_only(_VIEWS)
     both = np.array([_VIEWS[w] for w in words], np.uint64)
     lower, shape = both[:, 0], both[:, 1].copy()
     shape[1:][lower[1:] == lower[:-1]] ^= np.uint64(0x5555555555555555)
