@@ -12,10 +12,14 @@ from pyspark.sql.types import StructType
 
 from ..sources.files import scratch, scratch_dir, stage
 
-__all__ = ["WordHashes", "documents", "id_remainder", "keep", "map_rows", "ngram_hashes", "remember_only", "scratch", "stage"]
+__all__ = ["WordHashes", "documents", "id_remainder", "keep", "map_rows", "ngram_hashes", "remember_only", "scratch", "slices", "stage"]
 
 #: Entries that a task remembers of a vocabulary before it starts anew: bounds memory, changes no result.
 MEMO = 1 << 19
+#: The same where a worker goes from operator to operator, as in a pipeline.
+SMALL_MEMO = 1 << 17
+#: Rows of an Arrow batch that are Python objects at a time.
+SLICE = 256
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -28,6 +32,13 @@ def id_remainder(key: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % modulus
 
 
+def slices(source: Iterator) -> Iterator:
+    """Parts of at most ``SLICE`` rows of Arrow batches or arrays: long texts are not all copied at once."""
+    for batch in source:
+        for at in range(0, len(batch), SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def map_rows(df: DataFrame, schema: str, fn: Callable[[Iterator[tuple]], Iterable[tuple]], rows: int = 4096) -> DataFrame:
     """Apply ``fn`` to the rows of each partition as tuples, in Arrow batches of at most ``rows`` results."""
     fields = StructType.fromDDL(schema)
@@ -37,7 +48,7 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[Iterator[tuple]], Iterabl
         from pyspark.sql.pandas.types import to_arrow_schema
 
         target = to_arrow_schema(fields)
-        given = (row for batch in source for row in zip(*[column.to_pylist() for column in batch.columns]))
+        given = (row for part in slices(source) for row in zip(*[column.to_pylist() for column in part.columns]))
         held: list[tuple] = []
         for row in fn(given):
             held.append(row)
@@ -46,6 +57,7 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[Iterator[tuple]], Iterabl
                 held = []
         if held:
             yield _batch(held, target)
+        pa.default_memory_pool().release_unused()
 
     def _batch(held, target):
         return pa.RecordBatch.from_arrays(
@@ -79,7 +91,7 @@ class WordHashes(dict):
     """64-bit hashes of words (bytes), remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO:
+        if len(self) >= SMALL_MEMO:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value

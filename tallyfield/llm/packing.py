@@ -42,7 +42,7 @@ class TokenIds:
         """Ids of a piece that is encoded for itself; plain letters and marks go straight to the library's model."""
         found = self.parts.get(text)
         if found is None:
-            if len(self.parts) >= MEMO:
+            if len(self.parts) >= MEMO // 2:
                 self.parts.clear()
             if plain:
                 ids = [token.id for token in self.model.tokenize(text.translate(self.alphabet))]
@@ -55,7 +55,7 @@ class TokenIds:
         """Ids of symbols without white space; letters and the marks behind them are pieces of their own."""
         found = self.runs.get(text)
         if found is None:
-            if len(self.runs) >= MEMO:
+            if len(self.runs) >= MEMO // 2:
                 self.runs.clear()
             plain = PLAIN_WORD.fullmatch(text) if self.plain else None
             if plain:

@@ -15,12 +15,12 @@ from struct import pack
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import MEMO, id_remainder, map_rows, mixed, remember_only
+from .common import SMALL_MEMO, id_remainder, map_rows, mixed, remember_only, slices
 
 #: Indicators are hashed into so many buckets, so weights have a fixed size.
 BUCKETS = 1 << 18
@@ -43,7 +43,7 @@ class Views(dict):
     """Hashes of a word and of its shape, side by side as two 64-bit numbers, remembered up to a bound."""
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= MEMO // 4:
+        if len(self) >= SMALL_MEMO:
             self.clear()
         lower = xxhash.xxh3_64_intdigest(word.lower())
         self[word] = value = pack("<QQ", lower, xxhash.xxh3_64_intdigest(_shape(word), seed=1))
@@ -215,11 +215,12 @@ def quality_score(model: Classifier, spark: SparkSession):
     """The score of a text column: one pass where the rows lie. Null texts are scored like empty ones."""
     held = spark.sparkContext.broadcast(model)  # two arrays of BUCKETS numbers
 
-    @F.pandas_udf(DoubleType())
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(DoubleType())
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = held.value
         for batch in batches:
-            yield pd.Series([own.score(indicators(t)) for t in batch], dtype=float)
+            scores = [own.score(indicators(t)) for part in slices([batch]) for t in part.to_pylist()]
+            yield pa.array(scores, pa.float64())
 
     return scored
 
