@@ -14,12 +14,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from .common import MEMO, map_rows, mixed, stage
+from .common import MEMO, map_rows, mixed, slices, stage
 
 SPAN = 400
 GRAM = 32
@@ -342,21 +342,38 @@ def remove_repeats(
     return joined.withColumn("repeat", _remover(schema, span)(F.col(text_col), F.col(m))).drop(k, t, m)
 
 
-@F.pandas_udf(StringType())
-def whole_characters(kept: pd.Series) -> pd.Series:
+@F.arrow_udf(StringType())
+def whole_characters(kept: pa.Array) -> pa.Array:
     """Kept bytes as text; bytes of a character that was cut are left out."""
-    return kept.map(lambda data: bytes(data).decode("utf-8", "ignore"))
+    return _in_slices(lambda data: data if data is None else data.decode("utf-8", "ignore"), pa.string(), kept)
+
+
+def _in_slices(fn, kind: pa.DataType, *columns: pa.Array) -> pa.Array:
+    """``fn`` of each row; few rows at a time are Python objects."""
+    parts = [
+        pa.array(list(map(fn, *[values.to_pylist() for values in part])), kind)
+        for part in zip(*[slices([column]) for column in columns])
+    ]
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
 
 def _remover(schema: str, span: int):
-    def remove(texts: pd.Series, marks: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text, found in zip(texts, marks):
-            data = _utf8(text)
-            spans = removed_bytes(found, span) if found is not None else []
-            edges = [0, *(x for pair in spans for x in pair), len(data)]
-            kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-            rows.append((len(data), [{"start": a, "end": b} for a, b in spans], kept))
-        return pd.DataFrame(rows, columns=["n_bytes", "spans", "kept"])
+    kind = pa.struct(
+        {
+            "n_bytes": pa.int64(),
+            "spans": pa.list_(pa.struct({"start": pa.int64(), "end": pa.int64()})),
+            "kept": pa.binary(),
+        }
+    )
+
+    def cut(text: str | None, found: list | None) -> dict:
+        data = _utf8(text)
+        spans = removed_bytes(found, span) if found is not None else []
+        edges = [0, *(x for pair in spans for x in pair), len(data)]
+        kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+        return {"n_bytes": len(data), "spans": [{"start": a, "end": b} for a, b in spans], "kept": kept}
+
+    def remove(texts: pa.Array, marks: pa.Array) -> pa.Array:
+        return _in_slices(cut, kind, texts, marks)
 
-    return F.pandas_udf(remove, schema)
+    return F.arrow_udf(remove, schema)
