@@ -232,13 +232,13 @@ def predict_language(docs: DataFrame, model: Model, id_col: str = "doc_id", text
 
     def finish(given: Iterator[tuple]) -> Iterator[tuple]:
         own = _worker_model(held.value)
-        for key, any_word, total, others in given:
+        for key, any_word, total, numbers, flat in given:
             if not any_word:
                 yield key, UNKNOWN, 0.0
                 continue
             total = np.array(total, np.float64)
-            for other in sorted(others or (), key=lambda o: o["word"]):
-                total += other["n"] * np.array(other["vector"], np.float64)
+            if numbers:
+                total += np.array(numbers, np.float64) @ np.array(flat, np.float64).reshape(len(numbers), -1)
             yield (key, *own.answer(total))
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -249,8 +249,12 @@ def predict_language(docs: DataFrame, model: Model, id_col: str = "doc_id", text
     pairs = pairs.select("row", "o.word", "o.n")
     vectors = _other_vectors(pairs.select("word").distinct(), model, held).withColumnRenamed("word", "w")
     others = pairs.join(vectors, F.col("word") == F.col("w")).groupBy(F.col("row").alias("r"))
-    others = others.agg(F.collect_list(F.struct("word", "n", "vector")).alias("others"))
+    others = others.agg(F.sort_array(F.collect_list(F.struct("word", "n", "vector"))).alias("others"))
+    flat = F.flatten(F.transform("others", lambda o: o["vector"])).alias("flat")
     whole = partial.join(others, F.col("row") == F.col("r"), "left")
     return map_rows(
-        whole.select("key", "any_word", "total", "others"), f"`{id_col}` {kind}, lang_pred string, score double", finish, 1024
+        whole.select("key", "any_word", "total", F.col("others.n").alias("n"), flat),
+        f"`{id_col}` {kind}, lang_pred string, score double",
+        finish,
+        1024,
     )
