@@ -48,9 +48,9 @@ def contamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token ids with their place in sequences."""
+    """Pieces with their token ids and place in sequences; ``packing.padded_sequences`` makes the sequences of them."""
     with scratch(spark) as folder:
-        pieces = packing.token_pieces(docs, tokenizer_path(), with_ids=False)
+        pieces = packing.token_pieces(docs, tokenizer_path())
         return keep(packing.pack(pieces, folder, ["doc_id", "start", "ids_crc32"]))
 
 

@@ -240,10 +240,42 @@ def sequence_lengths(packed: DataFrame, length_col: str = "length", window: int
     return filled.withColumn("padded", F.when(power, F.col("tokens")).otherwise(F.lit(window).cast("long")))
 
 
-def padded_sequences(packed: DataFrame, pad_id: int = 0, window: int = WINDOW) -> DataFrame:
-    """The sequences themselves, from pieces that carry ``ids``: ``sequence_id`` and padded ``ids``."""
-    parts = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
+def _filled(packed: DataFrame, pad_id: int, window: int, carried: list[str]) -> DataFrame:
+    """``sequence_id``, padded ``ids``, and ``parts``: the pieces of each sequence with ``offset`` and some columns."""
+    parts = packed.groupBy("sequence_id").agg(
+        F.sort_array(F.collect_list(F.struct("offset", "ids", *carried))).alias("parts")
+    )
     ids = F.flatten(F.transform("parts", lambda p: p["ids"]))
     size = F.size(ids)
     wanted = F.when(size.bitwiseAND(size - 1) == 0, size).otherwise(F.lit(window))
-    return parts.select("sequence_id", F.concat(ids, F.array_repeat(F.lit(pad_id), wanted - size)).alias("ids"))
+    slim = F.transform("parts", lambda p: F.struct(p["offset"].alias("offset"), *[p[c].alias(c) for c in carried]))
+    full = F.concat(ids, F.array_repeat(F.lit(pad_id), wanted - size)).alias("ids")
+    return parts.select("sequence_id", full, slim.alias("parts"))
+
+
+def padded_sequences(packed: DataFrame, pad_id: int = 0, window: int = WINDOW) -> DataFrame:
+    """The sequences themselves, from pieces that carry ``ids``: ``sequence_id`` and padded ``ids``."""
+    return _filled(packed, pad_id, window, []).select("sequence_id", "ids")
+
+
+def sequences_with_pieces(packed: DataFrame, carried: list[str], pad_id: int = 0, window: int = WINDOW) -> DataFrame:
+    """Padded sequences as above, and ``parts``: where each piece lies, with the ``carried`` columns."""
+    return _filled(packed, pad_id, window, carried)
+
+
+def pieces_of(sequences: DataFrame, carried: list[str], length_col: str = "length") -> DataFrame:
+    """The pieces read back from padded sequences: ``carried``, ``ids_crc32`` of the ids found there, place."""
+    kind = sequences.schema["parts"].dataType.elementType
+    types = ", ".join(f"`{c}` {kind[c].dataType.simpleString()}" for c in carried)
+    at = carried.index(length_col)
+
+    def rows(given: Iterator[tuple]) -> Iterator[tuple]:
+        for sequence, ids, parts in given:
+            data = np.array(ids, "<u4")
+            for part in parts:
+                row = [part[c] for c in carried]
+                crc = zlib.crc32(data[part["offset"] : part["offset"] + row[at]].tobytes())
+                yield (*row, crc, sequence, part["offset"])
+
+    schema = f"{types}, ids_crc32 long, sequence_id long, offset long"
+    return map_rows(sequences.select("sequence_id", "ids", "parts"), schema, rows)

@@ -110,10 +110,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch(spark) as folder:
-        pieces = packing.token_pieces(documents(spark, sf_dir), tokenizer_path(), with_ids=False)
+        pieces = packing.token_pieces(documents(spark, sf_dir), tokenizer_path())
         packed = packing.pack(pieces, folder, ["doc_id", "start", "ids_crc32"])
-        columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-        return keep(packed.select(*columns))
+        carried = ["doc_id", "start", "length", "doc_tokens"]
+        sequences = keep(packing.sequences_with_pieces(packed, carried))
+    found = packing.pieces_of(sequences, carried)
+    return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 @query("op10_language_id")

@@ -1,10 +1,14 @@
 """Whole jobs: nothing seen is left out, whatever the bounds of a task."""
 
+import zlib
+
 import numpy as np
 import pytest
+from conftest import SF_DIR
 
-from tallyfield.llm import langid
-from tallyfield.llm.common import scratch
+import corpus_pipeline
+from tallyfield.llm import langid, packing, queries
+from tallyfield.llm.common import documents, scratch
 
 
 def plain_language_scores(train, texts):
@@ -41,3 +45,24 @@ def test_rare_words_of_a_language_are_seen_words(spark, share):
         if texts[i]:
             assert (got[i]["lang_pred"], got[i]["score"]) == (lang, pytest.approx(score, rel=1e-4))
     assert got[texts.index("")]["lang_pred"] == "und"
+
+
+def test_packing_ends_in_ids(spark):
+    docs = documents(spark, SF_DIR).limit(60)
+    rows = corpus_pipeline.packing_stage(spark, docs, SF_DIR).collect()
+    assert rows
+    for row in rows:
+        assert row["length"] == len(row["ids"]) and row["ids_crc32"] == zlib.crc32(np.array(row["ids"], "<u4").tobytes())
+
+
+def test_digests_come_from_the_packed_ids(spark, monkeypatch):
+    real = packing._filled
+
+    def broken(*args):
+        return real(*args).selectExpr("sequence_id", "transform(ids, x -> x + 1) AS ids", "parts")
+
+    digests = lambda: {(r["doc_id"], r["start"]): r["ids_crc32"] for r in queries.op7(spark, SF_DIR).collect()}
+    before = digests()
+    monkeypatch.setattr(packing, "_filled", broken)
+    after = digests()
+    assert before.keys() == after.keys() and all(before[k] != after[k] for k in before)
