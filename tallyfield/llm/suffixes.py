@@ -7,6 +7,9 @@ partition keeps an index family: a batch of new segments is put in suffix order
 merge-scanned for equal strings with the segments of every level that share its anchors, in parts of bounded size, and
 becomes a level; levels of one size merge. A scan ranks only segments in which a hash of the span occurs twice.
 Equal segments are indexed once, with their number.
+
+An anchor whose distinct segments are still many after a split (a passage in many texts, between different words) is not
+indexed: its strings are counted start by start, by a 128-bit hash, with partial sums in each task.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ PIECE, SEGMENT = 1 << 20, 2048
 HOT_PLACES = 4096
 #: Bytes of segments in a partition on average, and in a batch.
 PARTITION_BYTES, BATCH_BYTES = 1 << 23, 1 << 20
+#: Bytes of distinct segments of an anchor above which its starts are counted one by one.
+GROUP_BYTES = 1 << 20
 
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -234,6 +239,33 @@ class IndexFamily:
                     yield name, (edges - np.arange(len(edges)) % 2).tolist()
 
 
+def _single_starts(bodies: DataFrame, counts: DataFrame, folder: str, span: int) -> DataFrame:
+    """``segment`` and ``runs`` of repeated starts, from counts of every string of ``span`` bytes.
+
+    A segment that several tasks sent is taken once. No task holds a group: strings are summed where they lie, then by hash.
+    """
+    one = bodies.groupBy(F.col("name").alias("segment")).agg(F.first("body").alias("body"))
+    one = one.join(counts.select("name", "n"), F.col("segment") == F.col("name")).select("segment", "body", "n")
+
+    def strings(given: Iterator[tuple]) -> Iterator[tuple]:
+        for name, body, n in given:
+            body = bytes(body)
+            for at in range(len(body) - span + 1):
+                yield name, at, xxhash.xxh3_128_digest(body[at : at + span]), n
+
+    starts = stage(map_rows(one, "segment binary, at int, string binary, n long", strings), folder, "starts")
+    twice = starts.groupBy(F.col("string").alias("s")).agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("s")
+    found = starts.join(twice, F.col("string") == F.col("s")).groupBy("segment").agg(F.collect_list("at").alias("at"))
+
+    def runs(given: Iterator[tuple]) -> Iterator[tuple]:
+        for name, places in given:
+            at = np.sort(np.array(places))
+            cuts = np.flatnonzero(np.diff(at) > 1)
+            yield name, np.column_stack((at[np.r_[0, cuts + 1]], at[np.r_[cuts, len(at) - 1]])).ravel().tolist()
+
+    return map_rows(found, "segment binary, runs array<int>", runs)
+
+
 def _utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
@@ -283,9 +315,18 @@ def repeated_spans(
     schema = f"key {kind}, tid long, first long, anchor long, name binary, body binary"
     segments = map_rows(chosen.select("key", "tid", "text", "segments"), schema, cut, 1024)
     segments = stage(segments, folder, "segments")
-    size = segments.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
-    counts = segments.groupBy("anchor", "name").agg(F.count("*").alias("n"))
+    counts = segments.groupBy("anchor", "name").agg(
+        F.count("*").alias("n"), F.max(F.octet_length("body").cast("long")).alias("size")
+    )
+    counts = stage(counts, folder, "counts")
+    large = counts.groupBy(F.col("anchor").alias("a")).agg(F.sum("size").alias("size")).where(F.col("size") > GROUP_BYTES)
+    large = stage(large.select("a"), folder, "large")
+    is_large = F.col("anchor") == F.col("a")
+    counts, single = counts.join(large, is_large, "left_anti"), counts.join(large, is_large, "left_semi")
+    size = counts.agg(F.sum("size")).first()[0] or 0
     bodies = segments.where("body is not null").select("anchor", "name", "body", F.lit(None).cast("long").alias("n"))
+    single = _single_starts(bodies.join(large, is_large, "left_semi"), single, folder, span)
+    bodies = bodies.join(large, is_large, "left_anti")
     given = bodies.unionByName(counts.select("anchor", "name", F.lit(None).cast("binary").alias("body"), "n"))
     given = given.withColumn("kind", F.col("n").isNull()).repartition(max(8, -(-size // PARTITION_BYTES)), "anchor")
 
@@ -310,7 +351,8 @@ def repeated_spans(
         yield from family.repeats()
 
     given = given.sortWithinPartitions("kind").select("kind", "anchor", "name", "body", "n")
-    ranges = stage(map_rows(given, "segment binary, runs array<int>", index), folder, "ranges")
+    ranges = map_rows(given, "segment binary, runs array<int>", index).unionByName(single)
+    ranges = stage(ranges, folder, "ranges")
     marked = segments.select("key", "tid", "first", "name").join(ranges, F.col("name") == F.col("segment"))
     return marked.groupBy("key", "tid").agg(F.collect_list(F.struct("first", "runs")).alias("marks"))
 

@@ -1,13 +1,15 @@
 """Whole jobs: nothing seen is left out, whatever the bounds of a task."""
 
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from conftest import SF_DIR
 
 import corpus_pipeline
-from tallyfield.llm import langid, packing, queries
+from tallyfield.llm import langid, packing, queries, suffixes
 from tallyfield.llm.common import documents, scratch
 
 
@@ -66,3 +68,26 @@ def test_digests_come_from_the_packed_ids(spark, monkeypatch):
     monkeypatch.setattr(packing, "_filled", broken)
     after = digests()
     assert before.keys() == after.keys() and all(before[k] != after[k] for k in before)
+
+
+def test_a_passage_between_different_words_is_counted_start_by_start(spark, monkeypatch):
+    rng = random.Random(5)
+    words = lambda n: " ".join(f"{rng.randrange(10**9)}" for _ in range(n))
+    passage = words(43)[:415]
+    texts = [f"{words(60)} {passage} {words(60)}" for _ in range(90)] + [words(150) for _ in range(60)]
+    texts += [texts[0], texts[95], "ab" * 900]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    largest = []
+    monkeypatch.setattr(suffixes, "HOT_PLACES", 20)
+    monkeypatch.setattr(suffixes, "GROUP_BYTES", 5000)
+    real = suffixes._single_starts
+    monkeypatch.setattr(suffixes, "_single_starts", lambda *a: largest.append(a[1].count()) or real(*a))
+    with scratch(spark) as folder:
+        rows = suffixes.remove_repeats(docs, suffixes.repeated_spans(docs, folder)).collect()
+    assert largest[0] >= 90
+    span = suffixes.SPAN
+    seen = Counter(t[i : i + span] for t in texts for i in range(len(t) - span + 1))
+    for row in rows:
+        t = row["text"]
+        gone = {j for i in range(len(t) - span + 1) if seen[t[i : i + span]] > 1 for j in range(i, i + span)}
+        assert bytes(row["repeat"]["kept"]).decode() == "".join(c for i, c in enumerate(t) if i not in gone)
