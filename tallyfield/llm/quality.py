@@ -29,16 +29,28 @@ FIT_ROWS = 16_000
 SHAPE_ORDERS = (1, 2, 3)
 WORD_ORDERS = (1,)
 THRESHOLD = 0.7
+#: Characters of a word; a longer run without white space is cut into consecutive pieces that are words each.
+LONGEST, PART = 48, 4
 _FOLD = re.compile(r"(.)\1+", re.DOTALL)
 
 
 def _shape(word: str) -> str:
-    kinds = "".join(
-        "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in (word[:24] + word[-8:])
-    )
+    kinds = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word)
     return _FOLD.sub(r"\1", kinds)
 
 
+def words_of(text: str | None) -> list[str]:
+    """White-space separated words; every character of a long run is in one of its pieces."""
+    words = (text or "").split()
+    if words and max(map(len, words)) > LONGEST:
+        words = [
+            part
+            for w in words
+            for part in ([w] if len(w) <= LONGEST else [w[i : i + PART] for i in range(0, len(w), PART)])
+        ]
+    return words
+
+
 class Views(dict):
     """Hashes of a word and of its shape, side by side as two 64-bit numbers, remembered up to a bound."""
 
@@ -55,7 +67,7 @@ _VIEWS = Views()
 
 def indicators(text: str | None, shape_orders=SHAPE_ORDERS, word_orders=WORD_ORDERS) -> np.ndarray:
     """The buckets of all n-grams of a whole text, sorted and distinct."""
-    words = (text or "").split()
+    words = words_of(text)
     if not words:
         return np.empty(0, np.int32)
     remember_only(_VIEWS)

@@ -9,7 +9,7 @@ import pytest
 from conftest import SF_DIR
 
 import corpus_pipeline
-from tallyfield.llm import langid, packing, queries, suffixes
+from tallyfield.llm import langid, packing, quality, queries, suffixes
 from tallyfield.llm.common import documents, scratch
 
 
@@ -91,3 +91,13 @@ def test_a_passage_between_different_words_is_counted_start_by_start(spark, monk
         t = row["text"]
         gone = {j for i in range(len(t) - span + 1) if seen[t[i : i + span]] > 1 for j in range(i, i + span)}
         assert bytes(row["repeat"]["kept"]).decode() == "".join(c for i, c in enumerate(t) if i not in gone)
+
+
+def test_long_runs_are_read_between_their_edges():
+    edge = "Ab" * 16
+    one, other = (edge + middle * 40 + edge for middle in ("漢字かな交じり文", "x=1;y[2]+=3;"))
+    a, b = set(quality.indicators(one).tolist()), set(quality.indicators(other).tolist())
+    assert len(a & b) < len(a) / 2 and "".join(quality.words_of(one)) == one
+    assert quality._shape("a" * 24 + "1-2" + "b" * 20) != quality._shape("a" * 44)
+    trained = set(quality.indicators(edge + "漢字かな交じり文" * 60).tolist())
+    assert len(a & trained) > len(a - trained)  # a text in the same script shares words with it
