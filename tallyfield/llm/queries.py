@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import archives, decontaminate, fingerprints, jaccard, katz, langid, packing, quality, suffixes, tokens
+from . import alignment, archives, decontaminate, fingerprints, jaccard, katz, langid, packing, quality, suffixes, tokens
 from .common import documents, id_remainder, keep, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,3 +193,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("repeat.spans").cast("long").alias("n_spans"),
         F.sha2("repeat.kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    with scratch(spark) as folder:
+        return keep(alignment.alignment(documents(spark, sf_dir).select("doc_id", "text"), *paths, folder))
