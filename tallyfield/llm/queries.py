@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import alignment, archives, decontaminate, fingerprints, jaccard, katz, langid, packing, quality, suffixes, tokens
+from . import alignment, archives, decontaminate, factors, fingerprints, jaccard, katz, langid, negatives, packing, quality, suffixes, tokens
 from .common import documents, id_remainder, keep, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +200,75 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
     with scratch(spark) as folder:
         return keep(alignment.alignment(documents(spark, sf_dir).select("doc_id", "text"), *paths, folder))
+
+
+@query(
+    "op12_substring_dedup",
+    r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)
+), e AS (
+  SELECT doc_id, i, min({'d': doc_id, 'i': i}) OVER (PARTITION BY s) AS f FROM s
+), gone AS (
+  SELECT doc_id, list_distinct(flatten(list(range(i, i + 20)))) AS g FROM e WHERE f.d < doc_id OR f.d = doc_id AND f.i < i GROUP BY 1
+), kept AS (
+  SELECT d.doc_id, w, coalesce(len(g), 0) AS n, g FROM d LEFT JOIN gone ON d.doc_id = gone.doc_id
+), k AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM kept) u
+  WHERE NOT EXISTS (SELECT 1 FROM (SELECT doc_id AS a, unnest(g) AS b FROM gone) v WHERE a = u.doc_id AND b = u.i)
+  GROUP BY 1
+)
+SELECT kept.doc_id, len(w)::BIGINT AS n_words, n::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM kept LEFT JOIN k ON kept.doc_id = k.doc_id
+""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    with scratch(spark) as folder:
+        marks = keep(factors.repeated_windows(docs, folder))
+    found = factors.remove_repeats(docs, marks)
+    lengths = F.transform("repeat.spans", lambda s: s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        F.col("repeat.n_words").alias("n_words"),
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, b: a + b).alias("n_removed"),
+        F.sha2("repeat.kept", 256).alias("kept_sha256"),
+    )
+
+
+@query(
+    "op11_hard_negatives",
+    """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5
+)
+SELECT p.a AS anchor_id, p.b AS positive_id,
+  row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b)::INTEGER AS rank,
+  n.b AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON p.a = n.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, number = documents(spark, sf_dir, "embeddings"), F.col("vec_id")
+    finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    rows = rows.where(finite).select(
+        "vec_id",
+        F.when(number % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("vector"),
+    )
+    with scratch(spark) as folder:
+        return keep(negatives.hard_negatives(rows, number % 100 == 0, folder))
