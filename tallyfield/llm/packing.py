@@ -3,34 +3,41 @@
 Pieces of one length can be exchanged for one another, so best-fit decreasing depends on lengths alone, and bins with
 the same history move together. The plan works on such groups of bins: a segment tree over remaining capacities finds
 the tightest group that a length fits in, and the group is cut where its pieces end. The histogram has at most
-``window`` rows whatever the corpus, and so does each step of the plan; pieces find their bin by their rank among
-pieces of their length, which is counted in blocks.
+``window`` rows whatever the corpus, and so does each step of the plan. Pieces find their bin by their rank among
+pieces of their length: tasks number their own pieces while they encode, and a small table of counts by task and length
+says how many lie before them. Ids are packed bytes, written once and sent once, by sequence.
 """
 
 from __future__ import annotations
 
 import zlib
+from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import MEMO, map_rows, remember_only, stage
-from .tokens import ODD_SPACE, PLAIN_LETTERS, PLAIN_WORD, SPACE, lowers_plain_words
+from .tokens import ODD_SPACE, PLAIN_LETTERS, PLAIN_WORD, SHORT, SPACE, lowers_plain_words
 
 WINDOW = 2048
-#: Rows for which one block of ranks is counted.
-BLOCK = 1 << 16
+#: Rows of the table of counts up to which it is sent to all tasks; a larger one is joined.
+OFFSET_ROWS = 1 << 20
+#: Bytes of ids in a partition of sequences on average.
+PARTITION_BYTES = 1 << 24
 
 
 class TokenIds:
-    """Ids of texts by a tokenizer file, as little-endian 32-bit bytes; runs without white space are remembered."""
+    """Ids of texts by a tokenizer file, as little-endian bytes of one width; runs without white space are remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.code = "H" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
         self.runs: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.plain = lowers_plain_words(self.tokenizer)
@@ -38,6 +45,10 @@ class TokenIds:
         self.alphabet = {ord(c): pieces(c)[0][0] for c in PLAIN_LETTERS} if self.plain else {}
         self.model = self.tokenizer.model
 
+    def packed(self, ids: Iterable[int]) -> bytes:
+        """Ids as bytes."""
+        return array(self.code, ids).tobytes()
+
     def part(self, text: str, plain: bool = False) -> bytes:
         """Ids of a piece that is encoded for itself; plain letters and marks go straight to the library's model."""
         found = self.parts.get(text)
@@ -45,10 +56,11 @@ class TokenIds:
             if len(self.parts) >= MEMO // 2:
                 self.parts.clear()
             if plain:
-                ids = [token.id for token in self.model.tokenize(text.translate(self.alphabet))]
+                found = self.packed([token.id for token in self.model.tokenize(text.translate(self.alphabet))])
             else:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            found = self.parts[text] = np.array(ids, "<u4").tobytes()
+                found = self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            if len(text) <= SHORT:
+                self.parts[text] = found
         return found
 
     def run(self, text: str) -> bytes:
@@ -62,7 +74,8 @@ class TokenIds:
                 found = self.part(plain[1].lower(), True) + (self.part(plain[2], True) if plain[2] else b"")
             else:
                 found = self.part(text)
-            self.runs[text] = found
+            if len(text) <= SHORT:
+                self.runs[text] = found
         return found
 
     def clear(self) -> None:
@@ -94,29 +107,29 @@ def token_pieces(
     end_id: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
-    with_ids: bool = True,
 ) -> DataFrame:
     """Every text's ids and ``end_id``, cut into pieces of at most ``window``.
 
-    Returns ``id_col``, ``start``, ``length``, ``doc_tokens``, ``ids_crc32`` and, unless switched off, ``ids``. A null
-    text is empty, its piece is the end id alone; repeated rows give their pieces each.
+    Returns ``id_col``, ``start``, ``length``, ``doc_tokens``, ``ids`` (little-endian, 2 or 4 bytes each by the size of
+    the vocabulary), and for ``pack``: ``task`` and ``nth``, the piece's place among those of its length in its task. A
+    null text is empty, its piece is the end id alone; repeated rows give their pieces each; an empty table gives none.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, start long, length long, doc_tokens long, ids_crc32 long"
-    tail = int(end_id).to_bytes(4, "little")
+    schema = f"`{id_col}` {kind}, start long, length int, doc_tokens long, ids binary, task int, nth long"
 
     def rows(given: Iterator[tuple]) -> Iterator[tuple]:
         encoder = token_ids(tokenizer)
         remember_only(encoder)
+        tail = encoder.packed([end_id])
+        width, task, before = len(tail), TaskContext.get().partitionId(), Counter()
         for key, text in given:
             ids = encoder.of(text or "") + tail
-            for start, length in cut(len(ids) // 4, window):
-                part = ids[4 * start : 4 * (start + length)]
-                row = (key, start, length, len(ids) // 4, zlib.crc32(part))
-                yield (*row, np.frombuffer(part, "<u4").astype(np.int32)) if with_ids else row
+            for start, length in cut(len(ids) // width, window):
+                part = ids[width * start : width * (start + length)]
+                yield key, start, length, len(ids) // width, part, task, before[length]
+                before[length] += 1
 
-    given = docs.select(F.col(id_col), F.col(text_col))
-    return map_rows(given, schema + (", ids array<int>" if with_ids else ""), rows)
+    return map_rows(docs.select(F.col(id_col), F.col(text_col)), schema, rows, 512)
 
 
 class CapacityTree:
@@ -185,97 +198,103 @@ def plan(histogram: Iterable[tuple[int, int]], window: int) -> list[tuple[int, i
     return steps
 
 
-def pack(pieces: DataFrame, folder: str, order_by: list[str], length_col: str = "length", window: int = WINDOW) -> DataFrame:
-    """Put pieces of 1 to ``window`` tokens into sequences: all columns, ``sequence_id`` and ``offset``.
+def pack(pieces: DataFrame, folder: str, window: int = WINDOW) -> DataFrame:
+    """Put pieces of 1 to ``window`` tokens into sequences: all columns but ``task`` and ``nth``, ``sequence_id``, ``offset``.
 
-    Sequences are numbered from 0 without gaps, offsets in each too. ``order_by`` orders pieces of the same length;
-    rows equal in it may change places. ``folder`` takes the ranked pieces. An empty table gives an empty table.
+    ``pieces`` is what ``token_pieces`` returns. Sequences are numbered from 0 without gaps, offsets in each too. Which
+    of several pieces of one length comes first depends on the tasks that read the texts. ``folder`` takes the pieces.
+    An empty table gives an empty table.
     """
     spark = pieces.sparkSession
-    at, span, block, rank = (f"__{name}_{id(pieces):x}" for name in ("at", "span", "block", "rank"))
-    named = stage(pieces, folder, "pieces")
-    blocks = max(1, -(-named.count() // BLOCK))
-    keys = [F.col(c) for c in order_by]
-    named = named.withColumn(block, F.pmod(F.xxhash64(*keys), F.lit(blocks)).cast("int"))
-    counts = named.groupBy(F.col(length_col).alias(span), F.col(block).alias(at)).agg(F.count("*").alias("n"))
-    counts = stage(counts, folder, "counts")
-    histogram = [(r[0], r[1]) for r in counts.groupBy(span).agg(F.sum("n")).collect()]  # at most one row a length
+    given = stage(pieces, folder, "pieces")
+    counts = stage(given.groupBy("length", "task").agg(F.count("*").alias("n")), folder, "counts")
+    histogram = [tuple(r) for r in counts.groupBy("length").agg(F.sum("n")).collect()]  # at most one row a length
     if any(not 0 < n <= window for n, _ in histogram):
         raise ValueError(f"Pieces must have 1 to {window} tokens.")
-    before = counts.select(
-        F.col(span).alias("l"),
-        F.col(at).alias("b"),
-        (F.sum("n").over(Window.partitionBy(span).orderBy(at)) - F.col("n")).alias(at),
-    )
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("task")) - F.col("n")  # at most a row a task
+    offsets = stage(counts.select("length", "task", before.alias("before")), folder, "offsets")
+    if offsets.count() <= OFFSET_ROWS:
+        offsets = F.broadcast(offsets)
     steps = spark.createDataFrame(
-        plan(histogram, window), "length int, first long, n long, bin long, each long, offset long"
-    )
-    steps = steps.groupBy(F.col("length").alias("sl")).agg(
-        F.collect_list(F.struct("first", "n", "bin", "each", "offset")).alias(span)
-    )
-    within = F.row_number().over(Window.partitionBy(length_col, block).orderBy(*keys)).cast("long") - 1
-    ranked = named.withColumn(rank, within).join(
-        before, (F.col(length_col) == F.col("l")) & (F.col(block) == F.col("b"))
-    )
-    ranked = ranked.withColumn(rank, F.col(rank) + F.col(at)).join(
-        F.broadcast(steps), F.col(length_col) == F.col("sl")
+        plan(histogram, window), "length int, first long, n long, bin long, each long, shift long"
     )
-    step = F.filter(
-        F.col(span), lambda s: (F.col(rank) >= s["first"]) & (F.col(rank) < s["first"] + s["n"])
-    ).getItem(0)
-    placed = ranked.withColumn(at, step)
-    nth = F.col(rank) - F.col(at)["first"]
-    each = F.col(at)["each"]
-    return placed.select(
-        *[F.col(c) for c in pieces.columns],
-        (F.col(at)["bin"] + F.floor(nth / each)).cast("long").alias("sequence_id"),
-        (F.col(at)["offset"] + (nth % each) * F.col(length_col)).cast("long").alias("offset"),
+    steps = steps.groupBy("length").agg(F.collect_list(F.struct("first", "n", "bin", "each", "shift")).alias("steps"))
+    ranked = given.join(offsets, ["length", "task"]).join(F.broadcast(steps), "length")  # at most a row a length
+    rank = F.col("before") + F.col("nth")
+    step = F.filter("steps", lambda s: (rank >= s["first"]) & (rank < s["first"] + s["n"])).getItem(0)
+    at = (rank - F.col("step")["first"]) % F.col("step")["each"]
+    bin_ = F.col("step")["bin"] + F.floor((rank - F.col("step")["first"]) / F.col("step")["each"])
+    return ranked.withColumn("step", step).select(
+        *[c for c in pieces.columns if c not in ("task", "nth")],
+        bin_.cast("long").alias("sequence_id"),
+        (F.col("step")["shift"] + at * F.col("length")).cast("int").alias("offset"),
     )
 
 
-def sequence_lengths(packed: DataFrame, length_col: str = "length", window: int = WINDOW) -> DataFrame:
+def sequence_lengths(packed: DataFrame, window: int = WINDOW) -> DataFrame:
     """Tokens of every sequence, and the length it is padded to: ``window``, or its own at a power of two."""
-    filled = packed.groupBy("sequence_id").agg(F.sum(length_col).cast("long").alias("tokens"))
+    filled = packed.groupBy("sequence_id").agg(F.sum("length").cast("long").alias("tokens"))
     power = F.col("tokens").bitwiseAND(F.col("tokens") - 1) == 0
     return filled.withColumn("padded", F.when(power, F.col("tokens")).otherwise(F.lit(window).cast("long")))
 
 
-def _filled(packed: DataFrame, pad_id: int, window: int, carried: list[str]) -> DataFrame:
-    """``sequence_id``, padded ``ids``, and ``parts``: the pieces of each sequence with ``offset`` and some columns."""
-    parts = packed.groupBy("sequence_id").agg(
-        F.sort_array(F.collect_list(F.struct("offset", "ids", *carried))).alias("parts")
-    )
-    ids = F.flatten(F.transform("parts", lambda p: p["ids"]))
-    size = F.size(ids)
-    wanted = F.when(size.bitwiseAND(size - 1) == 0, size).otherwise(F.lit(window))
-    slim = F.transform("parts", lambda p: F.struct(p["offset"].alias("offset"), *[p[c].alias(c) for c in carried]))
-    full = F.concat(ids, F.array_repeat(F.lit(pad_id), wanted - size)).alias("ids")
-    return parts.select("sequence_id", full, slim.alias("parts"))
+def padded(pieces: list[tuple[int, bytes]], width: int, pad_id: int, window: int) -> np.ndarray:
+    """The ids of one sequence from its pieces by offset, and padding up to ``window`` unless they are a power of two."""
+    ids = np.frombuffer(b"".join(part for _, part in sorted(pieces)), f"<u{width}").astype("<u4")
+    size = len(ids)
+    return ids if size & (size - 1) == 0 else np.concatenate((ids, np.full(window - size, pad_id, "<u4")))
+
+
+def _sequences(packed: DataFrame, carried: list[str], schema: str, emit, pad_id: int, window: int) -> DataFrame:
+    """``emit`` of each sequence's number, padded ids and pieces (``carried``, then offset and length), one at a time."""
+    size = 2 * (packed.agg(F.sum(F.col("length").cast("long"))).first()[0] or 0)
+    names = ["sequence_id", "offset", "length", "ids", *carried]
+    parts = packed.select(*names).repartition(max(8, -(-size // PARTITION_BYTES)), "sequence_id")
+    parts = parts.sortWithinPartitions("sequence_id", "offset")
+
+    def rows(given: Iterator[tuple]) -> Iterator[tuple]:
+        now, held = None, []
+        for row in given:
+            if row[0] != now and held:
+                yield from whole(held)
+                held = []
+            now = row[0]
+            held.append(row)
+        if held:
+            yield from whole(held)
+
+    def whole(held: list[tuple]) -> Iterator[tuple]:
+        width = len(held[0][3]) // held[0][2]
+        ids = padded([(row[1], row[3]) for row in held], width, pad_id, window)
+        return emit(held[0][0], ids, [(*row[4:], row[1], row[2]) for row in held])
+
+    return map_rows(parts, schema, rows, 512)
 
 
 def padded_sequences(packed: DataFrame, pad_id: int = 0, window: int = WINDOW) -> DataFrame:
-    """The sequences themselves, from pieces that carry ``ids``: ``sequence_id`` and padded ``ids``."""
-    return _filled(packed, pad_id, window, []).select("sequence_id", "ids")
+    """The sequences themselves, from what ``pack`` returns: ``sequence_id`` and padded ``ids``."""
+
+    def emit(number, ids, parts):
+        yield number, ids.astype(np.int32)
 
+    return _sequences(packed, [], "sequence_id long, ids array<int>", emit, pad_id, window)
 
-def sequences_with_pieces(packed: DataFrame, carried: list[str], pad_id: int = 0, window: int = WINDOW) -> DataFrame:
-    """Padded sequences as above, and ``parts``: where each piece lies, with the ``carried`` columns."""
-    return _filled(packed, pad_id, window, carried)
 
+def pieces_of(
+    packed: DataFrame, carried: list[str], with_ids: bool = False, pad_id: int = 0, window: int = WINDOW
+) -> DataFrame:
+    """The pieces as they lie in the padded sequences.
+
+    Returns the ``carried`` columns, ``length``, ``ids_crc32`` of the ids found there, ``sequence_id``, ``offset`` and,
+    if asked for, ``ids``.
+    """
+    types = ", ".join(f"`{c}` {packed.schema[c].dataType.simpleString()}" for c in carried)
+    schema = f"{types}, length long, ids_crc32 long, sequence_id long, offset long" + ", ids array<int>" * with_ids
 
-def pieces_of(sequences: DataFrame, carried: list[str], length_col: str = "length") -> DataFrame:
-    """The pieces read back from padded sequences: ``carried``, ``ids_crc32`` of the ids found there, place."""
-    kind = sequences.schema["parts"].dataType.elementType
-    types = ", ".join(f"`{c}` {kind[c].dataType.simpleString()}" for c in carried)
-    at = carried.index(length_col)
+    def emit(number, ids, parts):
+        for *kept, offset, length in parts:
+            part = ids[offset : offset + length]
+            row = (*kept, length, zlib.crc32(part.tobytes()), number, offset)
+            yield (*row, part.astype(np.int32)) if with_ids else row
 
-    def rows(given: Iterator[tuple]) -> Iterator[tuple]:
-        for sequence, ids, parts in given:
-            data = np.array(ids, "<u4")
-            for part in parts:
-                row = [part[c] for c in carried]
-                crc = zlib.crc32(data[part["offset"] : part["offset"] + row[at]].tobytes())
-                yield (*row, crc, sequence, part["offset"])
-
-    schema = f"{types}, ids_crc32 long, sequence_id long, offset long"
-    return map_rows(sequences.select("sequence_id", "ids", "parts"), schema, rows)
+    return _sequences(packed, carried, schema, emit, pad_id, window)

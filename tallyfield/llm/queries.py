@@ -110,12 +110,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch(spark) as folder:
-        pieces = packing.token_pieces(documents(spark, sf_dir), tokenizer_path())
-        packed = packing.pack(pieces, folder, ["doc_id", "start", "ids_crc32"])
-        carried = ["doc_id", "start", "length", "doc_tokens"]
-        sequences = keep(packing.sequences_with_pieces(packed, carried))
-    found = packing.pieces_of(sequences, carried)
-    return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+        packed = packing.pack(packing.token_pieces(documents(spark, sf_dir), tokenizer_path()), folder)
+        found = packing.pieces_of(packed, ["doc_id", "start", "doc_tokens"])
+        return keep(found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"))
 
 
 @query("op10_language_id")
@@ -192,7 +189,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.aggregate(lengths, F.lit(0).cast("long"), lambda a, b: a + b).alias("n_removed"),
         F.size("repeat.spans").cast("long").alias("n_spans"),
         F.sha2("repeat.kept", 256).alias("kept_sha256"),
-    )
+    ).withColumn("removed_share", F.coalesce(F.try_divide("n_removed", "n_bytes"), F.lit(0.0)))
 
 
 @query("op13_token_alignment")

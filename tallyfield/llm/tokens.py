@@ -28,11 +28,11 @@ from .common import MEMO, map_rows
 CHUNK = 1 << 15
 #: States kept by a compiled automaton.
 STATES = 1 << 18
-#: Python also splits at these, which are no white space to Unicode.
-ODD_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-SPACE = re.compile(r"[\t-\r \x85\xa0  -     　]")
-
-
+#: Python also parts words at these, which are no white space to Unicode.
+ODD_SPACE = re.compile("[\x1c-\x1f]")
+SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Longest run that is remembered: bounds a memo in bytes.
+SHORT = 64
 #: A word of Latin-1 letters and ASCII marks: two pieces, stable under every normal form.
 PLAIN_WORD = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\\[-`{-~]*)")
 
@@ -190,7 +190,9 @@ class TokenCounter:
         if found is None:
             if len(self.counts) >= MEMO:
                 self.counts.clear()
-            found = self.counts[piece] = self.transducer.count(piece)
+            found = self.transducer.count(piece)
+            if len(piece) <= SHORT:
+                self.counts[piece] = found
         return found
 
     def run(self, text: str) -> int:
@@ -204,7 +206,8 @@ class TokenCounter:
                 found = self.piece(plain[1].lower().translate(self.alphabet)) + (self.piece(plain[2]) if plain[2] else 0)
             else:
                 found = self._run(text)
-            self.words[text] = found
+            if len(text) <= SHORT:
+                self.words[text] = found
         return found
 
     def _run(self, text: str) -> int:

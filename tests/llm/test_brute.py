@@ -38,6 +38,20 @@ def test_transducer_on_odd_texts_and_small_chunks():
         assert counter.offsets(text)[-1] == counter.offsets(text, 3)[-1] == wanted
 
 
+def test_ids_of_odd_texts_and_long_runs_are_the_librarys():
+    from tokenizers import Tokenizer
+
+    library, encoder, rng = Tokenizer.from_file(tokenizer_path()), packing.token_ids(tokenizer_path()), random.Random(7)
+    alphabet = "abcthein'sreABÉèßñ012 \t\n\x1c\x1d\x1e\x1f\x85\u3000.!?-_<|>endoftext漢İ́‍😀"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) + "<|endoftext|>" * (i % 7 == 0) for i in range(3000)]
+    texts += ["a\x1cb", "\x1f", "x" * 100_000, "漢字" * 20_000, "Ab1-" * 30_000]
+    for text in texts:
+        wanted = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.of(text), f"<u{len(encoder.packed([1]))}").tolist() == wanted
+        assert tokens.token_counter(tokenizer_path()).offsets(text)[-1] == len(wanted)
+    assert max(map(len, [*encoder.runs, *encoder.parts])) <= tokens.SHORT
+
+
 def test_packing_plan_is_best_fit_decreasing():
     rng = random.Random(2)
     for _ in range(300):

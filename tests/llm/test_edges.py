@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,7 +114,7 @@ def test_decontamination(spark, docs):
 def test_packing(spark, docs):
     with scratch(spark) as folder:
         pieces = packing.token_pieces(docs, tokenizer_path())
-        out = packing.pack(pieces, folder, ["doc_id", "start", "ids_crc32"])
+        out = packing.pack(pieces, folder)
         rows = out.collect()
         filled = {r["sequence_id"]: r for r in packing.sequence_lengths(out).collect()}
         full = {r["sequence_id"]: r["ids"] for r in packing.padded_sequences(out).collect()}
@@ -122,7 +123,7 @@ def test_packing(spark, docs):
     for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
         assert r["offset"] == ends.get(r["sequence_id"], 0)
         ends[r["sequence_id"]] = r["offset"] + r["length"]
-        assert full[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]] == r["ids"]
+        assert full[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]] == np.frombuffer(r["ids"], "<u2").tolist()
     assert sorted(ends) == list(range(len(ends))) and all(len(full[s]) == filled[s]["padded"] for s in ends)
 
 
