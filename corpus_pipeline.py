@@ -48,10 +48,12 @@ def contamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces with their token ids and place in sequences; ``packing.padded_sequences`` makes the sequences of them."""
-    with scratch(spark) as folder:
-        pieces = packing.token_pieces(docs, tokenizer_path())
-        return keep(packing.pack(pieces, folder, ["doc_id", "start", "ids_crc32"]))
+    """Pieces with their token ids and place in sequences; ``packing.padded_sequences`` makes the sequences of them.
+
+    A null or empty text is one piece, the end id; repeated rows are packed each.
+    """
+    packed = packing.pack(packing.token_pieces(docs, tokenizer_path()), scratch_dir(spark))
+    return packing.pieces_of(packed, ["doc_id", "start", "doc_tokens"], with_ids=True)
 
 
 STAGES = [
