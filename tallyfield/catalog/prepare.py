@@ -28,6 +28,12 @@ CLEAN_INVALID = ", ".join(
 )
 
 
+def cleaned(t: Tables, folder: str):
+    """Prepared and cleaned rows, staged like in the preparation job."""
+    prepared = files.stage(t.prepared(), folder, "prepared")
+    return prepared, contracts.clean(prepared, S.INCIDENTS, lambda keys: files.stage(keys, folder, "repeats"))
+
+
 @query(
     "s12_data_dictionary",
     f"""WITH {PREPARED_SQL}, present AS (
@@ -180,7 +186,7 @@ def p13_prepare(t: Tables):
     times=["incident_timestamp"],
 )
 def p13_clean(t: Tables):
-    return contracts.clean(t.prepared(), S.INCIDENTS)
+    return cleaned(t, files.scratch_dir(t.spark))[1]
 
 
 REASON_SQL = """concat_ws(',', CASE WHEN NOT has_valid_crime_id THEN 'invalid_crime_id' END,
@@ -283,9 +289,8 @@ def a1_source_quality(t: Tables):
 )
 def a2_quality_row(t: Tables):
     """Both rows read the prepared table as staged by the preparation job."""
-    prepared = files.stage(t.prepared(), files.scratch_dir(t.spark), "prepared")
-    cleaned = contracts.clean(prepared, S.INCIDENTS)
-    return quality.quality_row(prepared, cleaned, S.SOURCE_DEFECTS, S.CLEAN_DEFECTS, "crime_id")
+    prepared, kept = cleaned(t, files.scratch_dir(t.spark))
+    return quality.quality_row(prepared, kept, S.SOURCE_DEFECTS, S.CLEAN_DEFECTS, "crime_id")
 
 
 @query(
@@ -313,7 +318,9 @@ def a3_series_quality(t: Tables):
     times=["l_shipdate"],
 )
 def a4_dedup(t: Tables):
-    return contracts.dedup(t.read("lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    folder = files.scratch_dir(t.spark)
+    keys = ["l_orderkey", "l_linenumber"]
+    return contracts.dedup(t.read("lineitem"), keys, ["l_shipdate"], keep=lambda df: files.stage(df, folder, "repeats"))
 
 
 @query(

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
 from ..functions.labels import rejection_reason
 from ..functions.parsing import parse_bool, parse_double, parse_int, parse_timestamp
 from .scalars import MAX_BROADCAST_ROWS, at_least
 
+#: Types whose minimum Spark keeps in place, so that it can aggregate by hash.
+_FIXED_WIDTH = (BooleanType, DateType, NumericType, TimestampNTZType, TimestampType)
 _PARSERS = {
     "int": lambda col: parse_int(col, "int"),
     "long": lambda col: parse_int(col, "long"),
@@ -146,54 +149,70 @@ def quarantine(df: DataFrame, reasons: Mapping[str, str]) -> DataFrame:
     return df.filter(failed).withColumn("rejection_reason", rejection_reason(reasons))
 
 
-def dedup(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str] = (),
-    where: Column | None = None,
-    columns: Sequence[str] | None = None,
-) -> DataFrame:
-    """One row per key: the smallest by ``order_by``, then by the remaining ``columns``.
+def _smallest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One row per key: a plain minimum of the other columns, so each map task sends one row per key.
 
-    It is a plain minimum, so each map task sends one row per key however often a key occurs, and
-    the survivor does not depend on partitioning. ``where`` rejects rows inside the aggregate: a
-    filter below it would make Spark compute the parsed columns it tests a second time.
+    Spark aggregates such minima by sorting; this is for the rows of repeated keys and for small tables.
     """
-    columns = list(columns or df.columns)
     first = [c for c in order_by if c not in keys]
     rest = [c for c in columns if c not in keys and c not in first]
-    row = F.struct(F.lit(True), *[F.col(f"`{c}`") for c in [*first, *rest]])
-    smallest = F.min(row if where is None else F.when(where, row)).alias("_smallest")
-    unpacked = [f"`{c}`" if c in keys else F.col("_smallest").getField(c).alias(c) for c in columns]
-    grouped = df.groupBy(*keys).agg(smallest)
-    return (grouped if where is None else grouped.filter("_smallest IS NOT NULL")).select(*unpacked)
+    row = F.struct(F.lit(True).alias("_any"), *[F.col(f"`{c}`") for c in [*first, *rest]])
+    grouped = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.min(row).alias("_smallest"))
+    return grouped.select(*[f"`{c}`" if c in keys else F.col("_smallest").getField(c).alias(c) for c in columns])
+
 
+def repeated_keys(df: DataFrame, keys: Sequence[str], lead: str | None = None) -> DataFrame:
+    """Keys that several rows share as ``_key_0``, ``_key_1`` and so on, and the least ``lead`` of each as ``_least``.
 
-def repeated_keys(df: DataFrame, keys: Sequence[str], where: Column) -> DataFrame:
-    """Keys that several accepted rows share."""
-    counts = df.filter(where).groupBy(*keys).agg(F.count("*").alias("_rows"))
-    return counts.filter(F.col("_rows") > 1).select(*keys)
+    A key without a lead in some row has NULL as its least one. Buffers have a fixed width, so Spark counts by hash.
+    """
+    named = [F.col(f"`{k}`").alias(f"_key_{i}") for i, k in enumerate(keys)]
+    least = [] if lead is None else [F.min(lead).alias("_min"), F.count(lead).alias("_leads")]
+    counts = df.groupBy(*named).agg(F.count("*").alias("_rows"), *least).filter("_rows > 1")
+    if lead is None:
+        return counts.drop("_rows")
+    return counts.withColumn("_least", F.when(F.col("_leads") == F.col("_rows"), F.col("_min"))).drop(
+        "_rows", "_leads", "_min"
+    )
 
 
-def dedup_known(
+def dedup(
     df: DataFrame,
     keys: Sequence[str],
-    order_by: Sequence[str],
-    where: Column,
-    columns: Sequence[str],
-    repeated: DataFrame,
+    order_by: Sequence[str] = (),
+    where: Column | None = None,
+    columns: Sequence[str] | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """The same rows as ``dedup``, for a written table whose repeated keys are known.
+    """One row per key: the smallest by ``order_by``, then by the remaining ``columns``; NULL is the smallest value.
+
+    Keys are counted by hash, with partial counts in each map task, and rows whose key occurs once pass an anti join:
+    they are never sorted. Of a repeated key only the rows with its least first ``order_by`` value, if that has a fixed
+    width, are compared as a whole. The survivor does not depend on partitioning. ``where`` accepts rows.
 
-    Rows with a key of their own need no shuffle at all; only the repeated ones are aggregated. That
-    holds while the repeated keys are few enough to broadcast, which is counted first.
+    ``keep`` writes the table of repeated keys and reads it back. Few of them are then broadcast, and the other rows
+    need no shuffle; otherwise both sides are hashed to partitions, where Spark splits a hot one.
     """
-    if at_least(repeated, MAX_BROADCAST_ROWS + 1):
-        return dedup(df, keys, order_by, where, columns)
-    few = F.broadcast(repeated)
-    single = df.filter(where).join(few, list(keys), "left_anti").select(*columns)
-    several = df.filter(where).join(few, list(keys), "left_semi")
-    return single.unionByName(dedup(several, keys, order_by, None, columns))
+    columns = list(columns or df.columns)
+    lead = next((c for c in order_by if c not in keys and isinstance(df.schema[c].dataType, _FIXED_WIDTH)), None)
+    lead = lead if lead in order_by[:1] else None
+    needed = [*columns, *[c for c in [*keys, *order_by] if c not in columns]]
+    rows = (df if where is None else df.filter(where)).select(*[f"`{c}`" for c in dict.fromkeys(needed)])
+    repeated = repeated_keys(rows, keys, lead)
+    few = False
+    if keep is not None:
+        repeated = keep(repeated)
+        few = not at_least(repeated, MAX_BROADCAST_ROWS + 1)
+    repeated = F.broadcast(repeated) if few else repeated.hint("shuffle_hash")
+    same = F.lit(True)
+    for i, key in enumerate(keys):
+        same = same & F.col(f"`{key}`").eqNullSafe(F.col(f"_key_{i}"))
+    single = rows.join(repeated, same, "left_anti").select(*[f"`{c}`" for c in columns])
+    if lead is not None:
+        # Not an equality, or Spark would shuffle the rows by it once more.
+        same = same & ((F.col(lead).isNull() & F.col("_least").isNull()) | (F.col(lead) <= F.col("_least")))
+    tied = rows.join(repeated, same, "left_semi")
+    return single.unionByName(_smallest(tied, keys, order_by, columns))
 
 
 def project_contract(df: DataFrame, columns: Sequence[str], texts: Mapping[str, str]) -> DataFrame:
@@ -244,24 +263,12 @@ def _accepted(prepared: DataFrame, contract: FactContract) -> tuple[DataFrame, C
     return project_contract(prepared, [*contract.columns, *extra], contract.texts), passed
 
 
-def clean(prepared: DataFrame, contract: FactContract) -> DataFrame:
-    """Reject by the mandatory flags, keep one row per key, project the contract."""
-    projected, passed = _accepted(prepared, contract)
-    return dedup(projected, [contract.key], [contract.timestamp], passed, contract.columns)
-
-
-def contract_repeats(prepared: DataFrame, contract: FactContract) -> DataFrame:
-    """Repeated keys among the accepted rows."""
-    projected, passed = _accepted(prepared, contract)
-    return repeated_keys(projected, [contract.key], passed)
-
-
-def clean_written(prepared: DataFrame, contract: FactContract, repeated: DataFrame) -> DataFrame:
-    """``clean`` for a written prepared table, with its written repeated keys."""
+def clean(
+    prepared: DataFrame, contract: FactContract, keep: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Reject by the mandatory flags, keep one row per key, project the contract; ``keep`` as in ``dedup``."""
     projected, passed = _accepted(prepared, contract)
-    return dedup_known(
-        projected, [contract.key], [contract.timestamp], passed, contract.columns, repeated
-    )
+    return dedup(projected, [contract.key], [contract.timestamp], passed, contract.columns, keep)
 
 
 def prepare_lookup(raw: DataFrame, contract: LookupContract) -> DataFrame:
@@ -272,7 +279,8 @@ def prepare_lookup(raw: DataFrame, contract: LookupContract) -> DataFrame:
         F.trim(F.col(contract.text)).alias(contract.text),
         *[parse_double(F.col(name)).alias(name) for name in contract.measures],
     )
-    return dedup(keep_range(typed, contract.key, *contract.key_range), [contract.key], [contract.text])
+    kept = keep_range(typed, contract.key, *contract.key_range)
+    return _smallest(kept, [contract.key], [contract.text], kept.columns)
 
 
 def data_dictionary(spark: SparkSession, rows: Sequence[Sequence[str]]) -> DataFrame:

@@ -96,14 +96,24 @@ def _any(condition: Column) -> Column:
 
 
 def hourly_rollup(df: DataFrame, spec: HourlyRollup) -> DataFrame:
-    """One row per (day, hour): smallest station, means, maxima and 0/1 flags per category."""
+    """One row per (day, hour): smallest station, means, maxima and 0/1 flags per category.
+
+    Observations are summed by hour and station first. So no buffer over them holds a string, which would make Spark
+    sort them, and names are compared once per station of an hour.
+    """
     category = F.col(spec.category)
-    rolled = df.groupBy(*spec.keys).agg(
-        F.min(spec.station).alias(spec.station),
-        *[F.avg(source).alias(target) for target, source in spec.means.items()],
+    flags = {spec.any_event: category != spec.quiet_category}
+    flags |= {flag: category == value for flag, value in spec.category_flags.items()}
+    parts = df.groupBy(*spec.keys, spec.station).agg(
+        *[F.sum(source).alias(f"_sum_{target}") for target, source in spec.means.items()],
+        *[F.count(source).alias(f"_n_{target}") for target, source in spec.means.items()],
         *[F.max(source).alias(target) for target, source in spec.maxima.items()],
-        _any(category != spec.quiet_category).alias(spec.any_event),
-        *[_any(category == value).alias(flag) for flag, value in spec.category_flags.items()],
+        *[_any(condition).alias(flag) for flag, condition in flags.items()],
+    )
+    rolled = parts.groupBy(*spec.keys).agg(
+        F.array_min(F.collect_set(spec.station)).alias(spec.station),
+        *[F.try_divide(F.sum(f"_sum_{name}"), F.sum(f"_n_{name}")).alias(name) for name in spec.means],
+        *[F.max(name).alias(name) for name in [*spec.maxima, *flags]],
     )
     positive = {
         flag: F.coalesce(F.col(source) > 0, F.lit(False)).cast("int")

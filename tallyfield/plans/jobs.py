@@ -33,14 +33,13 @@ def prepare_incidents(
     """Raw CSV to clean partitioned facts, quality row, quarantine and data dictionary.
 
     The text is parsed once: the prepared rows are staged as Parquet, and every output reads its
-    columns from there. Only rows with a repeated key are shuffled to find the one that stays.
+    columns from there. Keys are counted first, and only rows with a repeated one are compared.
     """
     mode = "overwrite" if overwrite else "errorifexists"
     raw = files.read_raw_csv(spark, input_path)
     with files.scratch(spark) as folder:
         prepared = files.stage(contracts.prepare(raw, S.INCIDENTS), folder, "prepared")
-        repeats = files.stage(contracts.contract_repeats(prepared, S.INCIDENTS), folder, "repeats")
-        cleaned = contracts.clean_written(prepared, S.INCIDENTS, repeats)
+        cleaned = contracts.clean(prepared, S.INCIDENTS, lambda keys: files.stage(keys, folder, "repeats"))
         files.write_partitioned(cleaned, output_path, ["year", "district"], mode)
         if quality_path:
             written = files.read_table(spark, output_path)

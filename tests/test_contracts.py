@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.operators import contracts, quality
 from tallyfield.plans import schemas as S
+from tallyfield.sources import files
 
 COLUMNS = ["ID", "Date", "District", "Community Area", "Latitude", "Longitude", "Arrest", "Domestic", "Primary Type"]
 
@@ -98,13 +99,51 @@ def test_dedup_on_all_columns_is_distinct(spark):
     assert sorted(r.k for r in contracts.dedup(rows, ["k"]).collect()) == [1, 2]
 
 
-@pytest.mark.parametrize("limit", [0, 10_000])
-def test_dedup_of_known_repeats_equals_dedup(spark, tables, monkeypatch, limit):
+@pytest.fixture
+def keeper(spark, tmp_path):
+    return lambda df: files.stage(df, str(tmp_path), "repeats")
+
+
+@pytest.mark.parametrize("limit", [None, 0, 10_000])
+def test_dedup_by_any_join_equals_the_minimum(spark, tables, monkeypatch, keeper, limit):
     monkeypatch.setattr(contracts, "MAX_BROADCAST_ROWS", limit)
-    prepared = tables.prepared()
-    repeats = contracts.contract_repeats(prepared, S.INCIDENTS)
-    assert repeats.count() > 0
-    known = contracts.clean_written(prepared, S.INCIDENTS, repeats)
-    plain = contracts.clean(prepared, S.INCIDENTS)
-    assert known.columns == plain.columns and known.count() == plain.count()
-    assert known.exceptAll(plain).count() == 0
+    rows = tables.prepared().select("crime_id", "incident_timestamp", "district", "block", "latitude")
+    rows = rows.unionByName(rows.filter("crime_id % 5 = 0"))
+    keys, order = ["crime_id"], ["incident_timestamp"]
+    plain = contracts._smallest(rows, keys, order, rows.columns)
+    got = contracts.dedup(rows, keys, order, keep=None if limit is None else keeper)
+    assert got.columns == plain.columns and got.count() == plain.count()
+    assert got.exceptAll(plain).count() == plain.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "double", "array<int>"])
+def test_dedup_orders_null_first_and_keeps_null_keys(spark, kind):
+    made = {"long": [3, None, 1], "string": ["c", None, "a"], "double": [float("nan"), None, -0.5], "array<int>": [[3], None, [1]]}[kind]
+    rows = [(k, o, v) for k in (None, 1, 2) for o in made for v in ("x", "y") if not (k == 2 and o is None)]
+    df = spark.createDataFrame([*rows, *rows, (9, None, "z")], f"k int, o {kind}, v string")
+    got = {r.k: (r.o, r.v) for r in contracts.dedup(df, ["k"], ["o"]).collect()}
+    assert got == {None: (None, "x"), 1: (None, "x"), 2: (made[2], "x"), 9: (None, "z")}
+
+
+def test_rows_with_a_key_of_their_own_are_never_sorted(spark, keeper):
+    rows = spark.range(300).selectExpr("id AS k", "timestamp_seconds(id % 7) AS t", "string(id) AS wide")
+    for keep in (None, keeper):
+        text = contracts.dedup(rows, ["k"], ["t"], keep=keep)._jdf.queryExecution().executedPlan().toString()
+        single = text[: text.index("LeftSemi")]
+        assert "LeftAnti" in single and "HashJoin" in single
+        below = single[single.index("LeftAnti") :]
+        assert "Sort" not in below.split("SortAggregate")[0] and "SortMergeJoin" not in text
+
+
+def test_many_repeats_and_a_hot_key(spark, keeper):
+    rows = spark.range(450_000).selectExpr(
+        "CASE WHEN id < 150000 THEN -1 ELSE id % 200000 END AS k", "timestamp_seconds(id % 1000) AS t", "id AS v"
+    )
+    got = contracts.dedup(rows, ["k"], ["t"], keep=keeper)
+    want = contracts._smallest(rows, ["k"], ["t"], rows.columns)
+    assert got.count() == 200_001 and got.exceptAll(want).count() == 0
+
+
+def test_hourly_rollup_sorts_no_observation(tables):
+    text = tables.hourly_weather()._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and text.count("HashAggregate") == 4
