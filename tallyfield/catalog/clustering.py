@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import clusters, fitting, sampling, shares
+from ..operators.ordering import ordered
 from ..plans import jobs, schemas as S
 from ..sources import files
 from .registry import query
@@ -184,9 +185,12 @@ def m7_best_k(t: Tables):
 
 @query("m8_detail_assignment", f"WITH {INPUT_SQL} SELECT crime_id, true AS detailed FROM input")
 def m8_detail_assignment(t: Tables):
-    """All valid rows with one of the K = 6 clusters."""
+    """All valid rows, and whether their cluster is that of a K = 6 model fitted apart on the same rows."""
     records = jobs.cluster_facts(t.facts(), files.scratch_dir(t.spark)).detailed_clustered_records
-    return records.select("crime_id", F.col("cluster").between(0, clusters.DETAIL_K - 1).alias("detailed"))
+    with fitting.persisted(fitting.spread(scaled(t), "crime_id")) as train:
+        model = clusters.fit_kmeans(train, clusters.DETAIL_K, clusters.SEEDS[0])
+    again = clusters.assign(scaled(t), model, "again").select("crime_id", "again")
+    return records.join(again, "crime_id", "left").select("crime_id", F.col("cluster").eqNullSafe(F.col("again")).alias("detailed"))
 
 
 @query("a17_cluster_profile", f"WITH {PROFILE_SQL} SELECT * FROM profile", floats=PROFILE_FLOATS)
@@ -250,15 +254,16 @@ def a24_stability_rollup(t: Tables):
     "r2_silhouette_by_k",
     f"WITH {ROLLUP_SQL} SELECT k, silhouette_score, silhouette_stddev FROM rollup",
     floats=["silhouette_score", "silhouette_stddev"],
+    order="k",
 )
 def r2_silhouette_by_k(t: Tables):
     rollup = clusters.stability_rollup(score_rows(t))
-    return rollup.select("k", "silhouette_score", "silhouette_stddev").orderBy("k")
+    return ordered(rollup.select("k", "silhouette_score", "silhouette_stddev"), "k")
 
 
-@query("r3_cost_by_k", f"WITH {ROLLUP_SQL} SELECT k, training_cost FROM rollup", floats=["training_cost"])
+@query("r3_cost_by_k", f"WITH {ROLLUP_SQL} SELECT k, training_cost FROM rollup", floats=["training_cost"], order="k")
 def r3_cost_by_k(t: Tables):
-    return clusters.stability_rollup(score_rows(t)).select("k", "training_cost").orderBy("k")
+    return ordered(clusters.stability_rollup(score_rows(t)).select("k", "training_cost"), "k")
 
 
 @query(

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import day_type, season
 from ..operators import explore, series, shares
-from ..operators.scalars import with_scalar
+from ..operators.ordering import ordered
+from ..operators.scalars import distinct_values, with_scalar
 from ..plans import jobs, schemas as S
 from .registry import query
 from .standins import (
@@ -18,6 +19,7 @@ from .standins import (
     HOURLY_WEATHER_SQL,
     IMPACT_SQL,
     LOOKUP_SQL,
+    MODEL_TABLE_SQL,
     SERIES_YEARS,
     Tables,
 )
@@ -341,9 +343,10 @@ def r4_mean_by_condition(t: Tables):
     "r5_count_by_hour",
     f"""WITH {FACTS_SQL} SELECT hour, count(*) AS crime_count FROM facts
         WHERE incident_timestamp IS NOT NULL GROUP BY hour""",
+    order="hour",
 )
 def r5_count_by_hour(t: Tables):
-    return explore.hour_totals(explore.temporal_patterns(t.facts(), TS, COUNT), COUNT).orderBy("hour")
+    return ordered(explore.hour_totals(explore.temporal_patterns(t.facts(), TS, COUNT), COUNT), "hour")
 
 
 @query(
@@ -359,16 +362,17 @@ def a21_class_distribution(t: Tables):
     "a22_category_distribution",
     """SELECT p_brand, count(*) AS count, round(count(*) / sum(count(*)) OVER (), 4) AS type_share
        FROM part GROUP BY p_brand""",
+    order="count DESC, p_brand",
 )
 def a22_category_distribution(t: Tables):
-    return shares.distribution(t.read("part"), "p_brand", "type_share").orderBy(F.desc("count"), "p_brand")
+    return ordered(shares.distribution(t.read("part"), "p_brand", "type_share"), F.desc("count"), "p_brand")
 
 
 TOP_SQL = """SELECT p_type, count(*) AS count, round(count(*) / sum(count(*)) OVER (), 4) AS type_share
        FROM part GROUP BY p_type ORDER BY count DESC, p_type LIMIT 10"""
 
 
-@query("o3_top_categories", TOP_SQL)
+@query("o3_top_categories", TOP_SQL, order="count DESC, p_type")
 def o3_top_categories(t: Tables):
     return shares.top_n(shares.distribution(t.read("part"), "p_type", "type_share"), "count", "p_type", 10)
 
@@ -376,18 +380,22 @@ def o3_top_categories(t: Tables):
 @query(
     "r6_frequent_categories",
     """SELECT p_brand, count(*) AS count FROM part GROUP BY p_brand ORDER BY count DESC, p_brand LIMIT 10""",
+    order="count, p_brand",
 )
 def r6_frequent_categories(t: Tables):
     counts = shares.distribution(t.read("part"), "p_brand", "type_share")
-    return shares.top_n(counts, "count", "p_brand", 10).select("p_brand", "count").orderBy("count")
+    return ordered(shares.top_n(counts, "count", "p_brand", 10).select("p_brand", "count"), "count")
 
 
 @query(
     "o2_ordered_by_count",
-    """SELECT p_size, count(*) AS count FROM part GROUP BY p_size""",
+    f"""WITH {MODEL_TABLE_SQL} SELECT primary_type, count(*) AS count,
+        round(count(*) / sum(count(*)) OVER (), 4) AS type_share FROM model_rows GROUP BY primary_type""",
+    order="count DESC, primary_type",
 )
 def o2_ordered_by_count(t: Tables):
-    return t.read("part").groupBy("p_size").count().orderBy(F.desc("count"), "p_size")
+    types = shares.distribution(t.model_table(), S.MODEL.category, "type_share")
+    return ordered(types, F.desc("count"), S.MODEL.category)
 
 
 @query(
@@ -395,4 +403,4 @@ def o2_ordered_by_count(t: Tables):
     "SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders",
 )
 def u2_distinct(t: Tables):
-    return t.read("orders").select("o_orderpriority", "o_orderstatus").distinct()
+    return distinct_values(t.read("orders"), "o_orderpriority", "o_orderstatus")

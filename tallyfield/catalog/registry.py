@@ -8,6 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DoubleType, TimestampNTZType, TimestampType
 
+from ..operators.ordering import number_rows
+from ..sources import files
 from .standins import Tables
 
 # Sums of doubles depend on their order in the last digit. Both engines add this before they round, so
@@ -42,8 +44,13 @@ def query(
     times: Sequence[str] = (),
     longs: Sequence[str] = (),
     ints: Sequence[str] = (),
+    order: str | None = None,
 ):
-    """Register a function of ``Tables``; the column lists shape the SQL output like ``comparable``."""
+    """Register a function of ``Tables``; the column lists shape the SQL output like ``comparable``.
+
+    ``order`` is the SQL order of a query whose rows are ordered. Its result has the ``position`` of each row as it lies,
+    and SQL numbers its rows, so that a table in another order is another result.
+    """
     shapes = [f"round({c} + {TIE_SHIFT}::DOUBLE, 6) AS {c}" for c in floats]
     shapes += [f"CAST({c} AS VARCHAR) AS {c}" for c in dates]
     shapes += [f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in times]
@@ -53,11 +60,16 @@ def query(
     def register(fn: Callable[[Tables], DataFrame]):
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return comparable(fn(Tables(spark, sf_dir)))
+            found = fn(Tables(spark, sf_dir))
+            if order is not None:
+                folder = files.scratch_dir(spark)
+                found = number_rows(found, "position", lambda rows: files.stage(rows, folder, "ordered"))
+            return comparable(found)
 
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = f"SELECT * REPLACE ({', '.join(shapes)}) FROM ({sql})" if shapes else sql
+            numbered = f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({sql})" if order else sql
+            ORACLES[name] = f"SELECT * REPLACE ({', '.join(shapes)}) FROM ({numbered})" if shapes else numbered
         return fn
 
     return register

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import positive_score, to_label
 from ..operators import evaluate, sampling, shares
+from ..operators.ordering import ordered
 from ..plans import schemas as S
 from .registry import query
 from .standins import FACTS_SQL, SCORED_SQL, Tables, key_hash_sql
@@ -133,10 +134,11 @@ def j6_threshold_counts(t: Tables):
     "r8_rates_by_threshold",
     f"WITH {THRESHOLD_SQL} SELECT threshold, precision, recall, f1_score FROM thresholds",
     floats=["threshold", "precision", "recall", "f1_score"],
+    order="threshold",
 )
 def r8_rates_by_threshold(t: Tables):
     table = evaluate.threshold_metrics(t.scored(), "score")
-    return table.select("threshold", "precision", "recall", "f1_score").orderBy("threshold")
+    return ordered(table.select("threshold", "precision", "recall", "f1_score"), "threshold")
 
 
 @query("e4_roc_curve", f"WITH {ROC_SQL} SELECT * FROM roc", floats=["false_positive_rate", "true_positive_rate"])
@@ -144,21 +146,40 @@ def e4_roc_curve(t: Tables):
     return evaluate.roc_curve(t.scored(), "score")
 
 
-@query("r1_roc_points", f"WITH {ROC_SQL} SELECT * FROM roc", floats=["false_positive_rate", "true_positive_rate"])
+CORNERS_SQL = f"""{STEPS_SQL},
+turns AS (SELECT *, lead(positive) OVER w AS p, lead(negative) OVER w AS n FROM running WINDOW w AS (ORDER BY score DESC)),
+corners AS (SELECT 0.0::DOUBLE AS false_positive_rate, 0.0::DOUBLE AS true_positive_rate UNION ALL SELECT 1, 1 UNION ALL
+            SELECT running_negative / total_negative, running_positive / total_positive FROM turns
+            WHERE p IS NULL OR positive * n <> negative * p)"""
+RATES = ["false_positive_rate", "true_positive_rate"]
+
+
+@query("r1_roc_points", f"WITH {ROC_SQL} SELECT * FROM roc", floats=RATES, order="false_positive_rate, true_positive_rate")
 def r1_roc_points(t: Tables):
-    return evaluate.roc_curve(t.scored(), "score").orderBy("false_positive_rate", "true_positive_rate")
+    return ordered(evaluate.roc_curve(t.scored(), "score"), *RATES)
+
+
+@query(
+    "r1_roc_corners",
+    f"WITH {CORNERS_SQL.replace(SCORED_SQL, PRICED_SQL)} SELECT * FROM corners",
+    floats=RATES,
+    order="false_positive_rate, true_positive_rate",
+)
+def r1_roc_corners(t: Tables):
+    """The curve of nearly as many scores as rows, without points on straight lines."""
+    label = (F.col("l_returnflag") == "R").cast("double").alias("label")
+    rows = t.read("lineitem").select(label, "l_extendedprice")
+    return ordered(evaluate.roc_curve(rows, "l_extendedprice", compact=True), *RATES)
 
 
 @query(
     "u1_union_end_points",
-    """SELECT 'end point' AS kind, 0.0::DOUBLE AS rate UNION ALL SELECT 'end point', 1 UNION ALL
-       SELECT l_returnflag, l_discount FROM lineitem""",
-    floats=["rate"],
+    f"WITH {ROC_SQL} SELECT false_positive_rate, true_positive_rate, count(*) AS points FROM roc GROUP BY ALL",
+    floats=RATES,
 )
 def u1_union_end_points(t: Tables):
-    ends = t.spark.range(2).select(F.lit("end point").alias("kind"), F.col("id").cast("double").alias("rate"))
-    rows = t.read("lineitem").select(F.col("l_discount").alias("rate"), F.col("l_returnflag").alias("kind"))
-    return ends.unionByName(rows)
+    """How often each point is in the curve: a corner that is a step too is there twice."""
+    return evaluate.roc_curve(t.scored(), "score").groupBy(*RATES).agg(F.count("*").alias("points"))
 
 
 @query(
@@ -171,6 +192,49 @@ def w3_prefix_sum(t: Tables):
     return shares.prefix_sum(steps(t), "score", ["positive", "negative"])
 
 
+@query(
+    "w3_prefix_sum_by_group",
+    """SELECT o_orderstatus, o_totalprice, orders,
+              sum(orders) OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC ROWS UNBOUNDED PRECEDING) AS running_orders,
+              sum(orders) OVER (PARTITION BY o_orderstatus) AS total_orders
+       FROM (SELECT o_orderstatus, o_totalprice, count(*) AS orders FROM orders GROUP BY ALL)""",
+    floats=["o_totalprice"],
+    longs=["running_orders", "total_orders"],
+)
+def w3_prefix_sum_by_group(t: Tables):
+    rows = t.read("orders").withColumn("orders", F.lit(1))
+    return shares.prefix_sum(rows, "o_totalprice", ["orders"], by="o_orderstatus")
+
+
+@query(
+    "e1_binary_metrics_by_group",
+    """WITH s AS (SELECT l_linestatus AS model_name, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label,
+                 l_quantity / 50 AS score FROM lineitem),
+        c AS (SELECT model_name, count(*) FILTER (label = 1 AND score >= 0.5) AS true_positive,
+                     count(*) FILTER (label = 0 AND score >= 0.5) AS false_positive,
+                     count(*) FILTER (label = 1 AND score < 0.5) AS false_negative,
+                     count(*) FILTER (label = 0 AND score < 0.5) AS true_negative FROM s GROUP BY model_name),
+        t AS (SELECT model_name, score, sum(label) AS p, sum(1 - label) AS n FROM s GROUP BY ALL),
+        r AS (SELECT *, sum(p) OVER w AS rp, sum(n) OVER w AS rn, sum(p) OVER g AS tp, sum(n) OVER g AS tn FROM t
+              WINDOW w AS (PARTITION BY model_name ORDER BY score DESC ROWS UNBOUNDED PRECEDING),
+                     g AS (PARTITION BY model_name)),
+        a AS (SELECT model_name, sum(n * (rp - p / 2)) / max(tp) / max(tn) AS area_under_roc FROM r GROUP BY model_name)
+        SELECT c.*, true_positive / greatest(true_positive + false_positive, 1) AS precision,
+               true_positive / greatest(true_positive + false_negative, 1) AS recall, area_under_roc
+        FROM c JOIN a USING (model_name)""",
+    floats=["precision", "recall", "area_under_roc"],
+)
+def e1_binary_metrics_by_group(t: Tables):
+    """Counts, rates and areas of several groups of predictions from one shuffle of counts."""
+    rows = t.read("lineitem").selectExpr(
+        "l_linestatus AS model_name", "CASE WHEN l_returnflag = 'R' THEN 1D ELSE 0D END AS label",
+        "l_quantity / 50D AS rank", "CASE WHEN l_quantity / 50D >= 0.5D THEN 1D ELSE 0D END AS prediction",
+    )
+    return evaluate.compare(rows, "rank", "model_name").select(
+        "model_name", *evaluate.COUNTS, "precision", "recall", "area_under_roc"
+    )
+
+
 @query(
     "w3_prefix_sum_prices",
     """SELECT o_totalprice, orders, sum(orders) OVER (ORDER BY o_totalprice DESC ROWS UNBOUNDED PRECEDING)

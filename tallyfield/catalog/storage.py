@@ -7,7 +7,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ..operators import models
+from ..operators import explore, models
+from ..operators.ordering import ordered
 from ..plans import schemas as S
 from ..sources import files, payload
 from .registry import query
@@ -176,7 +177,11 @@ def f8_pruned_lookup(t: Tables):
 
 @query(
     "o1_ordered_table",
-    f"""WITH {FACTS_SQL} SELECT year, month, count(*) AS crime_count FROM facts GROUP BY year, month""",
+    f"""WITH {FACTS_SQL} SELECT year, month, day_of_week, hour, count(*) AS crime_count FROM facts
+        WHERE incident_timestamp IS NOT NULL GROUP BY ALL""",
+    order="year, month, day_of_week, hour",
 )
 def o1_ordered_table(t: Tables):
-    return t.facts().groupBy("year", "month").agg(F.count("*").alias("crime_count")).orderBy("year", "month")
+    """The temporal table as the exploration job orders it."""
+    patterns = explore.temporal_patterns(t.facts(), "incident_timestamp", "crime_count")
+    return ordered(patterns, "year", "month", "day_of_week", "hour")

@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .contracts import drop_null, require_flags
-from .fitting import PARALLEL_FITS, concurrently
-from .scalars import over_all, with_scalar
-from .shares import dominant_share
+from .fitting import PARALLEL_FITS, concurrently, persisted
+from .scalars import distinct_values, over_all
 
 # Sweep of the published study.
 CANDIDATES = (2, 3, 4, 5, 6)
@@ -30,8 +29,8 @@ def cluster_input(
 
 def require_varying(df: DataFrame, col: str) -> None:
     """Fail unless a column has at least two distinct values; stops at the second."""
-    if df.select(col).distinct().limit(2).count() < 2:
-        raise ValueError(f"Clustering requires varying values of {col}.")
+    if distinct_values(df, col).limit(2).count() < 2:
+        raise ValueError(f"{col} has the same value in all rows; there is nothing to cluster by.")
 
 
 def assemble(df: DataFrame, features: Sequence[str], output: str = "features_raw") -> DataFrame:
@@ -55,14 +54,90 @@ def fit_kmeans(df: DataFrame, k: int, seed: int) -> KMeansModel:
     return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(df)
 
 
+def _sums(df: DataFrame, clusterings: Sequence[str], group: str | None, width: int) -> DataFrame:
+    """Rows, sums and squared lengths of the points of each (clustering, cluster, group), from one pass."""
+    values = vector_to_array("features")
+    square = F.aggregate(values, F.lit(0.0), lambda total, x: total + x * x)
+    pairs = [F.struct(F.lit(i).alias("fit"), F.col(c).cast("int").alias("cluster")) for i, c in enumerate(clusterings)]
+    group = F.lit(None).cast("string") if group is None else F.col(group)
+    rows = df.select(values.alias("_v"), square.alias("_square"), group.alias("group"), F.explode(F.array(*pairs)).alias("_at"))
+    return rows.groupBy("_at.fit", "_at.cluster", "group").agg(
+        F.count("*").alias("rows"),
+        F.sum("_square").alias("square"),
+        F.array(*[F.sum(F.get("_v", F.lit(i))) for i in range(width)]).alias("sums"),
+    )
+
+
+def _silhouettes(df: DataFrame, clusterings: Sequence[str], sums: DataFrame, width: int) -> list[float | None]:
+    """Mean silhouette of each clustering, from one more pass; ``sums`` has a row for each cluster and group.
+
+    The squared distances of a point x to the n points y of a cluster sum to n |x|^2 + sum |y|^2 - 2 x . sum y, so only
+    these sums are needed: one row for each cluster of each clustering comes to the driver.
+    """
+    per_cluster = sums.groupBy("fit", "cluster").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("square").alias("square"),
+        F.array(*[F.sum(F.get("sums", F.lit(i))) for i in range(width)]).alias("sums"),
+    )
+    known: dict[int, list] = {}
+    for row in per_cluster.orderBy("fit", "cluster").collect():
+        known.setdefault(row["fit"], []).append(row)
+    values = vector_to_array("features")
+    square = F.aggregate(values, F.lit(0.0), lambda total, x: total + x * x)
+    points = df.select(values.alias("_v"), square.alias("_square"), *clusterings)
+
+    def score(number: int, name: str) -> Column:
+        clusters = F.array(
+            *[
+                F.struct(
+                    F.lit(r["cluster"]).alias("cluster"), F.lit(r["rows"]).alias("n"), F.lit(r["square"]).alias("square"),
+                    F.array(*[F.lit(x) for x in r["sums"]]).alias("sums"),
+                )
+                for r in known[number]
+            ]
+        )
+
+        def total(c: Column) -> Column:
+            product = F.aggregate(F.zip_with("_v", c["sums"], lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+            return c["n"] * F.col("_square") + c["square"] - 2 * product
+
+        def nearness(c: Column) -> Column:
+            own = c["cluster"] == F.col(name)
+            mean = F.try_divide(F.greatest(total(c), F.lit(0.0)), F.when(own, c["n"] - 1).otherwise(c["n"]))
+            return F.struct(own.alias("own"), mean.alias("mean"))
+
+        means = F.transform(clusters, nearness)
+        inside = F.get(F.filter(means, lambda m: m["own"]), F.lit(0))["mean"]
+        outside = F.array_min(F.transform(F.filter(means, lambda m: ~m["own"]), lambda m: m["mean"]))
+        pair = F.array(inside, outside)
+        value = F.transform(
+            F.array(pair),  # named once, so that it is computed once
+            lambda p: F.coalesce(F.try_divide(p[1] - p[0], F.greatest(p[0], p[1])), F.lit(0.0)),
+        )[0]
+        return F.when(F.col(name).isNotNull(), value)
+
+    return list(points.agg(*[F.avg(score(i, c)) for i, c in enumerate(clusterings)]).first())
+
+
+def _width(df: DataFrame) -> int:
+    first = df.select("features").first()
+    if first is None:
+        raise ValueError("features: no row to cluster.")
+    return len(first[0])
+
+
+def silhouettes(df: DataFrame, clusterings: Sequence[str]) -> list[float | None]:
+    """Mean silhouette with squared Euclidean distance of each column of clusters, from two passes for all of them.
+
+    A point alone in its cluster, or in the only one, counts 0.
+    """
+    width = _width(df)
+    return _silhouettes(df, clusterings, _sums(df, clusterings, None, width), width)
+
+
 def silhouette(df: DataFrame, cluster: str = "cluster") -> float:
     """Mean silhouette with squared Euclidean distance."""
-    return ClusteringEvaluator(
-        featuresCol="features",
-        predictionCol=cluster,
-        metricName="silhouette",
-        distanceMeasure="squaredEuclidean",
-    ).evaluate(df)
+    return silhouettes(df, [cluster])[0]
 
 
 def size_range(df: DataFrame, by: str) -> DataFrame:
@@ -74,23 +149,6 @@ def size_range(df: DataFrame, by: str) -> DataFrame:
     )
 
 
-def _score(train: DataFrame, k: int, seed: int, group: str) -> tuple:
-    model = fit_kmeans(train, k, seed)
-    assigned = model.transform(train)
-    share = "average_dominant_district_share"
-    sizes = with_scalar(size_range(assigned, "cluster"), dominant_share(assigned, "cluster", group, share))
-    row = sizes.first()
-    return (
-        seed,
-        k,
-        float(silhouette(assigned)),
-        float(model.summary.trainingCost),
-        row["minimum_cluster_size"],
-        row["maximum_cluster_size"],
-        row[share],
-    )
-
-
 def kmeans_sweep(
     train: DataFrame,
     group: str,
@@ -100,20 +158,38 @@ def kmeans_sweep(
 ) -> DataFrame:
     """One row per (k, seed) fit on scaled training rows: silhouette, cost, sizes, dominant share.
 
-    ``train`` should be persisted, since every fit reads it many times.
+    ``train`` should be persisted, since every fit reads it many times. All fits are scored together: one pass sums the
+    points of every cluster by group, one more has all silhouettes.
     """
     if not seeds:
-        raise ValueError("Clustering requires at least one random seed.")
+        raise ValueError(f"seeds={list(seeds)}: state at least one.")
     rows = train.limit(max(ks, default=0) + 1).count()
     fits = [(k, seed) for k in ks if 1 < k < rows for seed in seeds]
     if not fits:
-        raise ValueError("Clustering requires at least three valid records.")
+        raise ValueError(f"ks={list(ks)}: no value from 2 to the number of rows less 1.")
     spark = train.sparkSession
-    scores = concurrently(spark, lambda fit: _score(train, *fit, group), fits, parallelism)
+    models = concurrently(spark, lambda fit: fit_kmeans(train, *fit), fits, parallelism)
+    names = [f"_fit_{i}" for i in range(len(fits))]
+    assigned = train.select("features", group)
+    for name, model in zip(names, models):
+        assigned = assign(assigned, model, name)
+    share = "average_dominant_district_share"
+    width = _width(train)
+    with persisted(_sums(assigned, names, group, width)) as sums:
+        scores = _silhouettes(assigned, names, sums, width)
+        sizes = sums.groupBy("fit", "cluster").agg(
+            F.sum("rows").alias("all"),
+            (F.max(F.when(F.col("group").isNotNull(), F.col("rows"))) / F.sum(F.when(F.col("group").isNotNull(), F.col("rows")))).alias("share"),
+        )
+        sizes = sizes.groupBy("fit").agg(F.min("all"), F.max("all"), F.coalesce(F.avg("share"), F.lit(0.0)))
+        tables = {row[0]: row[1:] for row in sizes.collect()}  # a row for each fit
+    found = [
+        (seed, k, float(scores[i]), float(models[i].summary.trainingCost), *tables[i]) for i, (k, seed) in enumerate(fits)
+    ]
     return spark.createDataFrame(
-        scores,
+        found,
         "seed long, k long, silhouette_score double, training_cost double, minimum_cluster_size long,"
-        " maximum_cluster_size long, average_dominant_district_share double",
+        f" maximum_cluster_size long, {share} double",
     )
 
 

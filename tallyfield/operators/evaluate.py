@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shares import prefix_sum
+from .shares import MAX_RANGES, prefix_sum
 
 # Probability thresholds of the trade-off table.
 THRESHOLDS = (0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8)
@@ -25,6 +25,29 @@ def _ratio(part: Column, whole: Column, least: float = 1) -> Column:
     return part / F.greatest(whole, F.lit(least))
 
 
+COUNTS = ("true_positive", "false_positive", "false_negative", "true_negative")
+RATES = ("precision", "recall", "specificity", "f1_score", "balanced_accuracy", "positive_share")
+
+
+def _rates(counts: DataFrame) -> DataFrame:
+    """Add the rates made from confusion counts; 0/0 is 0.0."""
+    tp, fp, fn, tn = (F.col(c) for c in COUNTS)
+    precision, recall, specificity = F.col("precision"), F.col("recall"), F.col("specificity")
+    return counts.withColumns(
+        {
+            "precision": _ratio(tp, tp + fp),
+            "recall": _ratio(tp, tp + fn),
+            "specificity": _ratio(tn, tn + fp),
+            "positive_share": _ratio(tp + fn, tp + fp + fn + tn),
+        }
+    ).withColumns(
+        {
+            "f1_score": _ratio(2 * precision * recall, precision + recall, 1e-12),
+            "balanced_accuracy": (recall + specificity) / 2,
+        }
+    )
+
+
 def binary_metrics(df: DataFrame) -> DataFrame:
     """Confusion counts and the rates made from them, in one row; 0/0 is 0.0."""
     counts = df.agg(
@@ -33,33 +56,7 @@ def binary_metrics(df: DataFrame) -> DataFrame:
         _count(1, 0).alias("false_negative"),
         _count(0, 0).alias("true_negative"),
     )
-    tp, fp, fn, tn = (F.col(c) for c in counts.columns)
-    precision, recall, specificity = F.col("precision"), F.col("recall"), F.col("specificity")
-    return (
-        counts.withColumns(
-            {
-                "precision": _ratio(tp, tp + fp),
-                "recall": _ratio(tp, tp + fn),
-                "specificity": _ratio(tn, tn + fp),
-                "positive_share": _ratio(tp + fn, tp + fp + fn + tn),
-            }
-        )
-        .withColumns(
-            {
-                "f1_score": _ratio(2 * precision * recall, precision + recall, 1e-12),
-                "balanced_accuracy": (recall + specificity) / 2,
-            }
-        )
-        .select(
-            *counts.columns,
-            "precision",
-            "recall",
-            "specificity",
-            "f1_score",
-            "balanced_accuracy",
-            "positive_share",
-        )
-    )
+    return _rates(counts).select(*COUNTS, *RATES)
 
 
 def _steps(df: DataFrame, score: str) -> DataFrame:
@@ -72,11 +69,11 @@ def _steps(df: DataFrame, score: str) -> DataFrame:
     return prefix_sum(labelled, score, ["positive", "negative"])
 
 
-def areas(df: DataFrame, score: str) -> DataFrame:
-    """Exact areas under the ROC and the precision-recall curve, in one row; NULL without the labels they need.
+def _areas() -> list[Column]:
+    """Both areas as aggregates of steps with running sums.
 
-    The trapezoids follow from the running counts per distinct score, so the curve is never thinned,
-    however many scores there are.
+    The trapezoids follow from the running counts per distinct score, so the curve is never thinned, however many
+    scores there are.
     """
     positive, negative, hits, misses = (
         F.col(c).cast("double") for c in ("positive", "negative", "running_positive", "running_negative")
@@ -84,12 +81,40 @@ def areas(df: DataFrame, score: str) -> DataFrame:
     precision = F.try_divide(hits, hits + misses)
     before = F.try_divide(hits - positive, hits + misses - positive - negative)
     positives, negatives = (F.max(c).cast("double") for c in ("total_positive", "total_negative"))
-    return _steps(df, score).agg(
+    return [
         F.try_divide(F.sum(negative * (hits - positive / 2)), positives * negatives).alias("area_under_roc"),
         F.try_divide(
             F.sum(positive * (precision + F.coalesce(before, precision)) / 2), positives
         ).alias("area_under_pr"),
+    ]
+
+
+def areas(df: DataFrame, score: str) -> DataFrame:
+    """Exact areas under the ROC and the precision-recall curve, in one row; NULL without the labels they need."""
+    return _steps(df, score).agg(*_areas())
+
+
+def compare(df: DataFrame, score: str, by: str) -> DataFrame:
+    """Confusion counts, rates and exact areas of each group of predictions, from one shuffle of counts per score."""
+    label, predicted = F.col("label"), F.col("prediction") == 1
+    counted = df.select(
+        by,
+        score,
+        (label == 1).cast("long").alias("positive"),
+        (label == 0).cast("long").alias("negative"),
+        ((label == 1) & predicted).cast("long").alias("hit"),
+        ((label == 0) & predicted).cast("long").alias("miss"),
     )
+    steps = prefix_sum(counted, score, ["positive", "negative", "hit", "miss"], by=by)
+    hit, miss, positive, negative = (F.max(f"total_{c}") for c in ("hit", "miss", "positive", "negative"))
+    counts = steps.groupBy(by).agg(
+        hit.alias("true_positive"),
+        miss.alias("false_positive"),
+        (positive - hit).alias("false_negative"),
+        (negative - miss).alias("true_negative"),
+        *_areas(),
+    )
+    return _rates(counts).select(by, *COUNTS, *RATES, "area_under_roc", "area_under_pr")
 
 
 def threshold_metrics(df: DataFrame, score: str, thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:
@@ -124,9 +149,38 @@ def threshold_metrics(df: DataFrame, score: str, thresholds: Sequence[float] = T
     ).withColumn("f1_score", F.try_divide(2 * precision * recall, precision + recall))
 
 
-def roc_curve(df: DataFrame, score: str) -> DataFrame:
-    """Running true and false positive rate per distinct score, descending, with both end points."""
-    points = _steps(df, score).select(
+def _corners(steps: DataFrame, ranges: int) -> DataFrame:
+    """Steps behind which the curve turns, or ends, by exact cross products of each step and the next one.
+
+    The next step is looked for inside a range of running counts, and the last one of a range gets the first step of the
+    next range from a table with a row for each range. So the result does not depend on the ranges.
+    """
+    before = F.col("running_positive") + F.col("running_negative") - F.col("positive") - F.col("negative")
+    total = F.greatest(F.col("total_positive") + F.col("total_negative"), F.lit(1))
+    step = F.struct(*[F.col(c).cast("decimal(19,0)").alias(c) for c in ("positive", "negative")])
+    placed = steps.filter("positive + negative > 0").withColumns(
+        {"_before": before, "_range": F.floor(before * ranges / total), "_step": step}
+    )
+    firsts = placed.groupBy("_range").agg(F.min_by("_step", "_before").alias("_first"))
+    by_range = Window.partitionBy(F.lit(0)).orderBy("_range")  # at most a row a range
+    following = firsts.select(F.col("_range").alias("_of"), F.lead("_first").over(by_range).alias("_following"))
+    inside = Window.partitionBy("_range").orderBy("_before")
+    next_ = F.coalesce(F.lead("_step").over(inside), F.col("_following"))
+    joined = placed.join(F.broadcast(following), F.col("_range") == F.col("_of")).withColumn("_next", next_)
+    cross = F.col("_step.positive") * F.col("_next.negative") != F.col("_step.negative") * F.col("_next.positive")
+    return joined.filter(F.col("_next").isNull() | cross)
+
+
+def roc_curve(df: DataFrame, score: str, compact: bool = False) -> DataFrame:
+    """Running true and false positive rate per distinct score, descending, with both end points.
+
+    ``compact`` leaves out points on a straight line between their neighbours: the same curve from fewer points.
+    """
+    steps = _steps(df, score)
+    if compact:
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        steps = _corners(steps, max(1, min(ranges, MAX_RANGES)))
+    points = steps.select(
         F.try_divide(F.col("running_negative"), F.col("total_negative")).alias("false_positive_rate"),
         F.try_divide(F.col("running_positive"), F.col("total_positive")).alias("true_positive_rate"),
     )

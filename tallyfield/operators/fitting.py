@@ -21,7 +21,7 @@ Result = TypeVar("Result")
 @contextmanager
 def persisted(df: DataFrame):
     """Keep a frame that several jobs read, and release it whatever happens."""
-    held = df.persist(StorageLevel.DISK_ONLY)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield held
     finally:

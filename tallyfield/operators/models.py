@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.labels import positive_score, to_label
 from .contracts import drop_null, require_flags
-from .evaluate import areas, binary_metrics
-from .fitting import concurrently, persisted, spread
+from .evaluate import COUNTS, compare
+from .fitting import FIT_PARTITIONS, concurrently, persisted, spread
+from .ordering import number_rows, ordered
 from .sampling import temporal_split
+from .scalars import distinct_values
 
 # Model settings of the published study.
 SEED = 42
@@ -78,7 +80,7 @@ def class_weights(df: DataFrame) -> DataFrame:
     """Add ``class_weight``: rows / (2 x rows of the class); labels must be exactly 0 and 1."""
     negative, positive, other = _class_counts(df)
     if not negative or not positive or other:
-        raise ValueError("Class weighting requires both outcome classes.")
+        raise ValueError(f"label must hold 0 and 1 only; found {negative} zeros, {positive} ones, {other} others.")
     total = negative + positive
     weight = F.when(F.col("label") == 1, F.lit(total / (2 * positive)))
     return df.withColumn("class_weight", weight.otherwise(F.lit(total / (2 * negative))))
@@ -98,6 +100,33 @@ def category_one_hot(spec: ModelSpec) -> OneHotEncoder:
     )
 
 
+def category_table(df: DataFrame, col: str, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``col`` and ``index`` of each category by falling frequency, then by name: the numbers of ``category_index``.
+
+    No list of categories passes the driver, so there may be as many as rows. ``keep`` writes the counted categories
+    and reads them back. NULL is no category.
+    """
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("_rows"))
+    numbered = number_rows(ordered(counts, F.desc("_rows"), col), "_position", keep)
+    return numbered.select(col, (F.col("_position") - 1).cast("double").alias("index"))
+
+
+def with_category_index(df: DataFrame, table: DataFrame, col: str) -> DataFrame:
+    """Add ``<col>_index`` from a category table; NULL and unseen categories share one more index."""
+    size = table.agg(F.count("*").cast("double").alias("size")).scalar()
+    names = table.select(F.col(col).alias("_category"), F.col("index").alias(f"_{col}_index"))
+    joined = df.join(names, F.col(col) == F.col("_category"), "left").drop("_category")
+    return joined.withColumn(f"{col}_index", F.coalesce(f"_{col}_index", size)).drop(f"_{col}_index")
+
+
+def with_one_hot(df: DataFrame, col: str, categories: int) -> DataFrame:
+    """Add ``<col>_vector`` from ``<col>_index``, with a place for each category and for unseen ones."""
+    index = f"{col}_index"
+    widest = df.sparkSession.range(1).select(F.lit(float(categories)).alias(index))
+    encoder = OneHotEncoder(inputCols=[index], outputCols=[f"{col}_vector"], handleInvalid="keep")
+    return encoder.fit(widest).transform(df)
+
+
 def _features(spec: ModelSpec, category: str) -> VectorAssembler:
     return VectorAssembler(inputCols=[*spec.numbers, f"{spec.category}_{category}"], outputCol="features")
 
@@ -108,8 +137,8 @@ def _weighted(classifier, weighted: bool):
 
 def require_bins(df: DataFrame, spec: ModelSpec, bins: int) -> DataFrame:
     """Return ``df``, or fail when its categories and the index of unseen ones need more tree bins."""
-    if df.select(spec.category).distinct().limit(bins).count() >= bins:
-        raise ValueError(f"{spec.category} has at least {bins} categories, too many for bins={bins}.")
+    if distinct_values(df, spec.category).limit(bins).count() >= bins:
+        raise ValueError(f"bins={bins} is too small for the values of {spec.category} and one for unseen ones.")
     return df
 
 
@@ -133,21 +162,37 @@ def lr_pipeline(spec: ModelSpec, weighted: bool = True) -> Pipeline:
 
 
 def majority_baseline(df: DataFrame) -> DataFrame:
-    """Predict the negative class for every row."""
-    return df.select("label").withColumn("prediction", F.lit(0.0))
-
-
-def comparison_row(
-    predictions: DataFrame, model_name: str, strategy: str, cutoff: int = 0, ranked: bool = True
-) -> tuple:
-    """One row of the comparison table; without a ranking, the areas are 0.5 and the positive share."""
-    metrics = binary_metrics(predictions).first()
-    if ranked:
-        ranks = predictions.select("label", positive_score(F.col("rawPrediction")).alias("rank"))
-        under = tuple(areas(ranks, "rank").first())
-    else:
-        under = (0.5, metrics["positive_share"])
-    return (model_name, strategy, cutoff, *metrics[:-1], *under)
+    """Add ``prediction``: the negative class for every row."""
+    return df.withColumn("prediction", F.lit(0.0))
+
+
+def scored_rows(
+    models: dict[str, PipelineModel], test: DataFrame, baseline: str | None = None
+) -> DataFrame:
+    """``model_name``, ``label``, ``prediction`` and ``rank`` of every row by every model, from one pass over ``test``.
+
+    ``baseline`` names one more model that predicts the negative class and ranks all rows alike.
+    """
+    scored, done = test, []
+    for i, model in enumerate(models.values()):
+        found = F.struct("prediction", positive_score(F.col("rawPrediction")).alias("rank")).alias(f"_model_{i}")
+        scored = model.transform(scored).select(*test.columns, *done, found)
+        done.append(f"_model_{i}")
+    rows = [
+        F.struct(F.lit(name).alias("model_name"), F.col(at)["prediction"].alias("prediction"), F.col(at)["rank"].alias("rank"))
+        for name, at in zip(models, done)
+    ]
+    if baseline is not None:
+        scored = majority_baseline(scored)
+        rows.append(F.struct(F.lit(baseline).alias("model_name"), "prediction", F.lit(0.0).alias("rank")))
+    return scored.select("label", F.explode(F.array(*rows)).alias("row")).select("label", "row.*")
+
+
+def comparison_rows(scored: DataFrame, strategy: str, cutoff: int = 0) -> list[tuple]:
+    """Rows of the comparison table, one for each model of ``scored_rows``."""
+    columns = [*COUNTS, "precision", "recall", "specificity", "f1_score", "balanced_accuracy", "area_under_roc", "area_under_pr"]
+    found = compare(scored, "rank", "model_name").select("model_name", *columns).collect()
+    return [(row[0], strategy, cutoff, *row[1:]) for row in sorted(found)]
 
 
 def comparison_table(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
@@ -164,24 +209,15 @@ def selected_metrics(comparison: DataFrame) -> DataFrame:
 
 
 def _fit_all(
-    train: DataFrame, spec: ModelSpec, pipelines: dict[str, Pipeline], bins: int
+    train: DataFrame, spec: ModelSpec, pipelines: dict[str, Pipeline], bins: int, partitions: int
 ) -> dict[str, PipelineModel]:
     """Fit pipelines on rows that are read from the source once."""
-    with persisted(spread(train, spec.key)) as rows:
+    with persisted(spread(train, spec.key, partitions)) as rows:
         weighted = class_weights(require_bins(rows, spec, bins))
         fitted = concurrently(train.sparkSession, lambda p: p.fit(weighted), list(pipelines.values()))
     return dict(zip(pipelines, fitted))
 
 
-def _compare(models: dict[str, PipelineModel], test: DataFrame, strategy: str, cutoff: int = 0) -> list[tuple]:
-    def row(name: str) -> tuple:
-        scored = models[name].transform(test).select("label", "prediction", "rawPrediction")
-        with persisted(scored) as held:
-            return comparison_row(held, name, strategy, cutoff)
-
-    return concurrently(test.sparkSession, row, list(models))
-
-
 def weighted_pipelines(spec: ModelSpec, bins: int) -> dict[str, Pipeline]:
     """The three weighted classifiers by name."""
     return {
@@ -191,28 +227,28 @@ def weighted_pipelines(spec: ModelSpec, bins: int) -> dict[str, Pipeline]:
     }
 
 
-def fit_models(train: DataFrame, spec: ModelSpec, bins: int = BINS) -> dict[str, PipelineModel]:
+def fit_models(
+    train: DataFrame, spec: ModelSpec, bins: int = BINS, partitions: int = FIT_PARTITIONS
+) -> dict[str, PipelineModel]:
     """The unweighted forest and the three weighted models on one training frame."""
     unweighted = {"unweighted_random_forest": rf_pipeline(spec, False, bins)}
-    return _fit_all(train, spec, unweighted | weighted_pipelines(spec, bins), bins)
+    return _fit_all(train, spec, unweighted | weighted_pipelines(spec, bins), bins, partitions)
 
 
-def compare_models(models: dict[str, PipelineModel], test: DataFrame, spec: ModelSpec) -> list[tuple]:
+def compare_models(models: dict[str, PipelineModel], test: DataFrame) -> list[tuple]:
     """Baseline and fitted models on the random holdout."""
-    strategy = SELECTED[1]
-    with persisted(spread(test, spec.key)) as held:
-        baseline = comparison_row(majority_baseline(held), "majority_class_baseline", strategy, ranked=False)
-        return [baseline, *_compare(models, held, strategy)]
+    return comparison_rows(scored_rows(models, test, "majority_class_baseline"), SELECTED[1])
 
 
-def compare_temporal(df: DataFrame, spec: ModelSpec, bins: int = BINS) -> list[tuple]:
+def compare_temporal(
+    df: DataFrame, spec: ModelSpec, bins: int = BINS, partitions: int = FIT_PARTITIONS
+) -> list[tuple]:
     """The three weighted models on the last years; nothing when a part lacks a class."""
     train, test, cutoff = temporal_split(df, spec.year, CUTOFF_YEARS)
     if not (has_classes(train) and has_classes(test)):
         return []
-    models = _fit_all(train, spec, weighted_pipelines(spec, bins), bins)
-    with persisted(spread(test, spec.key)) as held:
-        return _compare(models, held, "temporal_holdout", cutoff)
+    models = _fit_all(train, spec, weighted_pipelines(spec, bins), bins, partitions)
+    return comparison_rows(scored_rows(models, test), "temporal_holdout", cutoff)
 
 
 def prediction_output(predictions: DataFrame, key: str, score: str) -> DataFrame:

@@ -40,3 +40,8 @@ def grouped_total(grouped: DataFrame, value: str) -> Column:
 def at_least(df: DataFrame, n: int) -> bool:
     """Whether a frame has ``n`` rows or more; reading stops there."""
     return df.limit(n).count() >= n
+
+
+def distinct_values(df: DataFrame, *cols: str) -> DataFrame:
+    """The distinct values of some columns."""
+    return df.select(*cols).distinct()

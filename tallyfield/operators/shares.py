@@ -64,33 +64,60 @@ def _ranged(steps: DataFrame, order: str, ranges: int) -> DataFrame:
     return numbered.withColumn("_range", number).drop("_value", "_bucket")
 
 
-def prefix_sum(df: DataFrame, order: str, cols: Sequence[str], ranges: int | None = None) -> DataFrame:
+def _ranged_by(steps: DataFrame, order: str, ranges: int, by: str) -> DataFrame:
+    """Add ``_range`` as above, from the quantiles of each group; the cuts of all groups are at most ``MAX_RANGES``."""
+    value = F.col(order).cast("double")
+    groups = max(1, steps.select(by).distinct().count())
+    ranges = max(1, min(ranges, MAX_RANGES // groups))
+    if ranges == 1:
+        return steps.withColumn("_range", F.when(F.col(order).isNull(), -1).otherwise(0))
+    marks = [i / ranges for i in range(1, ranges)]
+    found = steps.groupBy(by).agg(F.percentile_approx(value, marks).alias("cuts")).collect()
+    rows = [(r[by], sorted({c for c in r["cuts"] or () if math.isfinite(c)})) for r in found]
+    kind = steps.schema[by].dataType.simpleString()
+    cuts = steps.sparkSession.createDataFrame(rows, f"_by {kind}, _cuts array<double>")
+    placed = steps.join(F.broadcast(cuts), F.col(by).eqNullSafe(F.col("_by")), "left")
+    number = F.size(F.filter("_cuts", lambda cut: cut <= value))
+    return placed.withColumn("_range", F.when(F.col(order).isNull(), -1).otherwise(number)).drop("_by", "_cuts")
+
+
+def prefix_sum(
+    df: DataFrame, order: str, cols: Sequence[str], ranges: int | None = None, by: str | None = None
+) -> DataFrame:
     """Sums per distinct value of a numeric column, their running sums in descending order, and the totals.
 
     One window over all rows would be one task. Here the distinct values are cut into ranges at
     approximate quantiles, each range has its own window, and the totals of the ranges above it (at
-    most ``MAX_RANGES`` rows) are added. NULL comes last. Adds ``running_<col>`` and ``total_<col>``.
+    most ``MAX_RANGES`` rows) are added. NULL comes last. Adds ``running_<col>`` and ``total_<col>``. With ``by`` all of
+    this holds in each group of that column, which is meant for few groups, and one shuffle serves them all.
     """
-    steps = df.groupBy(order).agg(*[F.sum(c).alias(c) for c in cols])
+    keys = [] if by is None else [by]
+    steps = df.groupBy(*keys, order).agg(*[F.sum(c).alias(c) for c in cols])
     if ranges is None:
         ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = _ranged(steps, order, max(1, min(ranges, MAX_RANGES)))
+    ranges = max(1, min(ranges, MAX_RANGES))
+    ranged = _ranged(steps, order, ranges) if by is None else _ranged_by(steps, order, ranges, by)
 
-    totals = ranged.groupBy("_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in cols])
-    every = Window.partitionBy(F.lit(0))
+    totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in cols])
+    every = Window.partitionBy(*(keys or [F.lit(0)]))
     higher = every.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        "_range",
+        *[F.col(k).alias("_group") for k in keys],
+        F.col("_range").alias("_of"),
         *[F.coalesce(F.sum(f"_sum_{c}").over(higher), F.lit(0)).alias(f"_before_{c}") for c in cols],
         *[F.sum(f"_sum_{c}").over(every).alias(f"total_{c}") for c in cols],
     )
     inside = (
-        Window.partitionBy("_range")
+        Window.partitionBy(*keys, "_range")
         .orderBy(F.desc_nulls_last(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     running = ranged.select("*", *[F.sum(c).over(inside).alias(f"_inside_{c}") for c in cols])
-    return running.join(F.broadcast(offsets), "_range").select(
+    same = F.col("_range") == F.col("_of")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col("_group"))
+    return running.join(F.broadcast(offsets), same).select(
+        *keys,
         order,
         *cols,
         *[(F.col(f"_inside_{c}") + F.col(f"_before_{c}")).alias(f"running_{c}") for c in cols],

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.labels import priority_label
 from ..functions.parsing import parse_timestamp
 from ..operators import clusters, contracts, evaluate, explore, fitting, models, quality, sampling, series, shares
+from ..operators.ordering import ordered
 from ..operators.scalars import at_least
 from ..sources import files
 from . import schemas as S
@@ -178,10 +179,10 @@ def explore_job(
         ),
     }
     for name, (table, order) in first.items():
-        files.write_table(table.orderBy(*order), f"{output_dir}/{name}")
+        files.write_table(ordered(table, *order), f"{output_dir}/{name}")
     daily, patterns = (files.read_table(spark, f"{output_dir}/{name}") for name in first)
     for name, (table, order) in explore_tables(facts, daily, patterns, lookup).items():
-        files.write_table(table.orderBy(*order) if order else table, f"{output_dir}/{name}")
+        files.write_table(ordered(table, *order), f"{output_dir}/{name}")
 
 
 @dataclass(frozen=True)
@@ -204,14 +205,16 @@ def cluster_facts(
     ks: Sequence[int] = clusters.CANDIDATES,
     seeds: Sequence[int] = clusters.SEEDS,
     fraction: float | None = None,
+    partitions: int = fitting.FIT_PARTITIONS,
 ) -> Clustering:
     """Choose K from repeated fits, then assign and profile all valid rows.
 
-    The fits use all valid rows, or a key-hash sample if the caller states its ``fraction``. The
-    assignments are written to ``folder``, where the returned tables read them.
+    The fits use all valid rows, or a key-hash sample if the caller states its ``fraction``, in so many ``partitions``:
+    a fit depends on this number, not on the cluster. The assignments are written to ``folder``, where the returned
+    tables read them.
     """
     if not seeds:
-        raise ValueError("Clustering requires at least one random seed.")
+        raise ValueError(f"seeds={list(seeds)}: state at least one.")
     keep = ["crime_id", *S.CLUSTER_FEATURES, "district"]
     rows = clusters.cluster_input(
         facts, "has_valid_coordinates", S.CLUSTER_FEATURES, "crime_id", "district"
@@ -219,7 +222,7 @@ def cluster_facts(
     sample = rows
     if fraction is not None:
         sample = sampling.training_sample(rows, "crime_id", fraction, S.SMALLEST_SAMPLE, S.SAMPLE_SEED)
-    with fitting.persisted(fitting.spread(sample, "crime_id")) as train:
+    with fitting.persisted(fitting.spread(sample, "crime_id", partitions)) as train:
         clusters.require_varying(train, "hour")
         scaler = clusters.fit_scaler(clusters.assemble(train, S.CLUSTER_FEATURES))
         scaled = scaler.transform(clusters.assemble(train, S.CLUSTER_FEATURES))
@@ -242,10 +245,10 @@ def cluster_facts(
     profile = clusters.cluster_profile(assigned, "cluster", "district")
     return Clustering(
         best_k,
-        scores.orderBy("k"),
-        stability.orderBy("k", "seed"),
+        ordered(scores, "k"),
+        ordered(stability, "k", "seed"),
         assigned,
-        clusters.flag_hotspots(profile, "district").orderBy("cluster"),
+        ordered(clusters.flag_hotspots(profile, "district"), "cluster"),
         shares.alignment(assigned, "cluster", "district", "incident_count", True),
         detailed,
         shares.alignment(detailed, "cluster", "district", "incident_count", False),
@@ -258,6 +261,7 @@ def cluster_job(
     output_dir: str,
     fraction: float | None = None,
     map_sample: tuple[float, int] | None = None,
+    partitions: int = fitting.FIT_PARTITIONS,
 ) -> int:
     """Write the clustering tables with both assignments of all valid rows; returns the chosen K.
 
@@ -265,15 +269,15 @@ def cluster_job(
     """
     order = ["cluster", F.desc("incident_count"), "district"]
     with files.scratch(spark) as folder:
-        result = cluster_facts(files.read_table(spark, facts_path), folder, fraction=fraction)
+        result = cluster_facts(files.read_table(spark, facts_path), folder, fraction=fraction, partitions=partitions)
         tables = {
             "silhouette_scores": result.scores,
             "stability_scores": result.stability_scores,
             "cluster_summary": result.cluster_summary,
             "clustered_records": result.clustered_records,
             "clustered_records_k6": result.detailed_clustered_records,
-            "district_alignment": result.district_alignment.orderBy(*order),
-            "district_alignment_k6": result.district_alignment_k6.orderBy(*order),
+            "district_alignment": ordered(result.district_alignment, *order),
+            "district_alignment_k6": ordered(result.district_alignment_k6, *order),
         }
         for name, table in tables.items():
             files.write_table(table, f"{output_dir}/{name}")
@@ -300,8 +304,10 @@ class Modeling:
     feature_importance: DataFrame
 
 
-def model_facts(facts: DataFrame, folder: str, bins: int = models.BINS) -> Modeling:
-    """Fit and compare the models on a random and a temporal holdout.
+def model_facts(
+    facts: DataFrame, folder: str, bins: int = models.BINS, partitions: int = fitting.FIT_PARTITIONS
+) -> Modeling:
+    """Fit and compare the models on a random and a temporal holdout; the fits read so many ``partitions``.
 
     The model table and the predictions are written to ``folder``, where the returned tables read them.
     """
@@ -311,9 +317,9 @@ def model_facts(facts: DataFrame, folder: str, bins: int = models.BINS) -> Model
     train, test = sampling.hash_split(table, spec.key, S.TRAIN_FRACTION, S.SAMPLE_SEED)
     models.require_classes(train, "The training split")
     models.require_classes(test, "The test split")
-    fitted = models.fit_models(train, spec, bins)
+    fitted = models.fit_models(train, spec, bins, partitions)
     comparison = models.comparison_table(
-        spark, [*models.compare_models(fitted, test, spec), *models.compare_temporal(table, spec, bins)]
+        spark, [*models.compare_models(fitted, test), *models.compare_temporal(table, spec, bins, partitions)]
     )
     chosen = fitted[models.SELECTED[0]]
     score = "arrest_probability"
@@ -327,16 +333,16 @@ def model_facts(facts: DataFrame, folder: str, bins: int = models.BINS) -> Model
             for name in ("weighted_logistic_regression", "weighted_gradient_boosted_trees")
         },
         predictions=predictions,
-        confusion_matrix=evaluate.confusion(predictions).orderBy("label", "prediction"),
+        confusion_matrix=ordered(evaluate.confusion(predictions), "label", "prediction"),
         metrics=models.selected_metrics(comparison),
-        class_distribution=shares.distribution(table, "label", "class_share").orderBy("label"),
-        crime_type_distribution=types.orderBy(F.desc("count"), spec.category),
-        roc_curve=evaluate.roc_curve(predictions, score).orderBy(
-            "false_positive_rate", "true_positive_rate"
+        class_distribution=ordered(shares.distribution(table, "label", "class_share"), "label"),
+        crime_type_distribution=ordered(types, F.desc("count"), spec.category),
+        roc_curve=ordered(
+            evaluate.roc_curve(predictions, score), "false_positive_rate", "true_positive_rate"
         ),
         model_comparison=comparison,
-        threshold_metrics=evaluate.threshold_metrics(predictions, score).orderBy("threshold"),
-        feature_importance=models.feature_importance(chosen, spec, spark).orderBy(F.desc("importance")),
+        threshold_metrics=ordered(evaluate.threshold_metrics(predictions, score), "threshold"),
+        feature_importance=ordered(models.feature_importance(chosen, spec, spark), F.desc("importance")),
     )
 
 
@@ -354,10 +360,16 @@ MODEL_TABLES = (
 )
 
 
-def model_job(spark: SparkSession, facts_path: str, output_dir: str) -> None:
+def model_job(
+    spark: SparkSession,
+    facts_path: str,
+    output_dir: str,
+    bins: int = models.BINS,
+    partitions: int = fitting.FIT_PARTITIONS,
+) -> None:
     """Write the prediction tables and the fitted models."""
     with files.scratch(spark) as folder:
-        result = model_facts(files.read_table(spark, facts_path), folder)
+        result = model_facts(files.read_table(spark, facts_path), folder, bins, partitions)
         for name in MODEL_TABLES:
             files.write_table(getattr(result, name), f"{output_dir}/{name}")
     files.save_model(result.model, f"{output_dir}/random_forest_model")

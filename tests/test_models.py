@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfield.operators import clusters, fitting, models
+from tallyfield.functions.labels import positive_score
+from tallyfield.operators import clusters, evaluate, fitting, models, shares
 from tallyfield.plans import jobs, schemas as S
 from tallyfield.sources import files
 
@@ -56,12 +57,77 @@ def test_clustering_guards(spark, tmp_path):
     facts = facts_with_signal(spark, 200)
     with pytest.raises(ValueError, match="seed"):
         jobs.cluster_facts(facts, str(tmp_path), seeds=())
-    with pytest.raises(ValueError, match="varying"):
+    with pytest.raises(ValueError, match="same value"):
         jobs.cluster_facts(facts.withColumn("hour", F.lit(0)), str(tmp_path))
-    with pytest.raises(ValueError, match="at least three"):
+    with pytest.raises(ValueError, match="no value from 2"):
         clusters.kmeans_sweep(clusters.assemble(facts.limit(2), S.CLUSTER_FEATURES, "features"), "district")
 
 
+@pytest.mark.parametrize("k", [2, 5])
+def test_silhouettes_are_those_of_the_evaluator(spark, tables, k):
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    rows = clusters.cluster_input(tables.facts(), "has_valid_coordinates", S.CLUSTER_FEATURES, "crime_id", "district")
+    scaled = clusters.scale(rows, rows, S.CLUSTER_FEATURES)
+    names = ["a", "b"]
+    for name, seed in zip(names, (1, 2)):
+        scaled = clusters.assign(scaled, clusters.fit_kmeans(scaled, k, seed), name)
+    alone = F.when(F.col("crime_id") == rows.agg(F.min("crime_id")).first()[0], 99).otherwise(F.col("a"))
+    scaled = scaled.withColumn("c", alone).persist()
+    got = clusters.silhouettes(scaled, [*names, "c"])
+    for name, value in zip([*names, "c"], got):
+        evaluator = ClusteringEvaluator(featuresCol="features", predictionCol=name)
+        assert value == pytest.approx(evaluator.evaluate(scaled), abs=1e-9)
+    scaled.unpersist()
+
+
+def test_sweep_scores_are_those_of_single_passes(spark, tables):
+    rows = clusters.cluster_input(tables.facts(), "has_valid_coordinates", S.CLUSTER_FEATURES, "crime_id", "district")
+    with fitting.persisted(fitting.spread(clusters.scale(rows, rows, S.CLUSTER_FEATURES), "crime_id", 3)) as train:
+        found = clusters.kmeans_sweep(train, "district", (2, 4), (7,)).collect()
+        for row in found:
+            assigned = clusters.fit_kmeans(train, row.k, 7).transform(train)
+            least, most = clusters.size_range(assigned, "cluster").first()
+            share = shares.dominant_share(assigned, "cluster", "district", "s").first()[0]
+            assert (row.minimum_cluster_size, row.maximum_cluster_size) == (least, most)
+            assert row.average_dominant_district_share == pytest.approx(share, abs=1e-12)
+            assert row.silhouette_score == pytest.approx(clusters.silhouette(assigned), abs=1e-12)
+
+
+def test_category_index_equals_the_estimators(spark, tmp_path):
+    rows = spark.createDataFrame([(c,) for c in "bbaccc"] + [(None,)], "primary_type string")
+    table = models.category_table(rows, "primary_type", lambda df: files.stage(df, str(tmp_path), "types"))
+    more = rows.unionByName(spark.createDataFrame([("new",)], rows.schema))
+    got = {r[0]: r[1] for r in models.with_category_index(more, table, "primary_type").collect()}
+    theirs = models.category_index(S.MODEL).fit(rows.dropna()).transform(more)
+    assert got == {r[0]: r[1] for r in theirs.collect()} and got["new"] == got[None] == 3.0
+
+
+def test_a_million_categories(spark, tmp_path):
+    rows = spark.range(1_200_000).selectExpr("concat('c', id % 1000000) AS c", "id")
+    table = models.category_table(rows, "c", lambda df: files.stage(df, str(tmp_path), "many"))
+    out = models.with_category_index(rows, table, "c").agg(F.countDistinct("c_index"), F.min("c_index"), F.max("c_index")).first()
+    assert tuple(out) == (1_000_000, 0.0, 999_999.0)
+    assert models.with_category_index(rows, table, "c").filter("c_index < 200000 and id % 1000000 >= 200000").isEmpty()
+
+
+def test_models_are_compared_in_one_pass(spark):
+    table = models.model_table(facts_with_signal(spark, 400), S.MODEL)
+    fitted = models.fit_models(table, S.MODEL, partitions=3)
+    scored = models.scored_rows(fitted, table, "none")
+    text = scored._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Scan") + text.count("Range") == 1 and "Union" not in text
+    rows = {r[0]: r for r in models.comparison_rows(scored, "s")}
+    for name, model in fitted.items():
+        alone = model.transform(table)
+        metrics = evaluate.binary_metrics(alone).first()
+        ranks = alone.select("label", positive_score(F.col("rawPrediction")).alias("rank"))
+        assert rows[name][3:12] == pytest.approx((*metrics[:-1],)[:9], abs=1e-12)
+        assert rows[name][12:] == pytest.approx(tuple(evaluate.areas(ranks, "rank").first()), abs=1e-12)
+    positives = table.agg(F.avg("label")).first()[0]
+    assert rows["none"][-2:] == pytest.approx((0.5, positives))
+
+
 def test_null_deviation_of_one_seed_is_zero(spark):
     row = (1, 2, 0.5, 9.0, 1, 2, 0.25)
     schema = (

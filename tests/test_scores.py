@@ -8,8 +8,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tallyfield.functions.labels import positive_score
-from tallyfield.operators import contracts, evaluate, models, sampling, series, shares
+from tallyfield.operators import contracts, evaluate, models, ordering, sampling, series, shares
 from tallyfield.plans import schemas as S
+from tallyfield.sources import files
 
 
 def scored(spark):
@@ -55,7 +56,7 @@ def test_class_weights_balance_the_classes(spark):
 
 @pytest.mark.parametrize("values", [[0.0], [1.0], [0.0, 1.0, 2.0], []])
 def test_class_weights_need_exactly_two_classes(spark, values):
-    with pytest.raises(ValueError, match="both outcome classes"):
+    with pytest.raises(ValueError, match="label must hold 0 and 1"):
         models.class_weights(spark.createDataFrame([(v,) for v in values], "label double"))
 
 
@@ -152,3 +153,37 @@ def test_results_do_not_depend_on_partitions(spark, tables):
     for df, build in cases:
         one, seven = both(df, build)
         assert one == seven and one
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_prefix_sum_by_group_equals_one_window_each(spark, ranges):
+    values = [(g, None if i % 17 == 0 else float(i * 37 % 101) / 7, i % 5) for i in range(300) for g in ("a", None, "c")]
+    rows = spark.createDataFrame(values, "g string, o double, n int").repartition(5)
+    got = {(r.g, r.o): tuple(r)[2:] for r in shares.prefix_sum(rows, "o", ["n"], ranges, by="g").collect()}
+    for g in ("a", None, "c"):
+        alone = shares.prefix_sum(rows.filter(F.col("g").eqNullSafe(F.lit(g))).drop("g"), "o", ["n"], 1)
+        for r in alone.collect():
+            assert got[g, r.o] == tuple(r)[1:]
+
+
+@pytest.mark.parametrize("partitions", [1, 8])
+def test_compact_curve_keeps_the_area_with_fewer_points(spark, tables, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    rows = tables.read("lineitem").selectExpr("double(l_returnflag = 'R') AS label", "l_extendedprice AS s")
+    whole, few = (evaluate.roc_curve(rows, "s", compact=c).collect() for c in (False, True))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    area = lambda curve: sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(curve, curve[1:]))
+    whole, few = (sorted(map(tuple, curve)) for curve in (whole, few))
+    assert len(few) < len(whole) / 1.5 and abs(area(whole) - area(few)) < 1e-12
+    assert abs(area(few) - evaluate.areas(rows, "s").first()[0]) < 1e-12
+
+
+def test_numbers_follow_the_rows_as_they_lie(spark, tmp_path):
+    rows = spark.range(1000, numPartitions=7).selectExpr("(id * 37) % 1000 AS v", "id")
+    keep = lambda name: lambda df: files.stage(df, str(tmp_path), name)
+    got = ordering.number_rows(ordering.ordered(rows, F.desc("v")), "n", keep("sorted")).collect()
+    assert all(r.n == 1000 - r.v for r in got) and len(got) == 1000
+    broken = ordering.number_rows(rows, "n", keep("unsorted")).collect()
+    assert sorted(r.n for r in broken) == list(range(1, 1001)) and any(r.n != 1000 - r.v for r in broken)
+    assert ordering.number_rows(rows.limit(0), "n", keep("none")).collect() == []
