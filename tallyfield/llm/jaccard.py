@@ -71,7 +71,8 @@ def frequent_shingles(docs: DataFrame, id_col: str, text_col: str, words: int, s
 def signatures(
     docs: DataFrame, frequent: dict[int, int], id_col: str, text_col: str, words: int, percent: int
 ) -> DataFrame:
-    """Per document: ``key``, ``set_id``, ``size`` and the rarest shingles, of which similar sets share one."""
+    """Per document: ``key``, ``tid`` (hash of the text), ``set_id``, ``size`` and the rarest shingles, of which similar
+    sets share one."""
     keys = np.array(sorted(frequent), np.int64)
     counts = np.array([frequent[k] for k in keys.tolist()], np.int64)
     held = docs.sparkSession.sparkContext.broadcast((keys, counts))
@@ -79,11 +80,11 @@ def signatures(
 
     def rows(given: Iterator[tuple]) -> Iterator[tuple]:
         known, often = held.value
-        for key, text in given:
+        for key, tid, text in given:
             shingles = shingle_set(text, words)
             size = len(shingles)
             if size == 0:
-                yield key, None, 0, []
+                yield key, tid, None, 0, []
                 continue
             signed = shingles.view(np.int64)
             take = size - least_overlap(size, percent) + 1
@@ -91,11 +92,11 @@ def signatures(
                 at = np.minimum(np.searchsorted(known, signed), len(known) - 1)
                 rank = np.where(known[at] == signed, often[at], 0)
                 signed = signed[np.argsort(rank, kind="stable")]
-            yield key, set_id(shingles), size, signed[:take]
+            yield key, tid, set_id(shingles), size, signed[:take]
 
     return map_rows(
-        docs.select(F.col(id_col), F.col(text_col)),
-        f"key {kind}, set_id long, size int, rare array<long>",
+        docs.select(F.col(id_col), F.xxhash64(text_col).alias("tid"), F.col(text_col).alias("text")),
+        f"key {kind}, tid long, set_id long, size int, rare array<long>",
         rows,
         512,
     )
@@ -189,7 +190,7 @@ def similar_sets(
     words: int = SHINGLE,
     percent: int = PERCENT,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Nodes (``key``, ``set_id``, ``size`` per document), links (``set_id``, ``root``, ``links`` per group) and their
+    """Nodes (``key``, ``tid``, ``set_id``, ``size`` per document), links (``set_id``, ``root``, ``links`` per group) and their
     components (``node``, ``root``)."""
     frequent = frequent_shingles(docs, id_col, text_col, words, ORDER_SAMPLE)
     signed = stage(signatures(docs, frequent, id_col, text_col, words, percent), folder, "signatures")
@@ -244,7 +245,7 @@ def similar_sets(
                 yield from _compare(rows, percent)
 
     links = stage(map_rows(met, "set_id long, root long, links long", compare), folder, "links")
-    return signed.select("key", "set_id", "size"), links, components(links, folder, "set_id", "root")
+    return signed.select("key", "tid", "set_id", "size"), links, components(links, folder, "set_id", "root")
 
 
 def similarity_classes(
@@ -271,3 +272,16 @@ def similarity_classes(
         F.coalesce("component_id", "key").alias("component_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
     )
+
+
+def representatives(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``key``, ``tid`` (``xxhash64`` of the text) and ``rows`` of the document that stands for each component.
+
+    It is the one with the smallest id, then hash of its text; a null id is the smallest. Each text of an id is judged by
+    its own component, rows without words stay, and ``rows`` says how often a row occurs as it is.
+    """
+    nodes, _, roots = similar_sets(docs, folder, id_col, text_col, **options)
+    rows = nodes.groupBy("key", "tid", "set_id").agg(F.count("*").alias("rows"))
+    rooted = rows.join(roots, F.col("set_id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "set_id"))
+    first = rooted.where("root is not null").groupBy("root").agg(F.min(F.struct("key", "tid", "rows")).alias("first"))
+    return first.select("first.*").unionByName(rows.where("set_id is null").select("key", "tid", "rows"))

@@ -17,6 +17,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -56,7 +57,8 @@ class TokenIds:
             if len(self.parts) >= MEMO // 2:
                 self.parts.clear()
             if plain:
-                found = self.packed([token.id for token in self.model.tokenize(text.translate(self.alphabet))])
+                text_ = text if text.isascii() else text.translate(self.alphabet)
+                found = self.packed([token.id for token in self.model.tokenize(text_)])
             else:
                 found = self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
             if len(text) <= SHORT:
@@ -215,9 +217,9 @@ def pack(pieces: DataFrame, folder: str, window: int = WINDOW) -> DataFrame:
     offsets = stage(counts.select("length", "task", before.alias("before")), folder, "offsets")
     if offsets.count() <= OFFSET_ROWS:
         offsets = F.broadcast(offsets)
-    steps = spark.createDataFrame(
-        plan(histogram, window), "length int, first long, n long, bin long, each long, shift long"
-    )
+    columns = zip(*plan(histogram, window)) if histogram else [[]] * 6
+    names = ["length", "first", "n", "bin", "each", "shift"]
+    steps = spark.createDataFrame(pa.table({name: pa.array(list(c), pa.int64()) for name, c in zip(names, columns)}))
     steps = steps.groupBy("length").agg(F.collect_list(F.struct("first", "n", "bin", "each", "shift")).alias("steps"))
     ranked = given.join(offsets, ["length", "task"]).join(F.broadcast(steps), "length")  # at most a row a length
     rank = F.col("before") + F.col("nth")

@@ -255,6 +255,7 @@ def _single_starts(bodies: DataFrame, counts: DataFrame, folder: str, span: int)
 
     starts = stage(map_rows(one, "segment binary, at int, string binary, n long", strings), folder, "starts")
     twice = starts.groupBy(F.col("string").alias("s")).agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("s")
+    twice = stage(twice, folder, "twice")  # written, so that Spark can split the starts of a common string in the join
     found = starts.join(twice, F.col("string") == F.col("s")).groupBy("segment").agg(F.collect_list("at").alias("at"))
 
     def runs(given: Iterator[tuple]) -> Iterator[tuple]:
