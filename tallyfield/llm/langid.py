@@ -13,11 +13,15 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .common import MEMO, keep, map_rows, stage
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters, and the marks that belong to them. Latin texts need no tables of categories.
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+LATIN_LETTERS = re.compile("[^\\W\\d_\xb2\xb3\xb9\xbc-\xbe]+")
+BEYOND_LATIN = re.compile("[^\0-\u024f]")
 SHARE = 2e-6
 ORDERS = (4, 3, 2, 1)
 #: Languages that a model may have; more are taken for a wrong label column.
@@ -26,8 +30,9 @@ UNKNOWN = "und"
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters in lower case."""
-    return LETTERS.findall((text or "").lower())
+    """Runs of letters, with the marks behind them, in lower case."""
+    text = (text or "").lower()
+    return (LETTERS if BEYOND_LATIN.search(text) else LATIN_LETTERS).findall(text)
 
 
 def grams(word: str, n: int) -> list[str]:

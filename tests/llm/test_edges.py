@@ -71,7 +71,44 @@ def test_archives(spark, docs):
 def test_arc_versions_by_declared_length(version):
     records = [("http://a/", b"x\n\n1 0\nfiledesc://"), ("http://b/", b""), ("http://c/", b"\r\n\r\n")]
     read = list(archives.read_arc(archives.arc_file(version, "f", records)))
-    assert [(h["url"], c) for h, c in read] == records
+    assert [(h["url"], c) for h, c in read[1:]] == records
+    assert read[0][0]["url"] == "filedesc://f" and read[0][1].startswith(version.encode())
+
+
+@pytest.mark.parametrize("version", ["1", "2"])
+def test_arc_header_fields_from_both_ends(version):
+    more = "" if version == "1" else " 200 - - 17 f.arc"
+    for url in ("http://a b/20010203040506 c", "http://x/", "dns:a.b"):
+        for media in ("text/html", "text/html; charset=utf-8", "no-type"):
+            header = archives.arc_header(f"{url} 1.2.3.4 20020304050607 {media}{more} 42".encode(), version)
+            assert (header["url"], header["date"], header["type"], header["length"]) == (url, "20020304050607", media, "42")
+    with pytest.raises(ValueError, match="No archive date"):
+        archives.arc_header(b"http://a/ 42", version)
+
+
+def test_arc_records_of_all_types(spark):
+    names = b"URL IP-address Archive-date Content-type Archive-length\n"
+    block = b"1 0 Origin\n" + names
+    records = [
+        (b"dns:a.b 1.2.3.4 20020304050607 text/dns", b"20020304\na.b. 5 IN A 1.2.3.4\n"),
+        (b"http://a b/ 1.2.3.4 20020304050607 text/html; charset=x", b"HTTP/1.1 200 OK\r\nX-Row-Key: 7\r\n\r\nbody"),
+        (b"http://c/ 1.2.3.4 20020304050607 image/gif", b"GIF89a"),
+        (b"http://d/ 1.2.3.4 20020304050607 text/html", b"HTTP/1.0 404 Not Found"),
+    ]
+    data = b"filedesc://f.arc 0.0.0.0 20020304050607 text/plain %d\n%s" % (len(block), block)
+    data += b"".join(b"\n%s %d\n%s" % (head, len(body), body) for head, body in records)
+    data += b"\nhttp://cut/ 1.2.3.4 20020304050607 text/html 1000\nHTTP/1.1 200 OK\r\n\r\nshort"
+    arcs = spark.createDataFrame([(data,)], "arc binary")
+    with scratch(spark) as folder:
+        archives.write_warc(archives.convert_arc(arcs), f"{folder}/warc", folder)
+        back = archives.read_warc(spark, f"{folder}/warc").collect()
+    got = {r["uri"]: (r["record_type"], r["payload_bytes"], r["row_key"]) for r in back}
+    assert got == {
+        None: ("warcinfo", len(block), None), "dns:a.b": ("resource", 29, None), "http://a b/": ("response", 4, "7"),
+        "http://c/": ("resource", 6, None), "http://d/": ("response", 0, None), "http://cut/": ("response", 5, None),
+    }
+    dns = next(r for r in back if r["uri"] == "dns:a.b")
+    assert dns["payload_digest"] == archives.payload_digest(records[0][1])
 
 
 def test_jaccard(spark, docs):
@@ -157,6 +194,17 @@ def test_language(spark, docs):
         assert [rows[i]["lang_pred"] for i in (1, 2, 3, 7)] == ["und", "und", "en", "und"]
 
 
+def test_letters_are_letters_with_their_marks(spark):
+    assert langid.words_of("½ ² ① Ⅷ 12_3 ͏") == [] and langid.words_of("x² ½y a_b naïve") == ["x", "y", "a", "b", "naïve"]
+    assert langid.words_of("हिन्दी का") == ["हिन्दी", "का"] and langid.words_of("İx") == ["i̇x"]
+    both = "Æther straße ªº ÿ"
+    assert langid.LETTERS.findall(both.lower()) == langid.words_of(both)
+    docs = spark.createDataFrame([(1, "½ ²", "aa"), (2, "①", "aa"), (3, "a word", "aa"), (4, "्", "aa")], "doc_id long, text string, lang string")
+    with scratch(spark) as folder:
+        model = langid.fit_language_model(docs, folder)
+    assert [r["lang_pred"] for r in langid.predict_language(docs, model).orderBy("doc_id").collect()] == ["und", "und", "aa", "und"]
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     given = docs.withColumn("n_chars", F.length("text").cast("long"))
     spark.createDataFrame([(3, 1), (8, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
