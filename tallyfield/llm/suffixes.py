@@ -20,7 +20,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StringType
 
 from .common import MEMO, map_rows, mixed, slices, stage
 
@@ -370,10 +369,17 @@ def removed_bytes(marks: list, span: int) -> list[tuple[int, int]]:
 
 
 def remove_repeats(
-    docs: DataFrame, marks: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN
+    docs: DataFrame,
+    marks: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    span: int = SPAN,
+    as_text: bool = False,
 ) -> DataFrame:
     """All columns of ``docs`` and ``repeat``: ``n_bytes``, removed ``spans`` (start and end byte) and ``kept`` bytes.
 
+    With ``as_text`` what is kept is a text; bytes of a character that was cut are left out.
+
     ``marks`` comes from ``repeated_spans`` over the same table. A byte is removed if a string of ``span`` bytes over it
     starts anywhere else, in the same text too; strings do not cross texts. A null text is empty. Repeated rows are
     repeats of each other. Texts shorter than the span are kept.
@@ -381,14 +387,7 @@ def remove_repeats(
     k, t, m = (f"__{name}_{id(docs):x}" for name in ("key", "text", "marks"))
     marks = marks.select(F.col("key").alias(k), F.col("tid").alias(t), F.col("marks").alias(m))
     joined = docs.join(marks, docs[id_col].eqNullSafe(marks[k]) & (F.xxhash64(docs[text_col]) == marks[t]), "left")
-    schema = "struct<n_bytes: long, spans: array<struct<start: long, end: long>>, kept: binary>"
-    return joined.withColumn("repeat", _remover(schema, span)(F.col(text_col), F.col(m))).drop(k, t, m)
-
-
-@F.arrow_udf(StringType())
-def whole_characters(kept: pa.Array) -> pa.Array:
-    """Kept bytes as text; bytes of a character that was cut are left out."""
-    return _in_slices(lambda data: data if data is None else data.decode("utf-8", "ignore"), pa.string(), kept)
+    return joined.withColumn("repeat", _remover(span, as_text)(F.col(text_col), F.col(m))).drop(k, t, m)
 
 
 def _in_slices(fn, kind: pa.DataType, *columns: pa.Array) -> pa.Array:
@@ -400,12 +399,12 @@ def _in_slices(fn, kind: pa.DataType, *columns: pa.Array) -> pa.Array:
     return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
 
-def _remover(schema: str, span: int):
+def _remover(span: int, as_text: bool):
     kind = pa.struct(
         {
             "n_bytes": pa.int64(),
             "spans": pa.list_(pa.struct({"start": pa.int64(), "end": pa.int64()})),
-            "kept": pa.binary(),
+            "kept": pa.string() if as_text else pa.binary(),
         }
     )
 
@@ -414,9 +413,11 @@ def _remover(schema: str, span: int):
         spans = removed_bytes(found, span) if found is not None else []
         edges = [0, *(x for pair in spans for x in pair), len(data)]
         kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+        kept = kept.decode("utf-8", "ignore") if as_text else kept
         return {"n_bytes": len(data), "spans": [{"start": a, "end": b} for a, b in spans], "kept": kept}
 
     def remove(texts: pa.Array, marks: pa.Array) -> pa.Array:
         return _in_slices(cut, kind, texts, marks)
 
-    return F.arrow_udf(remove, schema)
+    types = f"struct<n_bytes: long, spans: array<struct<start: long, end: long>>, kept: {'string' if as_text else 'binary'}>"
+    return F.arrow_udf(remove, types)
