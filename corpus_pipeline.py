@@ -56,8 +56,8 @@ def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     small_batches(spark)
     with scratch(spark) as folder:
         marks = keep(suffixes.repeated_spans(docs, folder))
-    found = suffixes.remove_repeats(docs, marks)
-    text = F.when(F.size("repeat.spans") > 0, suffixes.whole_characters(F.col("repeat.kept"))).otherwise(F.col("text"))
+    found = suffixes.remove_repeats(docs, marks, as_text=True)
+    text = F.when(F.size("repeat.spans") > 0, F.col("repeat.kept")).otherwise(F.col("text"))
     size = docs.schema["n_chars"].dataType
     found = found.withColumn("text", text).withColumn("n_chars", F.coalesce(F.length("text"), "n_chars").cast(size))
     return found.select(*docs.columns)
