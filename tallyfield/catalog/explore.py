@@ -51,6 +51,38 @@ PERIOD_SQL = f"""{DAILY_SQL}, {LOOKUP_SQL},
                                          AND (SELECT max(weather_date) FROM series_days))"""
 
 
+SEASONAL_BODY = f"""SELECT {SEASON_SQL.format('weather_date')} AS season, {CONDITION_SQL} AS weather_condition,
+        count(*) AS day_count, avg(crime_count) AS average_daily_crime_count,
+        stddev_samp(crime_count) AS crime_count_standard_deviation FROM daily GROUP BY 1, 2"""
+EFFECT_BODY = """SELECT *, average_daily_crime_count - no_event_average_daily_crime_count AS absolute_difference_from_no_event,
+               (average_daily_crime_count - no_event_average_daily_crime_count)
+                   / no_event_average_daily_crime_count * 100 AS percent_difference_from_no_event
+        FROM impact, (SELECT average_daily_crime_count AS no_event_average_daily_crime_count FROM impact
+                      WHERE weather_condition = 'no event')"""
+CORRELATION_BODY = f"SELECT {', '.join(f'corr(crime_count, {c}) AS {name}' for name, c in S.CORRELATIONS.items())} FROM daily"
+ROLLING_BODY = """SELECT weather_date, community_area, community_name, hardship_index, crime_count,
+        avg(crime_count) OVER (PARTITION BY community_area ORDER BY weather_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+            AS rolling_7_day_crime_average FROM dense JOIN lookup USING (community_area)"""
+AREA_BODY = """SELECT community_area, community_name, hardship_index, count(*) AS crime_count,
+        avg(arrest::INTEGER) AS arrest_rate FROM located JOIN lookup USING (community_area)
+        WHERE year BETWEEN {} AND {} GROUP BY ALL"""
+SPATIAL_BODY = """SELECT community_area, community_name, count(*) AS crime_count,
+               count(*) / (SELECT count(*) FROM located WHERE has_valid_coordinates) AS crime_share,
+               avg(latitude) AS centroid_latitude, avg(longitude) AS centroid_longitude, hardship_index
+        FROM located JOIN lookup USING (community_area) WHERE has_valid_coordinates
+        GROUP BY community_area, community_name, hardship_index"""
+WEEKDAY_BODY = """SELECT CASE WHEN day_of_week IN (1, 7) THEN 'weekend' ELSE 'weekday' END AS day_type,
+        hour, count(*) AS crime_count FROM facts WHERE incident_timestamp IS NOT NULL GROUP BY 1, 2"""
+PATTERNS_BODY = """SELECT year, month, day_of_week, hour, count(*) AS crime_count FROM facts
+        WHERE incident_timestamp IS NOT NULL GROUP BY ALL"""
+DENSE_SQL = """
+    area_counts AS (SELECT community_area, incident_timestamp::DATE AS weather_date, count(*) AS crime_count
+                    FROM facts WHERE has_valid_community_area GROUP BY ALL),
+    area_days AS (SELECT community_area, weather_date FROM lookup, daily),
+    dense AS (SELECT community_area, weather_date, coalesce(crime_count, 0) AS crime_count
+              FROM area_days LEFT JOIN area_counts USING (community_area, weather_date))"""
+
+
 def impact(t: Tables):
     return explore.condition_impact(t.daily_weather(), jobs.condition(), COUNT, "weather_condition")
 
@@ -105,12 +137,7 @@ def j1_join_hourly(t: Tables):
     return series.join_hourly(t.hourly_weather(), counts, [day, hour], COUNT)
 
 
-AREA_COUNTS_SQL = f"""{DAILY_SQL}, {LOOKUP_SQL},
-    area_counts AS (SELECT community_area, incident_timestamp::DATE AS weather_date, count(*) AS crime_count
-                    FROM facts WHERE has_valid_community_area GROUP BY ALL),
-    area_days AS (SELECT community_area, weather_date FROM lookup, daily),
-    dense AS (SELECT community_area, weather_date, coalesce(crime_count, 0) AS crime_count
-              FROM area_days LEFT JOIN area_counts USING (community_area, weather_date))"""
+AREA_COUNTS_SQL = f"{DAILY_SQL}, {LOOKUP_SQL}, {DENSE_SQL}"
 
 
 @query("j2_densify", f"WITH {AREA_COUNTS_SQL} SELECT * FROM dense", dates=["weather_date"])
@@ -188,9 +215,7 @@ def a8_condition_impact(t: Tables):
 
 @query(
     "a9_seasonal_impact",
-    f"""WITH {DAILY_SQL} SELECT {SEASON_SQL.format('weather_date')} AS season, {CONDITION_SQL} AS weather_condition,
-        count(*) AS day_count, avg(crime_count) AS average_daily_crime_count,
-        stddev_samp(crime_count) AS crime_count_standard_deviation FROM daily GROUP BY 1, 2""",
+    f"WITH {DAILY_SQL} {SEASONAL_BODY}",
     floats=["average_daily_crime_count", "crime_count_standard_deviation"],
 )
 def a9_seasonal_impact(t: Tables):
@@ -199,13 +224,7 @@ def a9_seasonal_impact(t: Tables):
 
 @query(
     "a10_effect_sizes",
-    f"""WITH {IMPACT_SQL}, base AS (
-          SELECT average_daily_crime_count AS no_event_average_daily_crime_count FROM impact
-          WHERE weather_condition = 'no event')
-        SELECT *, average_daily_crime_count - no_event_average_daily_crime_count AS absolute_difference_from_no_event,
-               (average_daily_crime_count - no_event_average_daily_crime_count)
-                   / no_event_average_daily_crime_count * 100 AS percent_difference_from_no_event
-        FROM impact, base""",
+    f"WITH {IMPACT_SQL} {EFFECT_BODY}",
     floats=[
         "average_daily_crime_count",
         "no_event_average_daily_crime_count",
@@ -224,8 +243,7 @@ def a11_temporal_patterns(t: Tables):
 
 @query(
     "x1_sql_counts",
-    f"""WITH {FACTS_SQL} SELECT year, month, day_of_week, hour, count(*) AS crime_count FROM facts
-        WHERE incident_timestamp IS NOT NULL GROUP BY ALL""",
+    f"WITH {FACTS_SQL} {PATTERNS_BODY}",
 )
 def x1_sql_counts(t: Tables):
     return explore.temporal_patterns(t.facts(), TS, COUNT)
@@ -233,8 +251,7 @@ def x1_sql_counts(t: Tables):
 
 @query(
     "a12_weekday_weekend",
-    f"""WITH {EVENT_FACTS_SQL} SELECT CASE WHEN day_of_week IN (1, 7) THEN 'weekend' ELSE 'weekday' END AS day_type,
-        hour, count(*) AS crime_count FROM facts WHERE incident_timestamp IS NOT NULL GROUP BY 1, 2""",
+    f"WITH {EVENT_FACTS_SQL} {WEEKDAY_BODY}",
 )
 def a12_weekday_weekend(t: Tables):
     return explore.weekday_weekend(t.event_facts(), TS, COUNT)
@@ -242,8 +259,7 @@ def a12_weekday_weekend(t: Tables):
 
 @query(
     "a12_weekday_totals",
-    f"""WITH {FACTS_SQL} SELECT CASE WHEN day_of_week IN (1, 7) THEN 'weekend' ELSE 'weekday' END AS day_type,
-        hour, count(*) AS crime_count FROM facts WHERE incident_timestamp IS NOT NULL GROUP BY 1, 2""",
+    f"WITH {FACTS_SQL} {WEEKDAY_BODY}",
 )
 def a12_weekday_totals(t: Tables):
     return explore.weekday_totals(explore.temporal_patterns(t.facts(), TS, COUNT), COUNT)
@@ -251,8 +267,7 @@ def a12_weekday_totals(t: Tables):
 
 @query(
     "a13_correlations",
-    f"""WITH {DAILY_WEATHER_SQL} SELECT
-        {', '.join(f'corr(crime_count, {c}) AS {name}' for name, c in S.CORRELATIONS.items())} FROM daily""",
+    f"WITH {DAILY_WEATHER_SQL} {CORRELATION_BODY}",
     floats=list(S.CORRELATIONS),
 )
 def a13_correlations(t: Tables):
@@ -261,9 +276,7 @@ def a13_correlations(t: Tables):
 
 @query(
     "a14_area_summary",
-    f"""WITH {PERIOD_SQL} SELECT community_area, community_name, hardship_index, count(*) AS crime_count,
-        avg(arrest::INTEGER) AS arrest_rate FROM located JOIN lookup USING (community_area)
-        WHERE year BETWEEN {YEARS[0]} AND {YEARS[1]} GROUP BY ALL""",
+    f"WITH {PERIOD_SQL} {AREA_BODY.format(*YEARS)}",
     floats=["hardship_index", "arrest_rate"],
 )
 def a14_area_summary(t: Tables):
@@ -275,11 +288,7 @@ def a14_area_summary(t: Tables):
 
 @query(
     "a15_spatial_profile",
-    f"""WITH {PERIOD_SQL}, placed AS (SELECT * FROM located WHERE has_valid_coordinates)
-        SELECT community_area, community_name, count(*) AS crime_count,
-               count(*) / (SELECT count(*) FROM placed) AS crime_share, avg(latitude) AS centroid_latitude,
-               avg(longitude) AS centroid_longitude, hardship_index
-        FROM placed JOIN lookup USING (community_area) GROUP BY community_area, community_name, hardship_index""",
+    f"WITH {PERIOD_SQL} {SPATIAL_BODY}",
     floats=["crime_share", "centroid_latitude", "centroid_longitude", "hardship_index"],
 )
 def a15_spatial_profile(t: Tables):
@@ -309,9 +318,7 @@ def a26_hour_totals(t: Tables):
 
 @query(
     "w1_rolling_mean",
-    f"""WITH {AREA_COUNTS_SQL} SELECT weather_date, community_area, community_name, hardship_index, crime_count,
-        avg(crime_count) OVER (PARTITION BY community_area ORDER BY weather_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
-            AS rolling_7_day_crime_average FROM dense JOIN lookup USING (community_area)""",
+    f"WITH {AREA_COUNTS_SQL} {ROLLING_BODY}",
     floats=["hardship_index", "rolling_7_day_crime_average"],
     dates=["weather_date"],
 )

@@ -34,6 +34,18 @@ def cleaned(t: Tables, folder: str):
     return prepared, contracts.clean(prepared, S.INCIDENTS, lambda keys: files.stage(keys, folder, "repeats"))
 
 
+QUALITY_BODY = f"""SELECT * FROM (SELECT count(*) AS raw_record_count, {INVALID} FROM prepared),
+        (SELECT count(*) AS clean_record_count, {CLEAN_INVALID},
+                count(DISTINCT crime_id) AS distinct_crime_id_count FROM cleaned)"""
+SERIES_QUALITY_BODY = """SELECT * FROM (SELECT count(*) AS raw_weather_record_count,
+                              count(*) FILTER (weather_timestamp IS NULL) AS invalid_weather_timestamp_count
+                       FROM raw_times),
+        (SELECT count(*) AS clean_hourly_weather_count, count(DISTINCT weather_station) AS weather_station_count,
+                min(weather_date) AS weather_start_date, max(weather_date) AS weather_end_date FROM hourly)"""
+DICTIONARY_SQL = f"""SELECT * FROM (VALUES {", ".join(str(row) for row in S.DICTIONARY)})
+    AS d(source_field, target_field, spark_type, cleaning_rule, invalid_value_policy)"""
+
+
 @query(
     "s12_data_dictionary",
     f"""WITH {PREPARED_SQL}, present AS (
@@ -283,9 +295,7 @@ def a1_source_quality(t: Tables):
 
 @query(
     "a2_quality_row",
-    f"""WITH {PREPARED_SQL} SELECT * FROM (SELECT count(*) AS raw_record_count, {INVALID} FROM prepared),
-        (SELECT count(*) AS clean_record_count, {CLEAN_INVALID},
-                count(DISTINCT crime_id) AS distinct_crime_id_count FROM cleaned)""",
+    f"WITH {PREPARED_SQL} {QUALITY_BODY}",
 )
 def a2_quality_row(t: Tables):
     """Both rows read the prepared table as staged by the preparation job."""
@@ -295,12 +305,7 @@ def a2_quality_row(t: Tables):
 
 @query(
     "a3_series_quality",
-    f"""WITH {HOURLY_WEATHER_SQL}
-        SELECT * FROM (SELECT count(*) AS raw_weather_record_count,
-                              count(*) FILTER (weather_timestamp IS NULL) AS invalid_weather_timestamp_count
-                       FROM raw_times),
-        (SELECT count(*) AS clean_hourly_weather_count, count(DISTINCT weather_station) AS weather_station_count,
-                min(weather_date) AS weather_start_date, max(weather_date) AS weather_end_date FROM hourly)""",
+    f"WITH {HOURLY_WEATHER_SQL} {SERIES_QUALITY_BODY}",
     dates=["weather_start_date", "weather_end_date"],
 )
 def a3_series_quality(t: Tables):

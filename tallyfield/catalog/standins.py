@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import contracts, series
+from ..operators.digest import SCALE, SHIFT
 from ..plans import jobs, schemas as S
 
 SERIES_YEARS = (1996, 1999)
@@ -309,7 +310,8 @@ hourly AS (
   FROM observations GROUP BY weather_date, weather_hour)
 """
 
-DAILY_WEATHER_SQL = f"""{EVENT_FACTS_SQL}, {HOURLY_WEATHER_SQL},
+# Days from any ``facts`` and ``hourly``.
+JOINED_DAYS_SQL = """
 counts AS (
   SELECT incident_timestamp::DATE AS weather_date, hour(incident_timestamp)::INTEGER AS weather_hour,
          count(*) AS crime_count
@@ -329,7 +331,10 @@ daily AS (
   FROM joined GROUP BY weather_date)
 """
 
-IMPACT_SQL = f"""{DAILY_WEATHER_SQL},
+DAILY_WEATHER_SQL = f"""{EVENT_FACTS_SQL}, {HOURLY_WEATHER_SQL}, {JOINED_DAYS_SQL}"""
+
+# Conditions of any ``daily``.
+CONDITIONS_SQL = f"""
 impact AS (
   SELECT {CONDITION_SQL} AS weather_condition, count(*) AS day_count,
          avg(crime_count) AS average_daily_crime_count,
@@ -337,6 +342,8 @@ impact AS (
   FROM daily GROUP BY 1)
 """
 
+IMPACT_SQL = f"""{DAILY_WEATHER_SQL}, {CONDITIONS_SQL}"""
+
 SCORED_SQL = """
 scored AS (
   SELECT l_orderkey, CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0 END AS label,
@@ -358,3 +365,13 @@ model_rows AS (
 def key_hash_sql(key: str, seed: int = S.SAMPLE_SEED) -> str:
     """SQL twin of ``key_hash``."""
     return f"('0x' || substr(md5('{seed}:' || {key}::VARCHAR), 1, 8))::BIGINT"
+
+
+def digest_sql(name: str, sql: str, columns: str = "*") -> str:
+    """SQL twin of ``table_digest`` over a query."""
+    text = f"""CASE WHEN typeof(COLUMNS(*)) = 'DOUBLE'
+            THEN floor(TRY_CAST(COLUMNS(*)::VARCHAR AS DOUBLE) * {SCALE} + {SHIFT})::BIGINT::VARCHAR
+            ELSE COLUMNS(*)::VARCHAR END"""
+    return f"""SELECT '{name}' AS name, count(*) AS records,
+            coalesce(sum(('0x' || substr(md5(concat_ws('|', *COLUMNS(*))), 1, 8))::BIGINT), 0)::BIGINT AS digest
+        FROM (SELECT coalesce({text}, 'NULL') FROM (SELECT {columns} FROM ({sql})))"""

@@ -262,6 +262,8 @@ def cluster_job(
     fraction: float | None = None,
     map_sample: tuple[float, int] | None = None,
     partitions: int = fitting.FIT_PARTITIONS,
+    ks: Sequence[int] = clusters.CANDIDATES,
+    seeds: Sequence[int] = clusters.SEEDS,
 ) -> int:
     """Write the clustering tables with both assignments of all valid rows; returns the chosen K.
 
@@ -269,7 +271,7 @@ def cluster_job(
     """
     order = ["cluster", F.desc("incident_count"), "district"]
     with files.scratch(spark) as folder:
-        result = cluster_facts(files.read_table(spark, facts_path), folder, fraction=fraction, partitions=partitions)
+        result = cluster_facts(files.read_table(spark, facts_path), folder, ks, seeds, fraction, partitions)
         tables = {
             "silhouette_scores": result.scores,
             "stability_scores": result.stability_scores,
