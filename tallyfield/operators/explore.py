@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.labels import day_type, season
 from .contracts import require_flags
 from .scalars import grouped_total, over_all
-from .series import densify, enrich, rolling_mean, spine, within_period
+from .series import enrich, rolling_dense, within_period
 
 
 def condition_impact(daily: DataFrame, label: Column, count: str, name: str) -> DataFrame:
@@ -103,13 +103,15 @@ def area_rolling(
     attributes: Sequence[str],
     n: int,
 ) -> DataFrame:
-    """Rolling mean of the daily count per area over a dense calendar, with lookup attributes."""
+    """Rolling mean of the daily count per area over a dense calendar, with lookup attributes.
+
+    Sums grow with the counts; only the result is dense.
+    """
     counts = (
         require_flags(df, [flag]).groupBy(key, F.to_date(ts).alias(day)).agg(F.count("*").alias(count))
     )
-    dense = densify(counts, spine(lookup, key, days, day), [key, day], count)
     name = f"rolling_{n}_day_{count.removesuffix('_count')}_average"
-    rolled = rolling_mean(dense, key, day, count, n, name)
+    rolled = rolling_dense(counts, lookup, days, key, day, count, n, name)
     return enrich(rolled, lookup.select(key, *attributes), key).select(day, key, *attributes, count, name)
 
 

@@ -188,3 +188,37 @@ def rolling_mean(df: DataFrame, part: str, order: str, value: str, n: int, name:
     """Mean of the last ``n`` rows per partition; the first rows use those there are."""
     frame = Window.partitionBy(part).orderBy(order).rowsBetween(1 - n, 0)
     return df.withColumn(name, F.avg(value).over(frame))
+
+
+def numbered_days(days: DataFrame, day: str) -> DataFrame:
+    """The observed days with their place from 0; one task numbers them, a row for each day of the calendar."""
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(day)) - 1
+    return days.select(day).filter(F.col(day).isNotNull()).distinct().withColumn("_place", place)
+
+
+def rolling_sums(counts: DataFrame, numbered: DataFrame, key: str, day: str, count: str, n: int) -> DataFrame:
+    """``key``, ``_place``, ``count`` and ``_sum`` of the last ``n`` observed days, where that is not 0.
+
+    Each count is put on the days whose window holds it, and these are summed: the work grows with the counts, whatever
+    the number of keys and days.
+    """
+    placed = counts.join(numbered, day).select(key, F.col(count).alias("_value"), F.col("_place").alias("_at"))
+    last = F.col("_at") + (n - 1)
+    spread = placed.select("*", F.explode(F.sequence("_at", last)).alias("_place"))
+    own = F.when(F.col("_at") == F.col("_place"), F.col("_value")).otherwise(F.lit(0))
+    return spread.groupBy(key, "_place").agg(F.sum(own).alias(count), F.sum("_value").alias("_sum"))
+
+
+def rolling_dense(
+    counts: DataFrame, keys: DataFrame, days: DataFrame, key: str, day: str, count: str, n: int, name: str
+) -> DataFrame:
+    """Every key with every observed day: its count and the mean of the last ``n`` days; the first days use those there are.
+
+    The sums come from the counts alone; the dense table is only what they are written to.
+    """
+    numbered = numbered_days(days, day)
+    sums = rolling_sums(counts, numbered, key, day, count, n)
+    dense = spine(keys, key, days, day).join(numbered, day).join(sums, [key, "_place"], "left")
+    dense = dense.fillna(0, [count, "_sum"])
+    mean = F.col("_sum") / F.least(F.col("_place") + 1, F.lit(n))
+    return dense.select(key, day, count, mean.alias(name))

@@ -119,3 +119,28 @@ def test_correlation_ignores_incomplete_pairs_and_constants(spark):
     want = df.dropna().corr("n", "x")
     assert row.x == pytest.approx(want) and row.c is None
     assert explore.correlations(df.limit(1), "n", {"x": "x"}).first().x is None
+
+
+def test_rolling_sums_equal_a_window_over_the_dense_table(spark):
+    days = spark.sql("SELECT explode(array(date'2020-01-01', date'2020-01-02', date'2020-01-05', date'2020-01-09', date'2020-01-10')) AS d")
+    keys = spark.range(4).select(F.col("id").cast("int").alias("k"))
+    counts = spark.sql("""SELECT int(k) AS k, d, bigint(c) AS c FROM VALUES (0, date'2020-01-01', 5), (0, date'2020-01-05', 7), (1, date'2020-01-10', 2),
+        (2, date'2020-01-03', 9), (9, date'2020-01-02', 4), (3, NULL, 1), (0, date'2020-01-09', 1) AS t(k, d, c)""")
+    dense = series.densify(counts.filter("d IS NOT NULL"), series.spine(keys, "k", days, "d"), ["k", "d"], "c")
+    want = series.rolling_mean(dense, "k", "d", "c", 3, "m").select("k", "d", "c", "m").collect()
+    got = series.rolling_dense(counts, keys, days, "k", "d", "c", 3, "m").collect()
+    assert len(got) == 20 and sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_rolling_work_grows_with_the_counts(spark):
+    """100,000 keys over 400 days, of which 50 keys have counts."""
+    days = spark.range(400).select(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    counts = spark.range(50).select(F.col("id").alias("k"), F.lit("2020-03-01").cast("date").alias("d"), F.lit(7).alias("c"))
+    sums = series.rolling_sums(counts, series.numbered_days(days, "d"), "k", "d", "c", 7)
+    assert sums.count() == 350 and sums.agg(F.sum("c"), F.sum("_sum")).first()[:] == (350, 7 * 350)
+    keys = spark.range(100_000).select(F.col("id").alias("k"))
+    some = series.rolling_dense(counts, keys, days, "k", "d", "c", 7, "m")
+    text = some._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(d#" in text and "windowspecdefinition(k#" not in text
+    busy = some.filter("k % 20000 = 0 OR k = 49").filter("m > 0")
+    assert busy.count() == 14 and busy.agg(F.min("m"), F.max("m")).first()[:] == (1.0, 1.0)
