@@ -283,6 +283,45 @@ def prepare_lookup(raw: DataFrame, contract: LookupContract) -> DataFrame:
     return _smallest(kept, [contract.key], [contract.text], kept.columns)
 
 
+#: What parsing does to the text of each type.
+_RULES = {
+    "int": "whole part of a trimmed number",
+    "long": "whole part of a trimmed number",
+    "double": "trimmed number",
+    "boolean": "trimmed word, upper or lower case",
+    "string": "trimmed text",
+}
+_TYPES = {"int": "integer"}
+
+
+def _policy(contract: FactContract, target: str) -> str:
+    """What happens to rows whose value is missing or out of bounds, from the flags that test it."""
+    for flag in contract.flags:
+        if target not in flag.bounds:
+            continue
+        low, high = flag.bounds[target]
+        bounds = [f"{what} {value:g}" for what, value in (("below", low), ("above", high)) if value is not None]
+        wrong = " or ".join(["missing", *bounds])
+        return f"row rejected if {wrong}" if flag.name in contract.mandatory else f"row kept, {flag.name} false if {wrong}"
+    return "row kept"
+
+
+def dictionary_rows(contract: FactContract) -> list[tuple[str, str, str, str, str]]:
+    """One row per required source field: its target, type, cleaning rule and policy, all as the contract has them."""
+    targets = {source: (target, kind) for target, (source, kind) in contract.casts.items()}
+    targets |= {source: (target, "string") for target, source in contract.texts.items() if source not in targets}
+    rows = []
+    for source in contract.required:
+        if source == contract.timestamp_source:
+            target, kind = contract.timestamp, "timestamp"
+            rule = "first format that fits: " + ", ".join(contract.timestamp_formats)
+        else:
+            target, kind = targets[source]
+            rule = _RULES[kind]
+        rows.append((source, target, _TYPES.get(kind, kind), rule, _policy(contract, target)))
+    return rows
+
+
 def data_dictionary(spark: SparkSession, rows: Sequence[Sequence[str]]) -> DataFrame:
     """Policy table: one row per source field with its target, type, rule and invalid-value policy."""
     columns = ["source_field", "target_field", "spark_type", "cleaning_rule", "invalid_value_policy"]

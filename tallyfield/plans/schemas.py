@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..operators.contracts import FactContract, Flag, LookupContract
+from ..operators.contracts import FactContract, Flag, LookupContract, dictionary_rows
 from ..operators.models import ModelSpec
 from ..operators.series import DailyRollup, HourlyRollup, SeriesContract
 
@@ -99,18 +99,7 @@ SOURCE_DEFECTS = {
 }
 CLEAN_DEFECTS = {what: flag for what, flag in SOURCE_DEFECTS.items() if what != "timestamp"}
 
-# Data dictionary rows.
-DICTIONARY = (
-    ("ID", "crime_id", "long", "Cast to long", "Reject null or non-positive values"),
-    ("Date", "incident_timestamp", "timestamp", "Parse supported timestamp formats", "Reject unparseable values"),
-    ("District", "district", "integer", "Cast to integer", "Retain and flag values outside 1-31"),
-    ("Community Area", "community_area", "integer", "Cast to integer", "Retain and flag values outside 1-77"),
-    ("Latitude", "latitude", "double", "Cast to double", "Retain and flag values outside Chicago bounds"),
-    ("Longitude", "longitude", "double", "Cast to double", "Retain and flag values outside Chicago bounds"),
-    ("Arrest", "arrest", "boolean", "Trim, lowercase, and cast", "Retain null for transparent downstream filtering"),
-    ("Domestic", "domestic", "boolean", "Trim, lowercase, and cast", "Retain null for transparent downstream filtering"),
-    ("Primary Type", "primary_type", "string", "Trim text", "Retain null for non-modelling analysis"),
-)
+DICTIONARY = dictionary_rows(INCIDENTS)
 
 # Area lookup.
 AREA_MEASURES = (

@@ -147,3 +147,12 @@ def test_many_repeats_and_a_hot_key(spark, keeper):
 def test_hourly_rollup_sorts_no_observation(tables):
     text = tables.hourly_weather()._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in text and text.count("HashAggregate") == 4
+
+
+def test_dictionary_follows_the_contract():
+    rows = {r[0]: r[1:] for r in contracts.dictionary_rows(S.INCIDENTS)}
+    assert list(rows) == list(S.INCIDENTS.required)
+    assert rows["ID"] == ("crime_id", "long", "whole part of a trimmed number", "row rejected if missing or below 1")
+    assert rows["Date"][1] == "timestamp" and rows["Date"][3] == "row rejected if missing"
+    assert rows["District"][3] == "row kept, has_valid_district false if missing or below 1 or above 31"
+    assert rows["Arrest"][1:] == ("boolean", "trimmed word, upper or lower case", "row kept")
