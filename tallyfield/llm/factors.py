@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
-from .common import MEMO, map_rows, ngram_hashes, slices, stage
+from .common import MEMO, map_rows, mixed, slices, stage
 from .suffixes import window_minima
 
 WINDOW = 20
@@ -38,6 +38,7 @@ SEGMENT = 2048
 HOT_PLACES = 4096
 #: Words of a reference block, and bytes of segments in a partition on average.
 BLOCK_WORDS, PARTITION_BYTES = 1 << 16, 1 << 23
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -45,16 +46,28 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
+def gram_hashes(hashes: np.ndarray, gram: int) -> np.ndarray:
+    """Hashes of all runs of ``gram`` word hashes."""
+    size = len(hashes) - gram + 1
+    out = hashes[:size]
+    for i in range(1, gram):
+        out = out * _FACTOR + hashes[i : i + size]
+    return mixed(out)
+
+
 def anchored(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Anchor, first and last window, and places of the anchor's gram, of each segment of a text."""
     if len(words) < window:
         return (np.zeros(0, np.int64),) * 4
     width = window - min(GRAM, window) + 1
-    hashes = ngram_hashes(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), min(GRAM, window))
+    hashes = gram_hashes(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), min(GRAM, window))
     minima = window_minima(hashes, width)
     edges = np.flatnonzero(minima[1:] != minima[:-1]) + 1
     firsts = np.union1d(np.concatenate(([0], edges)), _cuts(edges, len(minima)))
     lasts = np.append(firsts[1:], len(minima)) - 1
+    ordered = np.sort(hashes)
+    if (ordered[1:] != ordered[:-1]).all():  # no gram twice in the text
+        return minima[firsts].view(np.int64), firsts, lasts, np.ones(len(firsts), np.int64)
     known, ranks = np.unique(hashes, return_inverse=True)
     places = np.sort(ranks * (len(hashes) + 1) + np.arange(len(hashes)))
     own = np.searchsorted(known, minima[firsts]) * (len(hashes) + 1)

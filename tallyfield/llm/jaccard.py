@@ -33,8 +33,8 @@ MEMBERS = 64
 #: Sizes of the sets in a group differ by this factor at most.
 SIZE_BAND = 1.05
 VISITORS = 256
-#: Sets whose places are sent to every executor at most; beyond it the texts are shuffled.
-BROADCAST_ROWS = 200_000
+#: Bytes of sets and their places that are sent to every executor at most; beyond it the texts are shuffled.
+BROADCAST_BYTES = 1 << 26
 
 _WORDS = WordHashes()
 
@@ -230,7 +230,7 @@ def similar_sets(
     wanted = places.groupBy("set_id").agg(F.collect_list(F.struct("group", "room", "role")).alias("seats"))
     wanted = stage(wanted.join(first, "set_id"), folder, "wanted")
     named = wanted.select("set_id", "seats", F.col("key").alias("wanted"))
-    if wanted.count() <= BROADCAST_ROWS:
+    if (wanted.agg(F.sum(F.size("seats") * 32 + F.octet_length(F.col("key").cast("string")) + 64)).first()[0] or 0) <= BROADCAST_BYTES:
         named = F.broadcast(named)
     texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(named, F.col("k") == F.col("wanted"))
     met = map_rows(

@@ -240,7 +240,7 @@ def _with_answers(blocks: DataFrame, answers: DataFrame, columns: list[str]) ->
         *[F.lit(None).cast(answers.schema[c].dataType).alias(c) for c in width],
     )
     right = answers.select("block", F.lit(1).alias("kind"), F.lit(None).cast(left.schema["row"].dataType).alias("row"), *width)
-    both = left.unionByName(right).repartition("block").sortWithinPartitions("block", "kind", "source", "bucket")
+    both = left.unionByName(right).repartition(max(8, blocks.count()), "block").sortWithinPartitions("block", "kind", "source", "bucket")
     return both.select("block", "kind", "row", *width)
 
 
