@@ -189,6 +189,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.aggregate(lengths, F.lit(0).cast("long"), lambda a, b: a + b).alias("n_removed"),
         F.size("repeat.spans").cast("long").alias("n_spans"),
         F.sha2("repeat.kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("repeat.kept").cast("string")).alias("text"),
     ).withColumn("removed_share", F.coalesce(F.try_divide("n_removed", "n_bytes"), F.lit(0.0)))
 
 
@@ -219,7 +220,8 @@ WITH d AS (
   WHERE NOT EXISTS (SELECT 1 FROM (SELECT doc_id AS a, unnest(g) AS b FROM gone) v WHERE a = u.doc_id AND b = u.i)
   GROUP BY 1
 )
-SELECT kept.doc_id, len(w)::BIGINT AS n_words, n::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+SELECT kept.doc_id, len(w)::BIGINT AS n_words, n::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256,
+  coalesce(t, '') AS text
 FROM kept LEFT JOIN k ON kept.doc_id = k.doc_id
 """,
 )
@@ -234,6 +236,7 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("repeat.n_words").alias("n_words"),
         F.aggregate(lengths, F.lit(0).cast("long"), lambda a, b: a + b).alias("n_removed"),
         F.sha2("repeat.kept", 256).alias("kept_sha256"),
+        F.col("repeat.kept").alias("text"),
     )
 
 
