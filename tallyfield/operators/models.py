@@ -72,7 +72,7 @@ def has_classes(df: DataFrame) -> bool:
 def require_classes(df: DataFrame, name: str) -> DataFrame:
     """Return ``df``, or fail when a label is absent."""
     if not has_classes(df):
-        raise ValueError(f"{name} requires both outcome classes.")
+        raise ValueError(f"{name} lacks rows with label 0 or with label 1.")
     return df
 
 
