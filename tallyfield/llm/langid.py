@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import MEMO, keep, map_rows, stage
 
-#: Letters, and the marks that belong to them. Latin texts need no tables of categories.
+#: Letters, and the marks that belong to them; and the same for lower-case texts without characters beyond Latin ones.
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-LATIN_LETTERS = re.compile("[^\\W\\d_\xb2\xb3\xb9\xbc-\xbe]+")
+LATIN_LETTERS = re.compile("[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u024f]+")
 BEYOND_LATIN = re.compile("[^\0-\u024f]")
 SHARE = 2e-6
 ORDERS = (4, 3, 2, 1)
