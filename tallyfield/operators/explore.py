@@ -11,6 +11,9 @@ from .contracts import require_flags
 from .scalars import grouped_total, over_all
 from .series import enrich, rolling_dense, within_period
 
+#: A deviation below this part of the largest value is rounding: sums of the same numbers differ so with their order.
+ROUNDING = 1e-12
+
 
 def condition_impact(daily: DataFrame, label: Column, count: str, name: str) -> DataFrame:
     """Days, mean and approximate median of the daily count per condition."""
@@ -80,12 +83,17 @@ def hour_totals(patterns: DataFrame, count: str) -> DataFrame:
 def correlations(df: DataFrame, target: str, names: Mapping[str, str]) -> DataFrame:
     """Pearson correlation of the target with each column, from ``{output: column}``.
 
-    A constant column gives NULL; the built-in ``corr`` divides by zero there under ANSI mode.
+    A column that is constant, or is so but for rounding, gives NULL; the built-in ``corr`` divides by zero there under
+    ANSI mode.
     """
 
+    def deviation(col: Column) -> Column:
+        found = F.stddev_pop(col)
+        return F.when(found > ROUNDING * F.max(F.abs(col)), found)
+
     def pearson(name: str) -> Column:
         x, y = F.col(target), F.col(name)
-        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        spread = deviation(F.when(y.isNotNull(), x)) * deviation(F.when(x.isNotNull(), y))
         return F.try_divide(F.covar_pop(x, y), spread)
 
     return df.agg(*[pearson(column).alias(output) for output, column in names.items()])

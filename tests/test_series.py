@@ -144,3 +144,13 @@ def test_rolling_work_grows_with_the_counts(spark):
     assert "windowspecdefinition(d#" in text and "windowspecdefinition(k#" not in text
     busy = some.filter("k % 20000 = 0 OR k = 49").filter("m > 0")
     assert busy.count() == 14 and busy.agg(F.min("m"), F.max("m")).first()[:] == (1.0, 1.0)
+
+
+def test_a_day_sum_that_is_constant_but_for_rounding_has_no_correlation(spark):
+    hours = [(d, h, 0.1, d * h % 7) for d in range(40) for h in range(24)]
+    rain = spark.createDataFrame(hours, "day long, hour long, rain double, crimes long").repartition(7, "day", "hour")
+    daily = rain.groupBy("day").agg(F.sum("rain").alias("rain"), F.sum("crimes").alias("crimes"))
+    daily = daily.withColumn("rain", F.when(F.col("day") % 3 == 0, F.lit(2.4000000000000004)).otherwise(F.col("rain")))
+    daily = daily.withColumn("twice", F.col("crimes") * 2.0)
+    row = explore.correlations(daily, "crimes", {"rain": "rain", "twice": "twice"}).first()
+    assert row["rain"] is None and row["twice"] == pytest.approx(1.0)
