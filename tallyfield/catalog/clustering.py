@@ -83,6 +83,14 @@ def scaled(t: Tables):
     return clusters.scale(rows, rows, S.CLUSTER_FEATURES)
 
 
+def scaled_points(t: Tables):
+    """The distinct points of all rows, with their weights and groups, as the fits read them."""
+    rows = cluster_rows(t)
+    points = clusters.distinct_points(rows, S.CLUSTER_FEATURES, "district")
+    scaled_rows = clusters.scale(rows, fitting.spread(points, S.CLUSTER_FEATURES), S.CLUSTER_FEATURES)
+    return scaled_rows.select("features", "weight", "groups")
+
+
 @query("m1_cluster_input", f"WITH {INPUT_SQL} SELECT * FROM input", floats=["latitude", "longitude"])
 def m1_cluster_input(t: Tables):
     return cluster_rows(t)
@@ -119,8 +127,8 @@ def m3_scale(t: Tables):
 @query("m4_assign", f"WITH {INPUT_SQL} SELECT crime_id, true AS nearest FROM input")
 def m4_assign(t: Tables):
     """K-Means with K = 3 on all rows: whether no other centre is nearer than the row's own."""
-    with fitting.persisted(fitting.spread(scaled(t), "crime_id")) as train:
-        model = clusters.fit_kmeans(train, 3, clusters.SEEDS[0])
+    with fitting.persisted(scaled_points(t)) as train:
+        model = clusters.fit_kmeans(train, 3, clusters.SEEDS[0], "weight")
     values = vector_to_array("features")
     distances = [
         sum((values[i] - F.lit(float(x))) ** 2 for i, x in enumerate(centre)) for centre in model.clusterCenters()
@@ -157,9 +165,9 @@ def m5_silhouette(t: Tables):
 )
 def m6_kmeans_sweep(t: Tables):
     """Fits on all valid rows, and whether their sizes and scores can be those of K clusters of them."""
-    with fitting.persisted(fitting.spread(scaled(t), "crime_id")) as train:
-        records = F.lit(train.count()).cast("long")
-        scores = clusters.kmeans_sweep(train, "district")
+    with fitting.persisted(scaled_points(t)) as train:
+        records = F.lit(train.agg(F.sum("weight")).first()[0]).cast("long")
+        scores = clusters.kmeans_sweep(train, "groups", weight="weight")
     least, most, k = F.col("minimum_cluster_size"), F.col("maximum_cluster_size"), F.col("k")
     sizes = (least >= 1) & (least * k <= records) & (most * k >= records) & (most <= records - (k - 1))
     share = F.col("average_dominant_district_share")
@@ -187,8 +195,8 @@ def m7_best_k(t: Tables):
 def m8_detail_assignment(t: Tables):
     """All valid rows, and whether their cluster is that of a K = 6 model fitted apart on the same rows."""
     records = jobs.cluster_facts(t.facts(), files.scratch_dir(t.spark)).detailed_clustered_records
-    with fitting.persisted(fitting.spread(scaled(t), "crime_id")) as train:
-        model = clusters.fit_kmeans(train, clusters.DETAIL_K, clusters.SEEDS[0])
+    with fitting.persisted(scaled_points(t)) as train:
+        model = clusters.fit_kmeans(train, clusters.DETAIL_K, clusters.SEEDS[0], "weight")
     again = clusters.assign(scaled(t), model, "again").select("crime_id", "again")
     return records.join(again, "crime_id", "left").select("crime_id", F.col("cluster").eqNullSafe(F.col("again")).alias("detailed"))
 

@@ -28,14 +28,15 @@ def persisted(df: DataFrame):
         held.unpersist()
 
 
-def spread(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """Deal rows that many passes will read by the hash of their key, in key order.
+def spread(df: DataFrame, key: str | Sequence[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Deal rows that many passes will read by the hash of their key, one column or several, in key order.
 
     A fit draws its start and its bootstrap per partition, so it depends on where rows lie. With a
     stated number of partitions it is the same on any cluster and however its input was split; a
     caller with more rows than 16 tasks can hold states a larger number.
     """
-    return df.repartition(partitions, key).sortWithinPartitions(key)
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
 def concurrently(

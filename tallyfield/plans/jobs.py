@@ -209,8 +209,8 @@ def cluster_facts(
 ) -> Clustering:
     """Choose K from repeated fits, then assign and profile all valid rows.
 
-    The fits use all valid rows, or a key-hash sample if the caller states its ``fraction``, in so many ``partitions``:
-    a fit depends on this number, not on the cluster. The assignments are written to ``folder``, where the returned
+    The fits use all valid rows, or a key-hash sample if the caller states its ``fraction``, as distinct points weighted by
+    their rows, in so many ``partitions``: a fit depends on this number, not on the cluster. The assignments are written to ``folder``, where the returned
     tables read them.
     """
     if not seeds:
@@ -222,20 +222,21 @@ def cluster_facts(
     sample = rows
     if fraction is not None:
         sample = sampling.training_sample(rows, "crime_id", fraction, S.SMALLEST_SAMPLE, S.SAMPLE_SEED)
-    with fitting.persisted(fitting.spread(sample, "crime_id", partitions)) as train:
+    points = clusters.distinct_points(sample, S.CLUSTER_FEATURES, "district")
+    with fitting.persisted(fitting.spread(points, S.CLUSTER_FEATURES, partitions)) as train:
         clusters.require_varying(train, "hour")
-        scaler = clusters.fit_scaler(clusters.assemble(train, S.CLUSTER_FEATURES))
-        scaled = scaler.transform(clusters.assemble(train, S.CLUSTER_FEATURES))
+        scaler = clusters.fit_scaler(clusters.assemble(sample, S.CLUSTER_FEATURES))
+        scaled = scaler.transform(clusters.assemble(train, S.CLUSTER_FEATURES)).select("features", "weight", "groups")
         with fitting.persisted(scaled) as training:
-            stability = clusters.kmeans_sweep(training, "district", ks, seeds)
+            stability = clusters.kmeans_sweep(training, "groups", ks, seeds, weight="weight")
             scores = clusters.stability_rollup(stability)
             best_k = int(clusters.best_by(scores, "silhouette_score", "k").first()["k"])
-            best_model = clusters.fit_kmeans(training, best_k, seeds[0])
+            best_model = clusters.fit_kmeans(training, best_k, seeds[0], "weight")
             detail_k = clusters.DETAIL_K
-            if not at_least(training, detail_k + 1):
+            if not at_least(sample, detail_k + 1):
                 raise ValueError(f"The detailed clustering needs more than {detail_k} valid rows.")
             detail_model = (
-                best_model if best_k == detail_k else clusters.fit_kmeans(training, detail_k, seeds[0])
+                best_model if best_k == detail_k else clusters.fit_kmeans(training, detail_k, seeds[0], "weight")
             )
     everything = scaler.transform(clusters.assemble(rows, S.CLUSTER_FEATURES))
     both = clusters.assign(clusters.assign(everything, best_model, "cluster"), detail_model, "detail")

@@ -94,6 +94,31 @@ def test_sweep_scores_are_those_of_single_passes(spark, tables):
             assert row.silhouette_score == pytest.approx(clusters.silhouette(assigned), abs=1e-12)
 
 
+def test_fits_read_each_point_once_and_score_all_rows(spark, tmp_path, monkeypatch):
+    read, fit = [], clusters.fit_kmeans
+
+    def noted(df, *rest):
+        read.append(df.count())
+        return fit(df, *rest)
+
+    monkeypatch.setattr(clusters, "fit_kmeans", noted)
+    facts = facts_with_signal(spark, 5000)
+    points = facts.select(*S.CLUSTER_FEATURES).distinct().count()
+    result = jobs.cluster_facts(facts, str(tmp_path), ks=(2, 3), seeds=(42,))
+    assert points < 2000 and set(read) == {points}
+    rows = clusters.cluster_input(facts, "has_valid_coordinates", S.CLUSTER_FEATURES, "crime_id", "district")
+    scaled = clusters.scale(rows, rows, S.CLUSTER_FEATURES)
+    clustered = result.clustered_records.select("crime_id", "cluster").join(scaled, "crime_id").persist()
+    row = result.stability_scores.filter(F.col("k") == result.best_k).first()
+    least, most = clusters.size_range(clustered, "cluster").first()
+    share = shares.dominant_share(clustered, "cluster", "district", "s").first()[0]
+    assert (row.minimum_cluster_size, row.maximum_cluster_size) == (least, most)
+    assert row.average_dominant_district_share == pytest.approx(share, abs=1e-12)
+    assert row.silhouette_score == pytest.approx(clusters.silhouette(clustered), abs=1e-9)
+    assert clustered.count() == 5000
+    clustered.unpersist()
+
+
 def test_category_index_equals_the_estimators(spark, tmp_path):
     rows = spark.createDataFrame([(c,) for c in "bbaccc"] + [(None,)], "primary_type string")
     table = models.category_table(rows, "primary_type", lambda df: files.stage(df, str(tmp_path), "types"))
