@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shares import MAX_RANGES, prefix_sum
+from .shares import MAX_RANGES, prefix_sum, running_sums
 
 # Probability thresholds of the trade-off table.
 THRESHOLDS = (0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8)
@@ -94,18 +94,25 @@ def areas(df: DataFrame, score: str) -> DataFrame:
     return _steps(df, score).agg(*_areas())
 
 
+SCORE_COUNTS = ("positive", "negative", "hit", "miss")
+
+
+def score_counts(df: DataFrame, score: str, by: str) -> DataFrame:
+    """Rows per label, and those of them that are predicted 1, for each group and score."""
+    label, predicted = F.col("label"), F.col("prediction") == 1
+    counted = [label == 1, label == 0, (label == 1) & predicted, (label == 0) & predicted]
+    sums = [F.sum(value.cast("long")).alias(name) for name, value in zip(SCORE_COUNTS, counted)]
+    return df.groupBy(by, score).agg(*sums)
+
+
 def compare(df: DataFrame, score: str, by: str) -> DataFrame:
     """Confusion counts, rates and exact areas of each group of predictions, from one shuffle of counts per score."""
-    label, predicted = F.col("label"), F.col("prediction") == 1
-    counted = df.select(
-        by,
-        score,
-        (label == 1).cast("long").alias("positive"),
-        (label == 0).cast("long").alias("negative"),
-        ((label == 1) & predicted).cast("long").alias("hit"),
-        ((label == 0) & predicted).cast("long").alias("miss"),
-    )
-    steps = prefix_sum(counted, score, ["positive", "negative", "hit", "miss"], by=by)
+    return compare_counts(score_counts(df, score, by), score, by)
+
+
+def compare_counts(counts: DataFrame, score: str, by: str) -> DataFrame:
+    """``compare`` from the counts per score. They are read several times, so keep what is costly to compute."""
+    steps = running_sums(counts, score, SCORE_COUNTS, by=by)
     hit, miss, positive, negative = (F.max(f"total_{c}") for c in ("hit", "miss", "positive", "negative"))
     counts = steps.groupBy(by).agg(
         hit.alias("true_positive"),

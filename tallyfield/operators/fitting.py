@@ -13,6 +13,9 @@ from pyspark.storagelevel import StorageLevel
 
 PARALLEL_FITS = 8
 FIT_PARTITIONS = 16
+#: Rows to a partition where more than ``FIT_PARTITIONS`` are needed, and rows that fits submitted together may hold.
+PARTITION_ROWS = 250_000
+TOGETHER_ROWS = 24_000_000
 
 Item = TypeVar("Item")
 Result = TypeVar("Result")
@@ -39,6 +42,16 @@ def spread(df: DataFrame, key: str | Sequence[str], partitions: int = FIT_PARTIT
     return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
+def fit_partitions(rows: int) -> int:
+    """The number of partitions for so many rows: their tasks grow in number, not in size."""
+    return max(FIT_PARTITIONS, -(-rows // PARTITION_ROWS))
+
+
+def fits_together(rows: int) -> int:
+    """How many fits on so many rows to submit together: each keeps its rows as objects, some 200 bytes a row of a forest."""
+    return max(1, min(PARALLEL_FITS, TOGETHER_ROWS // max(rows, 1)))
+
+
 def concurrently(
     spark: SparkSession, run: Callable[[Item], Result], items: Sequence[Item], parallelism: int = PARALLEL_FITS
 ) -> list[Result]:

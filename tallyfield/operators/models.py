@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.labels import positive_score, to_label
 from .contracts import drop_null, require_flags
-from .evaluate import COUNTS, compare
-from .fitting import FIT_PARTITIONS, concurrently, persisted, spread
+from .evaluate import COUNTS, compare_counts, score_counts
+from .fitting import concurrently, fit_partitions, fits_together, persisted, spread
 from .ordering import number_rows, ordered
 from .sampling import temporal_split
 from .scalars import distinct_values
@@ -25,6 +25,7 @@ BOOSTING_ROUNDS = 20
 LOGISTIC_ROUNDS = 50
 LOGISTIC_L2 = 0.01
 BINS = 64
+TREE_CLASSIFIERS = (RandomForestClassifier, GBTClassifier)
 CUTOFF_YEARS = 3
 SELECTED = ("weighted_random_forest", "seeded_random_holdout")
 
@@ -78,7 +79,10 @@ def require_classes(df: DataFrame, name: str) -> DataFrame:
 
 def class_weights(df: DataFrame) -> DataFrame:
     """Add ``class_weight``: rows / (2 x rows of the class); labels must be exactly 0 and 1."""
-    negative, positive, other = _class_counts(df)
+    return _with_weights(df, *_class_counts(df))
+
+
+def _with_weights(df: DataFrame, negative: int, positive: int, other: int) -> DataFrame:
     if not negative or not positive or other:
         raise ValueError(f"label must hold 0 and 1 only; found {negative} zeros, {positive} ones, {other} others.")
     total = negative + positive
@@ -191,7 +195,10 @@ def scored_rows(
 def comparison_rows(scored: DataFrame, strategy: str, cutoff: int = 0) -> list[tuple]:
     """Rows of the comparison table, one for each model of ``scored_rows``."""
     columns = [*COUNTS, "precision", "recall", "specificity", "f1_score", "balanced_accuracy", "area_under_roc", "area_under_pr"]
-    found = compare(scored, "rank", "model_name").select("model_name", *columns).collect()
+    # The counts are read for the ranges, their totals and the running sums: without keeping them, every model scores
+    # all rows as many times.
+    with persisted(score_counts(scored, "rank", "model_name")) as counts:
+        found = compare_counts(counts, "rank", "model_name").select("model_name", *columns).collect()
     return [(row[0], strategy, cutoff, *row[1:]) for row in sorted(found)]
 
 
@@ -209,12 +216,28 @@ def selected_metrics(comparison: DataFrame) -> DataFrame:
 
 
 def _fit_all(
-    train: DataFrame, spec: ModelSpec, pipelines: dict[str, Pipeline], bins: int, partitions: int
+    train: DataFrame, spec: ModelSpec, pipelines: dict[str, Pipeline], bins: int, partitions: int | None
 ) -> dict[str, PipelineModel]:
-    """Fit pipelines on rows that are read from the source once."""
-    with persisted(spread(train, spec.key, partitions)) as rows:
-        weighted = class_weights(require_bins(rows, spec, bins))
-        fitted = concurrently(train.sparkSession, lambda p: p.fit(weighted), list(pipelines.values()))
+    """Fit pipelines, which all begin with ``category_index``, on rows that are read from the source once.
+
+    They lie in so many ``partitions``, by default as many as their number asks for. The categories are counted once, and
+    the vectors that all trees read (numbers and category index) are made once.
+    """
+    counts = _class_counts(train)
+    rows_held = sum(counts)
+    with persisted(spread(train, spec.key, partitions or fit_partitions(rows_held))) as rows:
+        weighted = _with_weights(require_bins(rows, spec, bins), *counts)
+        index = category_index(spec).fit(rows)
+        vectors = _features(spec, "index").transform(index.transform(weighted))
+        with persisted(vectors.select("label", "class_weight", "features")) as assembled:
+
+            def fit(pipeline: Pipeline) -> PipelineModel:
+                *before, classifier = pipeline.getStages()[1:]
+                if isinstance(classifier, TREE_CLASSIFIERS):
+                    return PipelineModel([index, *before, classifier.fit(assembled)])
+                return Pipeline(stages=[index, *before, classifier]).fit(weighted)
+
+            fitted = concurrently(train.sparkSession, fit, list(pipelines.values()), fits_together(rows_held))
     return dict(zip(pipelines, fitted))
 
 
@@ -228,7 +251,7 @@ def weighted_pipelines(spec: ModelSpec, bins: int) -> dict[str, Pipeline]:
 
 
 def fit_models(
-    train: DataFrame, spec: ModelSpec, bins: int = BINS, partitions: int = FIT_PARTITIONS
+    train: DataFrame, spec: ModelSpec, bins: int = BINS, partitions: int | None = None
 ) -> dict[str, PipelineModel]:
     """The unweighted forest and the three weighted models on one training frame."""
     unweighted = {"unweighted_random_forest": rf_pipeline(spec, False, bins)}
@@ -241,7 +264,7 @@ def compare_models(models: dict[str, PipelineModel], test: DataFrame) -> list[tu
 
 
 def compare_temporal(
-    df: DataFrame, spec: ModelSpec, bins: int = BINS, partitions: int = FIT_PARTITIONS
+    df: DataFrame, spec: ModelSpec, bins: int = BINS, partitions: int | None = None
 ) -> list[tuple]:
     """The three weighted models on the last years; nothing when a part lacks a class."""
     train, test, cutoff = temporal_split(df, spec.year, CUTOFF_YEARS)

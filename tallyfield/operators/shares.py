@@ -92,9 +92,16 @@ def prefix_sum(
     this holds in each group of that column, which is meant for few groups, and one shuffle serves them all.
     """
     keys = [] if by is None else [by]
-    steps = df.groupBy(*keys, order).agg(*[F.sum(c).alias(c) for c in cols])
+    return running_sums(df.groupBy(*keys, order).agg(*[F.sum(c).alias(c) for c in cols]), order, cols, ranges, by)
+
+
+def running_sums(
+    steps: DataFrame, order: str, cols: Sequence[str], ranges: int | None = None, by: str | None = None
+) -> DataFrame:
+    """``prefix_sum`` of rows that are summed already, one for each value (and group). They are read several times."""
+    keys = [] if by is None else [by]
     if ranges is None:
-        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = int(steps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(1, min(ranges, MAX_RANGES))
     ranged = _ranged(steps, order, ranges) if by is None else _ranged_by(steps, order, ranges, by)
 

@@ -308,10 +308,11 @@ class Modeling:
 
 
 def model_facts(
-    facts: DataFrame, folder: str, bins: int = models.BINS, partitions: int = fitting.FIT_PARTITIONS
+    facts: DataFrame, folder: str, bins: int = models.BINS, partitions: int | None = None
 ) -> Modeling:
-    """Fit and compare the models on a random and a temporal holdout; the fits read so many ``partitions``.
+    """Fit and compare the models on a random and a temporal holdout, side by side unless they are large.
 
+    The fits read so many ``partitions``, by default 16, or more for more than 4 million rows; a fit depends on their number.
     The model table and the predictions are written to ``folder``, where the returned tables read them.
     """
     spark, spec = facts.sparkSession, S.MODEL
@@ -320,10 +321,17 @@ def model_facts(
     train, test = sampling.hash_split(table, spec.key, S.TRAIN_FRACTION, S.SAMPLE_SEED)
     models.require_classes(train, "The training split")
     models.require_classes(test, "The test split")
-    fitted = models.fit_models(train, spec, bins, partitions)
-    comparison = models.comparison_table(
-        spark, [*models.compare_models(fitted, test), *models.compare_temporal(table, spec, bins, partitions)]
-    )
+
+    def on_holdout():
+        fitted = models.fit_models(train, spec, bins, partitions)
+        return fitted, models.compare_models(fitted, test)
+
+    def on_last_years():
+        return models.compare_temporal(table, spec, bins, partitions)
+
+    together = min(2, fitting.fits_together(table.count()))
+    (fitted, found), late = fitting.concurrently(spark, lambda part: part(), [on_holdout, on_last_years], together)
+    comparison = models.comparison_table(spark, [*found, *late])
     chosen = fitted[models.SELECTED[0]]
     score = "arrest_probability"
     scored = models.prediction_output(chosen.transform(test), spec.key, score)
@@ -368,7 +376,7 @@ def model_job(
     facts_path: str,
     output_dir: str,
     bins: int = models.BINS,
-    partitions: int = fitting.FIT_PARTITIONS,
+    partitions: int | None = None,
 ) -> None:
     """Write the prediction tables and the fitted models."""
     with files.scratch(spark) as folder:

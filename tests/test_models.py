@@ -247,3 +247,36 @@ def test_saved_model_predicts_the_same(spark, tmp_path):
     columns = ["crime_id", "prediction"]
     again = PipelineModel.load(path).transform(table).select(*columns)
     assert again.exceptAll(model.transform(table).select(*columns)).count() == 0
+
+
+def test_comparison_scores_rows_once(spark):
+    """The areas read the counts per score several times; the rows, scored by every model, are read once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(i):
+        seen.add(1)
+        return "m", float(i % 2), float(i % 3 == 0), i / 7.0
+
+    rows = spark.sparkContext.parallelize(range(400), 4).map(score)
+    scored = spark.createDataFrame(rows, "model_name string, label double, prediction double, rank double")
+    (row,) = models.comparison_rows(scored, "s")
+    assert sum(row[3:7]) == 400
+    assert seen.value == 400
+
+
+def test_fits_of_more_rows_have_more_partitions_and_less_company():
+    assert [fitting.fit_partitions(n) for n in (0, 4_000_000, 4_000_001, 40_000_000)] == [16, 16, 17, 160]
+    assert [fitting.fits_together(n) for n in (0, 100_000, 6_000_000, 40_000_000)] == [8, 8, 4, 1]
+
+
+def test_fits_share_the_category_index_and_tree_vectors(spark, monkeypatch):
+    """A small partition size deals the same rows over more tasks, and all models hold one index."""
+    monkeypatch.setattr(fitting, "PARTITION_ROWS", 50)
+    table = models.model_table(facts_with_signal(spark, 1000), S.MODEL)
+    dealt = []
+    monkeypatch.setattr(models, "spread", lambda df, key, n: dealt.append(n) or fitting.spread(df, key, n))
+    fitted = models.fit_models(table, S.MODEL)
+    assert dealt == [20]
+    assert len({model.stages[0].uid for model in fitted.values()}) == 1
+    scored = models.scored_rows(fitted, table)
+    assert scored.groupBy("model_name").count().filter("count = 1000").count() == 4
