@@ -254,6 +254,19 @@ def prepare(raw: DataFrame, contract: FactContract) -> DataFrame:
     return add_flags(add_calendar(typed, contract.timestamp), contract.flags)
 
 
+def blank_accepted_text(prepared: DataFrame, contract: FactContract) -> DataFrame:
+    """Prepared rows whose raw text is NULL unless the row is rejected: nothing but the quarantine shows it.
+
+    Texts that the contract takes over stay, and so do all of its columns and flags. Written rows are much shorter.
+    """
+    used = {*contract.columns, *contract.texts.values(), *contract.mandatory, *(flag.name for flag in contract.flags)}
+    rejected = F.lit(False)
+    for flag in contract.mandatory:
+        rejected = rejected | ~F.col(flag)
+    col = {name: F.col(f"`{name}`") for name in prepared.columns}
+    return prepared.select(*[value if name in used else F.when(rejected, value).alias(name) for name, value in col.items()])
+
+
 def _accepted(prepared: DataFrame, contract: FactContract) -> tuple[DataFrame, Column]:
     """Contract columns and mandatory flags, and the condition that all of these flags hold."""
     extra = [flag for flag in contract.mandatory if flag not in contract.columns]

@@ -33,13 +33,14 @@ def prepare_incidents(
 ) -> None:
     """Raw CSV to clean partitioned facts, quality row, quarantine and data dictionary.
 
-    The text is parsed once: the prepared rows are staged as Parquet, and every output reads its
-    columns from there. Keys are counted first, and only rows with a repeated one are compared.
+    The text is parsed once: the prepared rows are staged as Parquet, with the raw text of rejected rows, and every
+    output reads its columns from there. Keys are counted first, and only rows with a repeated one are compared.
     """
     mode = "overwrite" if overwrite else "errorifexists"
     raw = files.read_raw_csv(spark, input_path)
     with files.scratch(spark) as folder:
-        prepared = files.stage(contracts.prepare(raw, S.INCIDENTS), folder, "prepared")
+        parsed = contracts.blank_accepted_text(contracts.prepare(raw, S.INCIDENTS), S.INCIDENTS)
+        prepared = files.stage(parsed, folder, "prepared")
         cleaned = contracts.clean(prepared, S.INCIDENTS, lambda keys: files.stage(keys, folder, "repeats"))
         files.write_partitioned(cleaned, output_path, ["year", "district"], mode)
         if quality_path:

@@ -156,3 +156,16 @@ def test_dictionary_follows_the_contract():
     assert rows["Date"][1] == "timestamp" and rows["Date"][3] == "row rejected if missing"
     assert rows["District"][3] == "row kept, has_valid_district false if missing or below 1 or above 31"
     assert rows["Arrest"][1:] == ("boolean", "trimmed word, upper or lower case", "row kept")
+
+
+def test_only_rejected_rows_keep_their_raw_text(tables):
+    """The staged rows of accepted incidents hold no raw text that no output shows; outputs are the same."""
+    prepared = contracts.prepare(tables.raw_incidents(), S.INCIDENTS)
+    staged = contracts.blank_accepted_text(prepared, S.INCIDENTS)
+    assert staged.columns == prepared.columns
+    accepted = staged.filter("has_valid_crime_id AND has_valid_timestamp")
+    assert accepted.filter("ID IS NOT NULL OR Date IS NOT NULL OR raw_district IS NOT NULL").isEmpty()
+    for build in (lambda df: contracts.quarantine(df, S.INCIDENT_REASONS), lambda df: contracts.clean(df, S.INCIDENTS)):
+        before, after = build(prepared), build(staged)
+        assert before.count() == after.count() > 0
+        assert before.exceptAll(after).isEmpty()
