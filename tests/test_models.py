@@ -1,6 +1,11 @@
 """Clustering and classification on small frames with a known answer."""
 
+import subprocess
+import sys
+
 import pytest
+from pyspark import cloudpickle
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tallyfield.functions.labels import positive_score
@@ -280,3 +285,13 @@ def test_fits_share_the_category_index_and_tree_vectors(spark, monkeypatch):
     assert len({model.stages[0].uid for model in fitted.values()}) == 1
     scored = models.scored_rows(fitted, table)
     assert scored.groupBy("model_name").count().filter("count = 1000").count() == 4
+
+
+def test_silhouette_code_needs_no_package_on_executors(spark, monkeypatch, tmp_path):
+    """What tasks run loads where only Spark, NumPy and Arrow are installed."""
+    rows = spark.createDataFrame([(Vectors.dense(float(i), 0.0), i % 2) for i in range(8)], ["features", "cluster"])
+    sent, run = [], type(rows).mapInArrow
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda df, fn, schema: sent.append(fn) or run(df, fn, schema))
+    clusters.silhouette(rows)
+    load = "import sys, pyspark.cloudpickle as c; c.loads(sys.stdin.buffer.read()); assert 'tallyfield' not in sys.modules"
+    subprocess.run([sys.executable, "-I", "-c", load], input=cloudpickle.dumps(sent[0]), cwd=tmp_path, check=True)
