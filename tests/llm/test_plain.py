@@ -149,6 +149,52 @@ def lower_words(text, pattern):
     return re.findall(pattern, text.encode().lower().decode())
 
 
+def plain_spans(texts, span=400):
+    """Of each text in UTF-8, the bytes that a string of ``span`` bytes covers which also starts elsewhere, as spans."""
+    texts = [(t or "").encode() for t in texts]
+    seen = Counter(t[i : i + span] for t in texts for i in range(len(t) - span + 1))
+    for t in texts:
+        spans = []
+        for i in range(len(t) - span + 1):
+            if seen[t[i : i + span]] > 1 and spans and i <= spans[-1][1]:
+                spans[-1] = (spans[-1][0], i + span)
+            elif seen[t[i : i + span]] > 1:
+                spans.append((i, i + span))
+        yield t, spans
+
+
+def cut_out(data, spans):
+    edges = [0, *(x for pair in spans for x in pair), len(data)]
+    return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+
+
+def test_removed_repeats_are_the_plain_ones(spark, texts):
+    got = {r["doc_id"]: r for r in QUERIES["op9_suffix_dedup"](spark, SF_DIR).collect()}
+    assert got.keys() == texts.keys()
+    for k, (data, spans) in zip(texts, plain_spans(texts.values())):
+        row, kept = got[k], cut_out(data, spans)
+        assert (row["n_bytes"], row["n_removed"], row["n_spans"]) == (len(data), len(data) - len(kept), len(spans))
+        assert row["kept_sha256"] == hashlib.sha256(kept).hexdigest()
+    assert any(r["n_removed"] for r in got.values())
+
+
+def test_repeats_go_by_bytes_and_leave_no_copy(spark, tmp_path):
+    """The rule of `op9`: bytes count, not words, and no occurrence is the one that stays."""
+    rng = np.random.default_rng(9)
+    words = lambda n, digits: " ".join(f"{x:0{digits}d}" for x in rng.integers(0, 10**digits, n))
+    short, long = words(57, 6), words(57, 7)
+    assert len(short) == 398 and len(long) == 455
+    apart = [words(40, 8) + x + p + x + words(40, 8) for x, p in zip("abcde", (short, short, long, long, long))]
+    frame = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(apart)], "doc_id long, text string, n_chars long")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    kept = [t.replace(long, "") for t in apart]
+    got = {r["doc_id"]: r for r in QUERIES["op9_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert [got[i]["n_removed"] for i in range(5)] == [0, 0, 455, 455, 455]
+    assert [got[i]["text"] for i in range(5)] == kept
+    stage = corpus_pipeline.repeat_stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert [r["text"] for r in stage.orderBy("doc_id").collect()] == kept
+
+
 def test_pipeline_stages_are_the_plain_ones(spark, tmp_path, texts):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     steps, kept = dict(corpus_pipeline.STAGES), {}
