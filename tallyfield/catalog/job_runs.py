@@ -294,8 +294,8 @@ def exported(t: Tables, folder: str, stages: list[str], *places: str) -> DataFra
 
 LATER_STAGES = {
     **{f"task2_{name}": SIZES.format(EXPLORED_TABLES[name]) for name in EXPLORED_TABLES if name != "community_area_rolling"},
-    "task3_silhouette_scores": "1 AS records",
-    "task3_stability_scores": "2 AS records",
+    "task3_silhouette_scores": "5 AS records",
+    "task3_stability_scores": "15 AS records",
     **{f"task4_{name}": SIZES.format(PREDICTED_TABLES[name]) for name in (
         "class_distribution", "crime_type_distribution", "metrics", "model_comparison", "threshold_metrics", "feature_importance",
     )},
@@ -316,7 +316,7 @@ def b6_export_results(t: Tables):
     """
     folder = files.scratch_dir(t.spark)
     explored(t, folder)
-    jobs.cluster_job(t.spark, f"{folder}/facts", f"{folder}/clustered", ks=(2,), seeds=(42, 123))
+    jobs.cluster_job(t.spark, f"{folder}/facts", f"{folder}/clustered")
     jobs.model_job(t.spark, f"{folder}/facts", f"{folder}/predicted")
     places = (f"{folder}/processed", f"{folder}/explored", f"{folder}/clustered", f"{folder}/predicted")
     found = exported(t, folder, ["task2", "task3", "task4"], *places)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tallyfield.operators import quality
+from tallyfield.catalog import QUERIES
+from tallyfield.operators import clusters, quality
 from tallyfield.plans import jobs, schemas as S
 from tallyfield.sources import files
 
@@ -134,5 +135,32 @@ def test_export(spark, folders):
     assert [int(r.community_area) for r in census.collect()] == list(range(1, 25))
 
 
+def test_exported_results_hold_the_whole_sweep(spark, tmp_path, monkeypatch):
+    """Every K and seed of the study is fitted before its scores are exported; the prediction tables are made up."""
+
+    def made_up(spark, facts, folder):
+        columns = ["label", "prediction", "model_name", "validation_strategy", "threshold", "importance", "feature"]
+        table = spark.range(1).selectExpr(*[f"1 AS {c}" for c in [*columns, "count", "primary_type"]])
+        for name in jobs.MODEL_TABLES:
+            files.write_table(table, f"{folder}/{name}")
+
+    monkeypatch.setattr(jobs, "model_job", made_up)
+    orders = spark.range(1500).selectExpr(
+        "id AS o_orderkey",
+        "id * 7 % 290 AS o_custkey",
+        "element_at(array('F', 'O', 'P'), int(id * 11 % 13 % 3) + 1) AS o_orderstatus",
+        "timestamp_ntz '1995-01-01 00:00:00' + make_dt_interval(cast(id * 17 % 2000 as int)) AS o_orderdate",
+        "concat(id % 5 + 1, '-KIND') AS o_orderpriority",
+    )
+    nation = spark.range(25).selectExpr("int(id) AS n_nationkey", "concat('N', id) AS n_name", "int(id % 5) AS n_regionkey")
+    customer = spark.range(290).selectExpr("id AS c_custkey", "int(id % 25) AS c_nationkey")
+    for name, table in (("orders", orders), ("nation", nation), ("customer", customer)):
+        files.write_table(table, f"{tmp_path}/{name}.parquet")
+    found = {row.name: row for row in QUERIES["b6_export_results"](spark, str(tmp_path)).collect()}
+    assert len(found) == 21 and all(row.same for row in found.values())
+    assert found["task3_silhouette_scores"].records == len(clusters.CANDIDATES) == 5
+    assert found["task3_stability_scores"].records == len(clusters.CANDIDATES) * len(clusters.SEEDS) == 15
+
+
 def test_count_rows(spark):
     assert quality.count_rows(spark.range(5), "n").first().n == 5
